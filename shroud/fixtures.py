@@ -125,3 +125,101 @@ pairs as (
 
 def with_ctes(body: str) -> str:
     return f"with {ORACLE_RELATIONAL_CTES.strip()}\n{body}"
+
+
+# ------------------------------------------------------------------ documents
+# Documents are built from bounded key ranges (``*_BATCH``), so even a user
+# or customer holding a third of all rows yields many bounded objects.
+def _json(struct: Column, keep_nulls: bool = False) -> Column:
+    return F.to_json(struct, {"ignoreNullFields": "false"} if keep_nulls else {})
+
+
+def clickstream_docs(spark: SparkSession, sf_dir: str, props_name: str = "$properties") -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    batch = F.floor(F.col("event_id") / EVENT_BATCH)
+    email = F.when(F.col("event_id") % 2 == 0,
+                   F.concat(F.lit("user."), _s("user_id"), F.lit("@example.com")))
+    item = F.struct(F.col("event_type").alias("event"),
+                    F.struct("event_id", "value", "props", email.alias("email")).alias(props_name))
+    return (e.groupBy("user_id", batch.alias("batch"))
+            .agg(_json(F.struct(F.collect_list(item).alias("results"))).alias("payload"))
+            .select(F.concat(F.lit("click/user="), _s("user_id"), F.lit("/batch="), _s("batch"))
+                    .alias("object_key"), "user_id", "batch", "payload"))
+
+
+def chat_docs(spark: SparkSession, sf_dir: str, with_guest: bool = True,
+              null_body: bool = False) -> DataFrame:
+    c = table(spark, sf_dir, "conversations")
+    batch = F.floor(F.col("turn") / TURN_BATCH)
+    body = F.lit(None).cast("string") if null_body else F.col("text")
+    msg = F.struct("turn", "role", body.alias("body"))
+    guest = F.struct(F.concat(F.lit("Guest "), _s("conv_id")).alias("name"),
+                     (F.col("conv_id") % 2 == 0).alias("vip"))
+    conv_fields = [F.col("conv_id")]
+    if with_guest:
+        conv_fields.append(guest.alias("guest"))
+    conv_fields.append(F.array_sort(F.collect_list(msg)).alias("messages"))
+    doc = F.struct(F.array(F.struct(F.struct(F.array(F.struct(*conv_fields)).alias("conversations"))
+                                    .alias("payload"))).alias("yepchat"))
+    return (c.groupBy("conv_id", batch.alias("batch"))
+            .agg(_json(doc, keep_nulls=null_body).alias("payload"))
+            .select(F.concat(F.lit("chat/conv="), _s("conv_id"), F.lit("/batch="), _s("batch"))
+                    .alias("object_key"), "conv_id", "batch", "payload"))
+
+
+def order_docs(spark: SparkSession, sf_dir: str, null_server: bool = False) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer")
+    k = F.col("o_orderkey")
+    server = (F.lit(None).cast("struct<id:bigint,name:string>") if null_server else
+              F.struct((k % 100).alias("id"),
+                       F.concat(F.lit("Supplier#"), _s(k % 100)).alias("name")))
+    course = F.struct(F.col("c_name").alias("customername"),
+                      F.when(k % 3 == 0, F.col("o_orderpriority")).alias("tablename"),
+                      server.alias("server"), F.col("o_totalprice").alias("total"))
+    entry = F.struct(k.alias("orderkey"),
+                     F.when(k % 5 != 0, F.array(course)).alias("courses"))
+    batch = F.floor(k / ORDER_BATCH)
+    joined = o.join(c, o["o_custkey"] == c["c_custkey"])
+    docs = joined.groupBy("o_custkey", batch.alias("batch")).agg(
+        F.collect_list(entry).alias("qsr"))
+    # The null-server variant keeps explicit JSON nulls; it exists to be quarantined.
+    payload = _json(F.struct("qsr"), keep_nulls=null_server)
+    return docs.select(
+        F.concat(F.lit("orders/cust="), _s("o_custkey"), F.lit("/batch="), _s("batch"))
+        .alias("object_key"), "o_custkey", "batch", payload.alias("payload"))
+
+
+def service_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    attrs = F.struct(
+        F.array(F.struct(F.concat(F.lit("doc."), _s("doc_id"), F.lit("@example.com")).alias("email"),
+                         F.lit(True).alias("verified"))).alias("emails"),
+        F.col("text").alias("preview"),
+        F.concat(F.lit("Author "), _s("doc_id")).alias("name"),
+        F.col("lang").alias("lang"))
+    full = F.to_json(F.struct(F.struct(F.col("doc_id").alias("id"), attrs.alias("attributes"))
+                              .alias("data")))
+    payload = F.concat(F.lit('{"kustomer":["skipped string",{"nodata":1},'), full,
+                       F.lit(',{"data":{"id":-1,"attributes":{"name":null,"lang":"xx"}}}]}'))
+    return d.select(F.concat(F.lit("svc/doc="), _s("doc_id")).alias("object_key"),
+                    "doc_id", payload.alias("payload"))
+
+
+def page_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw web pages dropped into a JSON prefix: not JSON at all."""
+    p = table(spark, sf_dir, "pages")
+    return p.select(F.concat(F.lit("pages/page="), _s("page_id")).alias("object_key"),
+                    F.col("html").alias("payload"))
+
+
+ORACLE_DOC_KEYS = {
+    "clickstream": f"concat('click/user=', cast(user_id as varchar), '/batch=', "
+                   f"cast(event_id // {EVENT_BATCH} as varchar))",
+    "chat": f"concat('chat/conv=', cast(conv_id as varchar), '/batch=', "
+            f"cast(turn // {TURN_BATCH} as varchar))",
+    "orders": f"concat('orders/cust=', cast(o_custkey as varchar), '/batch=', "
+              f"cast(o_orderkey // {ORDER_BATCH} as varchar))",
+    "service": "concat('svc/doc=', cast(doc_id as varchar))",
+    "pages": "concat('pages/page=', cast(page_id as varchar))",
+}

@@ -82,7 +82,12 @@ def run_stamp(as_of: str | None = None) -> Column:
     session's current date is used.
     """
     day = F.to_date(F.lit(as_of)) if as_of else F.current_date()
-    return F.date_format(day, "y-MM-dd hh:mm:ss")
+    return stamp_of(day)
+
+
+def stamp_of(day: Column | str) -> Column:
+    """'y-MM-dd hh:mm:ss' rendering of a date or timestamp column."""
+    return F.date_format(_c(day), "y-MM-dd hh:mm:ss")
 
 
 def path_part(path: Column | str, index: int) -> Column:

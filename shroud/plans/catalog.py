@@ -135,3 +135,178 @@ where b.e is null"""))
 def q_delete_strict(spark, sf):
     return deletion.apply_deletions(fx.customers(spark, sf), fx.deletion_requests(spark, sf),
                                     strict=True)
+
+
+# ------------------------------------------------------------- text masking
+def _rx(col: str, pattern: str) -> str:
+    return f"regexp_replace({col}, '{pattern}', '{T.TEXT_TOKEN}', 'g')"
+
+
+def _mask_sql(col: str) -> str:
+    return _rx(_rx(_rx(col, T.EMAIL_PATTERN), T.PHONE_PATTERN), T.NAME_PATTERN)
+
+
+@register("mask_email", f"select doc_id, {_rx('text', T.EMAIL_PATTERN)} masked from documents")
+def q_mask_email(spark, sf):
+    return fx.table(spark, sf, "documents").select("doc_id", T.mask_email("text").alias("masked"))
+
+
+@register("mask_phone", f"select doc_id, {_rx('text', T.PHONE_PATTERN)} masked from documents")
+def q_mask_phone(spark, sf):
+    return fx.table(spark, sf, "documents").select("doc_id", T.mask_phone("text").alias("masked"))
+
+
+@register("mask_name", f"""
+select conv_id, turn, {_rx('text', T.NAME_PATTERN)} masked from conversations""")
+def q_mask_name(spark, sf):
+    return fx.table(spark, sf, "conversations").select(
+        "conv_id", "turn", T.mask_name("text").alias("masked"))
+
+
+@register("mask_text_documents", f"select doc_id, {_mask_sql('text')} masked from documents")
+def q_mask_docs(spark, sf):
+    return fx.table(spark, sf, "documents").select("doc_id", T.mask_text("text").alias("masked"))
+
+
+@register("mask_text_conversations", f"""
+select conv_id, turn, role, {_mask_sql('text')} masked from conversations""")
+def q_mask_convs(spark, sf):
+    return fx.table(spark, sf, "conversations").select(
+        "conv_id", "turn", "role", T.mask_text("text").alias("masked"))
+
+
+@register("flatten_lines", f"""
+select doc_id, regexp_replace(regexp_replace(text, '{T.EDGE_CONTROL_PATTERN}', '', 'g'),
+                              '{T.LINE_BREAK_PATTERN}', ' ', 'g') flat from documents""")
+def q_flatten(spark, sf):
+    return fx.table(spark, sf, "documents").select("doc_id", T.flatten_lines("text").alias("flat"))
+
+
+@register("normalize_keys", fx.with_ctes(f"""
+select id, trim(concat('{fx.SOURCE}-', id)) source_key, lower(trim(email)) email_key from src"""))
+def q_normalize(spark, sf):
+    return fx.customers(spark, sf).select(
+        "id", T.source_key("id", fx.SOURCE).alias("source_key"),
+        T.normalize_email("email").alias("email_key"))
+
+
+@register("run_stamp", """
+select o_orderkey, strftime(cast(o_orderdate as date), '%Y-%m-%d %I:%M:%S') dtc from orders""")
+def q_run_stamp(spark, sf):
+    return fx.table(spark, sf, "orders").select(
+        "o_orderkey", T.stamp_of(F.to_date("o_orderdate")).alias("dtc"))
+
+
+_PATH_SQL = ("concat('s3://', source, '-bucket/', lang, '/docs/', cast(doc_id as varchar), "
+             "'/part.tsv.gz')")
+
+
+@register("path_parts", f"""
+select doc_id, split_part(p, '/', 3) bucket, split_part(p, '/', 4) prefix_a,
+       split_part(p, '/', 5) prefix_b, split_part(p, '/', 6) prefix_c
+from (select doc_id, {_PATH_SQL} p from documents)""")
+def q_path_parts(spark, sf):
+    d = fx.table(spark, sf, "documents")
+    p = F.concat(F.lit("s3://"), "source", F.lit("-bucket/"), "lang", F.lit("/docs/"),
+                 F.col("doc_id").cast("string"), F.lit("/part.tsv.gz"))
+    d = d.select("doc_id", p.alias("p"))
+    return d.select("doc_id", T.path_part("p", 2).alias("bucket"),
+                    T.path_part("p", 3).alias("prefix_a"), T.path_part("p", 4).alias("prefix_b"),
+                    T.path_part("p", 5).alias("prefix_c"))
+
+
+# ---------------------------------------------------------------- JSON redaction
+from ..operators import flatten as FL  # noqa: E402
+from ..operators import redact as RD  # noqa: E402
+
+CLICK_KEYS = ["email", "phone"]
+CHAT_KEYS = ["name", "email"]
+ORDER_PII = ["customername", "tablename", "server", "ignored"]
+SERVICE_KEYS = ["emails", "preview", "name", "phone"]
+_TOK = T.KEY_TOKEN
+
+_CLICK_ORACLE = "select event_id, event_type event, '' email, '' phone, value, props from events"
+_CHAT_ORACLE = f"""
+select conv_id, '{_TOK}' guest_name, '{_TOK}' guest_email, conv_id % 2 = 0 vip, turn, role,
+       {_mask_sql('text')} body from conversations"""
+_ORDERS_ORACLE = f"""
+select o_orderkey orderkey,
+  case when o_orderkey % 5 <> 0 then '{_TOK}' end customername,
+  case when o_orderkey % 5 <> 0 and o_orderkey % 3 = 0 then '{_TOK}' end tablename,
+  case when o_orderkey % 5 <> 0 then o_orderkey % 100 end server_id,
+  case when o_orderkey % 5 <> 0 then '{_TOK}' end server_name,
+  case when o_orderkey % 5 <> 0 then o_totalprice end total
+from orders join customer on o_custkey = c_custkey"""
+
+
+def _service_oracle(preview_sql: str, email: str, name: str, keys: str) -> str:
+    n = "cast(null as varchar)"
+    return f"""
+select doc_id, 0 pos, 'STRING' kind, cast(null as bigint) data_id, {n} email,
+       cast(null as boolean) verified, {n} preview, {n} name, {n} lang, {n} attr_keys from documents
+union all
+select doc_id, 1, 'OBJECT', null, {n}, null, {n}, {n}, {n}, {n} from documents
+union all
+select doc_id, 2, 'OBJECT', doc_id, {email}, true, {preview_sql}, {name}, lang, '{keys}'
+from documents
+union all
+select doc_id, 3, 'OBJECT', -1, {n}, null, {n}, {n}, 'xx', 'lang,name' from documents"""
+
+
+@register("json_redact_clickstream", _CLICK_ORACLE)
+def q_json_click(spark, sf):
+    docs = RD.redact(fx.clickstream_docs(spark, sf), "clickstream", CLICK_KEYS)
+    return FL.clickstream_rows(RD.redacted_only(docs), "redacted", []).drop()
+
+
+@register("json_redact_chat", _CHAT_ORACLE)
+def q_json_chat(spark, sf):
+    docs = RD.redact(fx.chat_docs(spark, sf), "chat", CHAT_KEYS)
+    return FL.chat_rows(RD.redacted_only(docs), "redacted", [])
+
+
+@register("json_redact_orders", _ORDERS_ORACLE)
+def q_json_orders(spark, sf):
+    docs = RD.redact(fx.order_docs(spark, sf), "orders", ORDER_PII)
+    return FL.order_rows(RD.redacted_only(docs), "redacted", [])
+
+
+@register("json_redact_service", _service_oracle(
+    _mask_sql("cast(to_json(text) as varchar)"), f"'{_TOK}'", f"'{_TOK}'",
+    "emails,lang,name,preview"))
+def q_json_service(spark, sf):
+    docs = RD.redact(fx.service_docs(spark, sf), "service", SERVICE_KEYS)
+    return FL.service_rows(RD.redacted_only(docs), "redacted", ["doc_id"])
+
+
+@register("json_redact_service_strict", _service_oracle(
+    _mask_sql("text"), f"'{_TOK}'", f"'{_TOK}'", "emails,lang,name,preview"))
+def q_json_service_strict(spark, sf):
+    docs = RD.redact(fx.service_docs(spark, sf), "service", SERVICE_KEYS, strict=True)
+    return FL.service_rows(RD.redacted_only(docs), "redacted", ["doc_id"])
+
+
+@register("json_valid_elements", """
+select doc_id, pos, 'OBJECT' kind from documents, (values (1), (2), (3)) t(pos)""")
+def q_json_valid(spark, sf):
+    rows = FL.service_rows(fx.service_docs(spark, sf), "payload", ["doc_id"])
+    return rows.where(F.col("kind") != "STRING").select("doc_id", "pos", "kind")
+
+
+@register("json_explode_messages", """
+select conv_id, concat('Guest ', cast(conv_id as varchar)) guest_name,
+       cast(null as varchar) guest_email, conv_id % 2 = 0 vip, turn, role, text body
+from conversations""")
+def q_json_explode(spark, sf):
+    return FL.chat_rows(fx.chat_docs(spark, sf), "payload", [])
+
+
+@register("json_roundtrip", """
+select event_id, event_type event,
+       case when event_id % 2 = 0 then concat('user.', cast(user_id as varchar), '@example.com') end email,
+       cast(null as varchar) phone, value, props
+from events""")
+def q_json_roundtrip(spark, sf):
+    docs = fx.clickstream_docs(spark, sf)
+    again = docs.select(F.to_json(F.try_parse_json("payload")).alias("json"))
+    return FL.clickstream_rows(again, "json", [])
