@@ -113,7 +113,7 @@ idsvc as (
 dels as (
  select upper(trim(email)) email from src where cast(id as int) % 10 = 3
  union all
- select concat(trim(email), ' ') email from src where cast(id as int) % 20 = 1),
+ select trim(email) || ' ' email from src where cast(id as int) % 20 = 1),
 pairs as (
  select sourceSystemId, uuid from idsvc
  union all select concat('{SOURCE}-', cast(c_custkey as varchar)), md5(concat('new-', cast(c_custkey as varchar)))

@@ -310,3 +310,343 @@ def q_json_roundtrip(spark, sf):
     docs = fx.clickstream_docs(spark, sf)
     again = docs.select(F.to_json(F.try_parse_json("payload")).alias("json"))
     return FL.clickstream_rows(again, "json", [])
+
+
+# ------------------------------------------------------- quarantine / routing
+def _keys_sql(kind: str, table: str, prefix: str = "") -> str:
+    k = fx.ORACLE_DOC_KEYS[kind]
+    return f"select distinct concat('{prefix}', {k}) object_key from {table}"
+
+
+def _with_key_prefix(df: DataFrame, prefix: str) -> DataFrame:
+    return df.withColumn("object_key", F.concat(F.lit(prefix), "object_key"))
+
+
+def _constant_docs(spark, sf, table_name: str, key_col: str, prefix: str, payload: str):
+    t = fx.table(spark, sf, table_name)
+    return t.select(F.concat(F.lit(prefix), F.col(key_col).cast("string")).alias("object_key"),
+                    F.lit(payload).alias("payload"))
+
+
+@register("json_quarantine", f"""
+select object_key, preset, status, reason from (
+  select object_key, 'clickstream' preset, 'redacted' status, cast(null as varchar) reason
+    from ({_keys_sql('clickstream', 'events')})
+  union all select object_key, 'clickstream', 'quarantined', 'missing_properties'
+    from ({_keys_sql('clickstream', 'events', 'noprops/')})
+  union all select concat('pages/page=', cast(page_id as varchar)), 'clickstream', 'quarantined',
+    'unparseable_json' from pages
+  union all select concat('empty-array/region=', cast(r_regionkey as varchar)), 'clickstream',
+    'quarantined', 'missing_root_array' from region
+  union all select object_key, 'chat', 'quarantined', 'bad_conversation'
+    from ({_keys_sql('chat', 'conversations', 'noguest/')})
+  union all select object_key, 'chat', 'quarantined', 'bad_message_body'
+    from ({_keys_sql('chat', 'conversations', 'nullbody/')})
+  union all select object_key, 'orders', 'quarantined', 'bad_course'
+    from (select distinct concat('nullserver/', {fx.ORACLE_DOC_KEYS['orders']}) object_key
+          from orders join customer on o_custkey = c_custkey)
+  union all select concat('empty-object/nation=', cast(n_nationkey as varchar)), 'orders',
+    'quarantined', 'missing_root_array' from nation)""")
+def q_json_quarantine(spark, sf):
+    click_in = (fx.clickstream_docs(spark, sf).select("object_key", "payload")
+                .unionByName(_with_key_prefix(
+                    fx.clickstream_docs(spark, sf, props_name="props_").select(
+                        "object_key", "payload"), "noprops/"))
+                .unionByName(fx.page_objects(spark, sf))
+                .unionByName(_constant_docs(spark, sf, "region", "r_regionkey",
+                                            "empty-array/region=", "[]")))
+    chat_in = (_with_key_prefix(fx.chat_docs(spark, sf, with_guest=False), "noguest/")
+               .select("object_key", "payload")
+               .unionByName(_with_key_prefix(fx.chat_docs(spark, sf, null_body=True),
+                                             "nullbody/").select("object_key", "payload")))
+    orders_in = (_with_key_prefix(fx.order_docs(spark, sf, null_server=True), "nullserver/")
+                 .select("object_key", "payload")
+                 .unionByName(_constant_docs(spark, sf, "nation", "n_nationkey",
+                                             "empty-object/nation=", "{}")))
+    parts = [RD.redact(click_in, "clickstream", CLICK_KEYS).withColumn("preset", F.lit("clickstream")),
+             RD.redact(chat_in, "chat", CHAT_KEYS).withColumn("preset", F.lit("chat")),
+             RD.redact(orders_in, "orders", ORDER_PII).withColumn("preset", F.lit("orders"))]
+    out = parts[0].select("object_key", "preset", "status", "reason")
+    for p in parts[1:]:
+        out = out.unionByName(p.select("object_key", "preset", "status", "reason"))
+    return out
+
+
+ROUTED_SOURCES = {"source1": ("clickstream", CLICK_KEYS), "source2": ("chat", CHAT_KEYS),
+                  "service": ("service", SERVICE_KEYS), "source3": ("orders", ORDER_PII)}
+
+
+@register("json_redact_all_sources", f"""
+select 'source1' source_type, 'clickstream' preset, object_key, 'redacted' status
+  from ({_keys_sql('clickstream', 'events')})
+union all select 'source2', 'chat', object_key, 'redacted' from ({_keys_sql('chat', 'conversations')})
+union all select 'service', 'service', object_key, 'redacted' from ({_keys_sql('service', 'documents')})
+union all select 'source3', 'orders', object_key, 'redacted'
+  from (select distinct {fx.ORACLE_DOC_KEYS['orders']} object_key
+        from orders join customer on o_custkey = c_custkey)""")
+def q_json_all(spark, sf):
+    builders = {"clickstream": fx.clickstream_docs, "chat": fx.chat_docs,
+                "service": fx.service_docs, "orders": fx.order_docs}
+    out = None
+    for source_type, (_, keys) in ROUTED_SOURCES.items():
+        preset = RD.route(source_type)
+        docs = builders[preset](spark, sf).select("object_key", "payload")
+        r = RD.redact(docs, preset, keys).select(
+            F.lit(source_type).alias("source_type"), F.lit(preset).alias("preset"),
+            "object_key", "status")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+# ------------------------------------------------------------ object I/O
+from ..plans import jobs as J  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sinks import files as K  # noqa: E402
+from ..sinks import manifest as MF  # noqa: E402
+from ..sinks import objects as KO  # noqa: E402
+from ..sources import objects as SO  # noqa: E402
+from ..sources import tables as ST  # noqa: E402
+from ..operators import audit as AU  # noqa: E402
+from ..streaming import redact_stream as RS  # noqa: E402
+from .. import schemas as SC  # noqa: E402
+
+
+@register("scan_json_objects", f"""
+select {fx.ORACLE_DOC_KEYS['chat']} object_key, conv_id, turn, text body from conversations""")
+def q_scan_objects(spark, sf):
+    root = scratch_path(spark, "objects-in")
+    KO.write_objects(fx.chat_docs(spark, sf), root, gzip=True)
+    docs = SO.scan_objects(spark, root, layout="keyed")
+    return FL.chat_rows(docs, "payload", ["object_key"]).select("object_key", "conv_id", "turn",
+                                                                "body")
+
+
+@register("json_emit_keys", f"""
+select concat('anonymized/', {fx.ORACLE_DOC_KEYS['chat']}) object_key, conv_id, turn,
+       {_mask_sql('text')} body from conversations""")
+def q_emit_keys(spark, sf):
+    base = scratch_path(spark, "emit")
+    KO.write_objects(fx.chat_docs(spark, sf), f"{base}/in", gzip=True)
+    J.json_anonymize_job(spark, f"{base}/in", f"{base}/out", f"{base}/quarantine", "source2",
+                         CHAT_KEYS, layout="keyed")
+    docs = SO.scan_objects(spark, f"{base}/out", layout="keyed")
+    return FL.chat_rows(docs, "payload", ["object_key"]).select("object_key", "conv_id", "turn",
+                                                                "body")
+
+
+@register("stream_redact_clickstream", _CLICK_ORACLE)
+def q_stream(spark, sf):
+    base = scratch_path(spark, "stream")
+    KO.write_objects(fx.clickstream_docs(spark, sf), f"{base}/in")
+    q = RS.start_redact_stream(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint",
+                               "source1", CLICK_KEYS, layout="keyed")
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/out").where(F.col("status") == "redacted")
+    return FL.clickstream_rows(out, "redacted", [])
+
+
+# ------------------------------------------------------ table round trips
+@register("scan_customers_csv", fx.with_ctes("select * from src"))
+def q_scan_csv(spark, sf):
+    p = scratch_path(spark, "customers-csv")
+    K.write_csv(fx.customers(spark, sf), p, sep=",")
+    return ST.read_customers_csv(spark, p)
+
+
+@register("scan_customers_tsv", fx.with_ctes("select * from src"))
+def q_scan_tsv(spark, sf):
+    p = scratch_path(spark, "customers-tsv")
+    K.write_tsv_gzip(fx.customers(spark, sf), p)
+    return ST.read_customers_tsv(spark, p)
+
+
+# A request file has one e-mail per line; a NULL request is a blank line,
+# which carries no request and is not read back.
+@register("scan_delete_requests", fx.with_ctes("select * from dels where email is not null"))
+def q_scan_dels(spark, sf):
+    p = scratch_path(spark, "deletion-requests")
+    K.write_csv(fx.deletion_requests(spark, sf).repartition(3), p, sep="\t")
+    return ST.read_deletion_requests(spark, f"{p}/*")
+
+
+@register("scan_id_pairs", fx.with_ctes("select * from pairs"))
+def q_scan_pairs(spark, sf):
+    p = scratch_path(spark, "id-pairs")
+    K.write_csv(fx.identity_pairs(spark, sf), p, sep="\t")
+    return ST.read_identity_pairs(spark, p)
+
+
+@register("sink_orc_roundtrip", ORACLES["deidentify_customers"])
+def q_orc(spark, sf):
+    p = scratch_path(spark, "orc")
+    K.write_orc(q_deidentify(spark, sf), p)
+    return spark.read.schema(SC.DEIDENTIFIED).orc(p)
+
+
+_NULLED = ", ".join(f"cast(null as varchar) {c}" if c in PII_COLUMNS else c
+                    for c in CUSTOMER_COLUMNS)
+
+
+@register("sink_tsv_roundtrip", fx.with_ctes(f"""
+select distinct {_NULLED}, uuid gid, '{fx.DTC}' dtc from src a join idsvc b on {_ON}"""))
+def q_tsv(spark, sf):
+    p = scratch_path(spark, "tsv")
+    K.write_tsv_gzip(q_deidentify(spark, sf), p)
+    return K.read_by_format(spark, p, "gzip", SC.DEIDENTIFIED)
+
+
+@register("audit_refresh", fx.with_ctes(f"""
+select distinct '{fx.SOURCE}' source, concat('{fx.SOURCE}-', a.id) source_id, a.email,
+       a.created_at, '{fx.DTC}' dtc
+from src a where not exists (select 1 from idsvc b where {_ON})
+union all
+select 'legacy' source, concat('legacy-', id) source_id, email, created_at, '{fx.DTC}' dtc
+from src"""))
+def q_audit_refresh(spark, sf):
+    root = scratch_path(spark, "audit")
+    src = fx.customers(spark, sf)
+
+    def as_audit(source: str) -> DataFrame:
+        return src.select(F.lit(source).alias("source"), T.source_id("id", source).alias("source_id"),
+                          "email", "created_at", T.run_stamp(fx.AS_OF).alias("dtc"))
+
+    AU.refresh_audit(as_audit(fx.SOURCE), root, fx.SOURCE)      # stale rows of this source
+    AU.refresh_audit(as_audit("legacy"), root, "legacy")        # another source, kept
+    AU.refresh_audit(q_audit(spark, sf), root, fx.SOURCE)       # the refresh itself
+    return AU.read_audit(spark, root)
+
+
+@register("purge_manifest", """
+select * from (values ('addresses', true), ('customers', true)) t(folder, has_files)""")
+def q_purge(spark, sf):
+    root = scratch_path(spark, "staging")
+    K.write_tsv_gzip(fx.customers(spark, sf), f"{root}/customers")
+    K.write_tsv_gzip(fx.deletion_requests(spark, sf), f"{root}/addresses")
+    K.write_tsv_gzip(fx.identity_pairs(spark, sf), f"{root}/keep")
+    m = MF.purge_manifest(spark, root, ["customers", "addresses"])
+    return MF.manifest_folders(m, 1).select("folder", (F.col("files") > 0).alias("has_files"))
+
+
+@register("purge_manifest_keep_version", """
+select * from (values ('orc/deleteOverwrite_2023-12-01', true)) t(folder, has_files)""")
+def q_purge_version(spark, sf):
+    root = scratch_path(spark, "versions")
+    kept = q_delete(spark, sf)
+    K.write_orc(fx.customers(spark, sf), f"{root}/orc/deleteOverwrite_2023-12-01")
+    K.write_orc(kept, f"{root}/orc/deleteOverwrite_{fx.AS_OF}")
+    m = MF.purge_manifest_keep_version(spark, root, "orc", f"deleteOverwrite_{fx.AS_OF}")
+    return MF.manifest_folders(m, 2).select("folder", (F.col("files") > 0).alias("has_files"))
+
+
+# ------------------------------------------------------------- metrics / runs
+def _metric_sql(job: str, pairs: list[tuple[str, str]]) -> str:
+    parts = [f"select '{job}' job, '{m}' metric, cast(({q}) as bigint) value" for m, q in pairs]
+    body = "\nunion all ".join(parts)
+    return fx.with_ctes(f"""
+select job, metric, value, format('{{:,}}', value) value_text from (
+{body})""")
+
+
+def _lazy_metrics(job: str, frames: dict[str, DataFrame]) -> DataFrame:
+    out = None
+    for name, df in frames.items():
+        one = df.agg(F.count(F.lit(1)).alias("value")).select(
+            F.lit(job).alias("job"), F.lit(name).alias("metric"), "value")
+        out = one if out is None else out.unionByName(one)
+    return out.withColumn("value_text", T.format_count("value"))
+
+
+_DEID_COUNTS = [
+    ("source_rows", "select count(*) from src"),
+    ("distinct_source_rows", "select count(*) from (select distinct * from src)"),
+    ("public_rows", f"select count(*) from (select distinct {_BLANKED}, uuid from src a join idsvc b on {_ON})"),
+    ("secured_rows", f"select count(*) from (select distinct a.*, b.uuid from src a left join idsvc b on {_ON})"),
+    ("missing_identities", f"select count(*) from (select distinct a.id, a.email, a.created_at from src a where not exists (select 1 from idsvc b where {_ON}))"),
+]
+
+
+@register("run_metrics", _metric_sql("deidentify", _DEID_COUNTS + [
+    ("request_rows", "select count(*) from dels"),
+    ("lookup_rows", "select count(*) from idsvc")]))
+def q_metrics(spark, sf):
+    src, idsvc = fx.customers(spark, sf), fx.identity_service(spark, sf)
+    return _lazy_metrics("deidentify", {
+        "source_rows": src, "distinct_source_rows": src.distinct(),
+        "public_rows": identity.deidentify(src, idsvc, fx.SOURCE, fx.AS_OF),
+        "secured_rows": identity.secure(src, idsvc, fx.SOURCE, fx.AS_OF),
+        "missing_identities": identity.missing_identities(src, idsvc, fx.SOURCE, fx.AS_OF),
+        "request_rows": fx.deletion_requests(spark, sf), "lookup_rows": idsvc})
+
+
+@register("id_service_completeness", fx.with_ctes("""
+select count(*) rows_read, count(distinct sourceSystemId) distinct_keys,
+       count(*) expected_rows, true complete from idsvc"""))
+def q_completeness(spark, sf):
+    idsvc = fx.identity_service(spark, sf)
+    expected = J.count_rows({"n": fx.identity_service(spark, sf)})["n"]
+    return identity.completeness(idsvc, expected)
+
+
+@register("deidentify_run", _metric_sql("deidentify", _DEID_COUNTS))
+def q_deidentify_run(spark, sf):
+    base = scratch_path(spark, "deidentify-run")
+    K.write_csv(fx.customers(spark, sf), f"{base}/staging/customers", sep=",")
+    fx.identity_service(spark, sf).write.parquet(f"{base}/idsvc")
+    res = J.deidentify_job(
+        spark, ST.read_customers_csv(spark, f"{base}/staging/customers"),
+        spark.read.parquet(f"{base}/idsvc"), public_root=f"{base}/public",
+        secured_root=f"{base}/secured", audit_root=f"{base}/audit", fmt="orc",
+        dataset="customers", source=fx.SOURCE, as_of=fx.AS_OF,
+        staging_root=f"{base}/staging", staging_prefixes=["customers"])
+    return res.metrics
+
+
+@register("deletion_run", _metric_sql("deletion", [
+    ("source_rows", "select count(*) from src"),
+    ("request_rows", "select count(*) from (select distinct email from dels where email is not null)"),
+    ("kept_rows", "select count(*) from (select distinct a.* from src a left join dels b on trim(a.email) = lower(trim(b.email)) where b.email is null)"),
+    ("deleted_rows", "select count(*) from (select distinct a.* from src a where exists (select 1 from dels b where trim(a.email) = lower(trim(b.email))))"),
+]))
+def q_deletion_run(spark, sf):
+    base = scratch_path(spark, "deletion-run")
+    K.write_tsv_gzip(fx.customers(spark, sf), f"{base}/customers")
+    K.write_csv(fx.deletion_requests(spark, sf), f"{base}/requests", sep="\t")
+    res = J.deletion_job(spark, ST.read_customers_tsv(spark, f"{base}/customers"),
+                         ST.read_deletion_requests(spark, f"{base}/requests/*"),
+                         out_root=f"{base}/lake", fmt="gzip", as_of=fx.AS_OF)
+    return res.metrics
+
+
+@register("identity_load_run", _metric_sql("identity_load", [
+    ("source_rows", "select count(*) from pairs"),
+    ("lookup_rows", "select count(*) from idsvc"),
+    ("new_pairs", "select count(*) from (select distinct a.* from pairs a where not exists (select 1 from idsvc b where trim(a.sourceSystemId) = trim(b.sourceSystemId)))"),
+    ("identity_rows_after", "select (select count(*) from idsvc) + (select count(distinct a.sourceSystemId) from pairs a where not exists (select 1 from idsvc b where trim(a.sourceSystemId) = trim(b.sourceSystemId)))"),
+]))
+def q_identity_run(spark, sf):
+    base = scratch_path(spark, "identity-run")
+    K.write_csv(fx.identity_pairs(spark, sf), f"{base}/pairs", sep="\t")
+    fx.identity_service(spark, sf).write.parquet(f"{base}/idsvc")
+    res = J.identity_load_job(spark, ST.read_identity_pairs(spark, f"{base}/pairs"),
+                              spark.read.parquet(f"{base}/idsvc"),
+                              out_path=f"{base}/idsvc-next")
+    return res.metrics
+
+
+_N_CHAT = f"select count(*) from ({_keys_sql('chat', 'conversations')})"
+
+
+@register("json_anonymize_run", f"""
+select 'json_anonymize' job, metric, value, format('{{:,}}', value) value_text from (
+  select 'listed_objects' metric, 2 * ({_N_CHAT}) value
+  union all select 'redacted_objects', ({_N_CHAT})
+  union all select 'quarantined_objects', ({_N_CHAT})
+  union all select 'written_objects', ({_N_CHAT}))""")
+def q_json_run(spark, sf):
+    base = scratch_path(spark, "json-run")
+    KO.write_objects(fx.chat_docs(spark, sf), f"{base}/in", gzip=True, mode="append")
+    KO.write_objects(_with_key_prefix(fx.chat_docs(spark, sf, with_guest=False), "noguest/"),
+                     f"{base}/in", gzip=True, mode="append")
+    res = J.json_anonymize_job(spark, f"{base}/in", f"{base}/out", f"{base}/quarantine",
+                               "source2", CHAT_KEYS, layout="keyed")
+    return res.metrics
