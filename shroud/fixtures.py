@@ -21,8 +21,8 @@ DTC = "2024-01-01 12:00:00"
 # Width of the key ranges that bound one JSON object: a user, conversation
 # or customer with many rows yields several bounded objects, never one
 # unbounded document.
-EVENT_BATCH = 1000
-ORDER_BATCH = 100000
+EVENT_BATCH = 100000
+ORDER_BATCH = 1000000
 TURN_BATCH = 1000
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, app: str = "shroud",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None,
+                  listing_parallelism: int | None = None) -> SparkSession:
     """A session with AQE on (runtime coalescing, skew-join splitting and
     size-checked broadcast conversion) and a UTC clock."""
     builder = SparkSession.builder.appName(app)
@@ -28,6 +29,11 @@ def build_session(master: str | None = None, app: str = "shroud",
                .config("spark.sql.session.timeZone", "UTC"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if listing_parallelism:
+        # Folder listing runs as a Spark job with one task per folder by
+        # default; on one machine, fewer tasks that each list many folders win.
+        builder = builder.config("spark.sql.sources.parallelPartitionDiscovery.parallelism",
+                                 str(listing_parallelism))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

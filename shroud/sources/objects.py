@@ -2,7 +2,8 @@
 
 ``scan_objects`` reads every file below ``root`` as one row with the text
 file source (``wholetext``); ``.gz`` objects are decompressed by the source
-itself.  Zero-length objects produce no row.  A corrupt object (e.g. a
+itself.  Zero-length objects are skipped by the file listing (they are
+neither scanned nor listed, as they carry no document).  A corrupt object (e.g. a
 truncated gzip stream) is skipped by the reader instead of failing the job,
 and ``unread_objects`` recovers it from the metadata-only listing so that it
 is quarantined, never lost.
@@ -72,7 +73,7 @@ def list_objects(spark: SparkSession, root: str, layout: str = "files") -> DataF
 
 
 def unread_objects(listing: DataFrame, scanned: DataFrame) -> DataFrame:
-    """Listed objects that produced no row: empty (skipped) or unreadable.
+    """Listed objects that produced no row (unreadable, or text that is empty).
 
     Only the paths of the scanned side take part in the anti-join, so no
     payload is shuffled."""
