@@ -22,6 +22,8 @@ NAME_PATTERN = r"^[A-Za-z.\s_-]+$"
 # Trim of every character <= U+0020 at both ends, then CR/LF runs -> one space.
 EDGE_CONTROL_PATTERN = r"^[\x00-\x20]+|[\x00-\x20]+$"
 LINE_BREAK_PATTERN = r"[\r\n]+"
+# Run stamp rendering (12-hour clock, as the audit and output tables carry it).
+STAMP_FORMAT = "y-MM-dd hh:mm:ss"
 # ---------------------------------------------------------------------------
 
 # Same matches as EMAIL_PATTERN, written so the Java engine cannot backtrack
@@ -87,7 +89,7 @@ def run_stamp(as_of: str | None = None) -> Column:
 
 def stamp_of(day: Column | str) -> Column:
     """'y-MM-dd hh:mm:ss' rendering of a date or timestamp column."""
-    return F.date_format(_c(day), "y-MM-dd hh:mm:ss")
+    return F.date_format(_c(day), STAMP_FORMAT)
 
 
 def path_part(path: Column | str, index: int) -> Column:

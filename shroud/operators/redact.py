@@ -34,6 +34,20 @@ from pyspark.sql import functions as F
 from ..functions import variant as V
 from ..functions.text import KEY_TOKEN, mask_text
 
+# ---------------------------------------------------------------------------
+# The document layouts of the four sources (paths and key names
+# exactly as the producing systems write them), the keys the order-events
+# layout can redact, and the source-type markers of the legacy routing.
+RESULTS, PROPERTIES = "results", "$properties"
+CHAT_ROOT, PAYLOAD, CONVERSATIONS, GUEST, MESSAGES, BODY = (
+    "yepchat", "payload", "conversations", "guest", "messages", "body")
+SERVICE_ROOT, DATA, ATTRIBUTES, EMAILS, EMAIL, PREVIEW = (
+    "kustomer", "data", "attributes", "emails", "email", "preview")
+ORDERS_ROOT, COURSES, SERVER, SERVER_NAME = "qsr", "courses", "server", "name"
+ORDER_KEYS = ("customername", "tablename", "server")
+SOURCE_MARKERS = (("source1", "clickstream"), ("source2", "chat"), ("source3", "orders"))
+# ---------------------------------------------------------------------------
+
 # Checks are (reason, condition that must hold); the first failing one names
 # the quarantine reason.
 Check = tuple[str, Column]
@@ -47,38 +61,38 @@ def _all(arr: Column, pred: Callable[[Column], Column]) -> Column:
 # --------------------------------------------------------------- clickstream
 def clickstream(doc: Column, keys: list[str], strict: bool = False) -> Compiled:
     root = V.as_object(doc)
-    results = V.as_array(V.field(root, "results"))
+    results = V.as_array(V.field(root, RESULTS))
     checks: list[Check] = [("missing_root_array", results.isNotNull())]
     if not keys:
         return V.pack(root), checks
 
     def props(e: Column) -> Column:
-        return V.as_object(V.field(V.as_object(e), "$properties"))
+        return V.as_object(V.field(V.as_object(e), PROPERTIES))
 
     def fix(e: Column) -> Column:
         blanked = V.put_many(props(e), [(k, V.text("")) for k in keys])
-        return V.pack(V.put(V.as_object(e), "$properties", V.pack(blanked)))
+        return V.pack(V.put(V.as_object(e), PROPERTIES, V.pack(blanked)))
 
     checks.append(("missing_properties", _all(results, lambda e: props(e).isNotNull())))
-    return V.pack(V.put(root, "results", V.pack(F.transform(results, fix)))), checks
+    return V.pack(V.put(root, RESULTS, V.pack(F.transform(results, fix)))), checks
 
 
 # ---------------------------------------------------------------------- chat
 def chat(doc: Column, keys: list[str], strict: bool = False) -> Compiled:
     root = V.as_object(doc)
-    top = V.as_array(V.field(root, "yepchat"))
+    top = V.as_array(V.field(root, CHAT_ROOT))
 
     def convs(m: Column) -> Column:
-        return V.as_array(V.field(V.as_object(V.field(V.as_object(m), "payload")), "conversations"))
+        return V.as_array(V.field(V.as_object(V.field(V.as_object(m), PAYLOAD)), CONVERSATIONS))
 
     def guest(c: Column) -> Column:
-        return V.as_object(V.field(V.as_object(c), "guest"))
+        return V.as_object(V.field(V.as_object(c), GUEST))
 
     def messages(c: Column) -> Column:
-        return V.as_array(V.field(V.as_object(c), "messages"))
+        return V.as_array(V.field(V.as_object(c), MESSAGES))
 
     def body(msg: Column) -> Column:
-        return V.field(V.as_object(msg), "body")
+        return V.field(V.as_object(msg), BODY)
 
     def conv_ok(c: Column) -> Column:
         ok = V.as_object(c).isNotNull() & messages(c).isNotNull()
@@ -95,50 +109,50 @@ def chat(doc: Column, keys: list[str], strict: bool = False) -> Compiled:
     ]
 
     def fix_msg(msg: Column) -> Column:
-        return V.pack(V.put(V.as_object(msg), "body", V.text(mask_text(V.as_string(body(msg))))))
+        return V.pack(V.put(V.as_object(msg), BODY, V.text(mask_text(V.as_string(body(msg))))))
 
     def fix_conv(c: Column) -> Column:
-        updates = [("messages", V.pack(F.transform(messages(c), fix_msg)))]
+        updates = [(MESSAGES, V.pack(F.transform(messages(c), fix_msg)))]
         if keys:
-            updates.insert(0, ("guest", V.pack(V.put_many(
+            updates.insert(0, (GUEST, V.pack(V.put_many(
                 guest(c), [(k, V.text(KEY_TOKEN)) for k in keys]))))
         return V.pack(V.put_many(V.as_object(c), updates))
 
     def fix_top(m: Column) -> Column:
         mo = V.as_object(m)
-        payload = V.as_object(V.field(mo, "payload"))
-        new_payload = V.put(payload, "conversations", V.pack(F.transform(convs(m), fix_conv)))
-        return V.pack(V.put(mo, "payload", V.pack(new_payload)))
+        payload = V.as_object(V.field(mo, PAYLOAD))
+        new_payload = V.put(payload, CONVERSATIONS, V.pack(F.transform(convs(m), fix_conv)))
+        return V.pack(V.put(mo, PAYLOAD, V.pack(new_payload)))
 
-    return V.pack(V.put(root, "yepchat", V.pack(F.transform(top, fix_top)))), checks
+    return V.pack(V.put(root, CHAT_ROOT, V.pack(F.transform(top, fix_top)))), checks
 
 
 # ------------------------------------------------------------------- service
 def service(doc: Column, keys: list[str], strict: bool = False) -> Compiled:
     root = V.as_object(doc)
-    items = V.as_array(V.field(root, "kustomer"))
+    items = V.as_array(V.field(root, SERVICE_ROOT))
 
     def is_text(y: Column) -> Column:
         return V.kind(y) == "STRING"
 
     def data(y: Column) -> Column:
-        return V.as_object(V.field(V.as_object(y), "data"))
+        return V.as_object(V.field(V.as_object(y), DATA))
 
     def attributes(y: Column) -> Column:
-        return V.as_object(V.field(data(y), "attributes"))
+        return V.as_object(V.field(data(y), ATTRIBUTES))
 
     def has_data(y: Column) -> Column:
-        return V.has(V.as_object(y), "data")
+        return V.has(V.as_object(y), DATA)
 
     def emails_ok(y: Column) -> Column:
-        em = V.field(attributes(y), "emails")
+        em = V.field(attributes(y), EMAILS)
         present = em.isNotNull() & ~F.is_variant_null(em)
         return ~present | _all(V.as_array(em), lambda e: V.as_object(e).isNotNull())
 
     def item_ok(y: Column) -> Column:
         shaped = is_text(y) | (V.as_object(y).isNotNull()
                                & (~has_data(y) | attributes(y).isNotNull()))
-        if "emails" in keys:
+        if EMAILS in keys:
             shaped = shaped & (is_text(y) | ~has_data(y) | emails_ok(y))
         return shaped
 
@@ -150,11 +164,11 @@ def service(doc: Column, keys: list[str], strict: bool = False) -> Compiled:
     def new_value(k: Column, v: Column) -> Column:
         live = ~F.is_variant_null(v)
         preview_src = V.as_string(v) if strict else F.to_json(v)
-        out = F.when(live & (k == "emails") & F.lit("emails" in keys), V.pack(F.transform(
-            V.as_array(v), lambda e: V.pack(V.put(V.as_object(e), "email", V.text(KEY_TOKEN))))))
-        out = out.when(live & (k == "preview") & F.lit("preview" in keys),
+        out = F.when(live & (k == EMAILS) & F.lit(EMAILS in keys), V.pack(F.transform(
+            V.as_array(v), lambda e: V.pack(V.put(V.as_object(e), EMAIL, V.text(KEY_TOKEN))))))
+        out = out.when(live & (k == PREVIEW) & F.lit(PREVIEW in keys),
                        V.text(mask_text(preview_src)))
-        others = [x for x in keys if x not in ("emails", "preview")]
+        others = [x for x in keys if x not in (EMAILS, PREVIEW)]
         if others:
             out = out.when(live & k.isin(others), V.text(KEY_TOKEN))
         return out.otherwise(v)
@@ -163,33 +177,32 @@ def service(doc: Column, keys: list[str], strict: bool = False) -> Compiled:
         yo = V.as_object(y)
         d = data(y)
         new_attrs = F.transform_values(attributes(y), new_value)
-        rewritten = V.pack(V.put(yo, "data", V.pack(V.put(d, "attributes", V.pack(new_attrs)))))
+        rewritten = V.pack(V.put(yo, DATA, V.pack(V.put(d, ATTRIBUTES, V.pack(new_attrs)))))
         return F.when(is_text(y) | ~has_data(y), y).otherwise(rewritten)
 
-    return V.pack(V.put(root, "kustomer", V.pack(F.transform(items, fix)))), checks
+    return V.pack(V.put(root, SERVICE_ROOT, V.pack(F.transform(items, fix)))), checks
 
 
 # -------------------------------------------------------------------- orders
-ORDER_KEYS = ("customername", "tablename", "server")
 
 
 def orders(doc: Column, keys: list[str], strict: bool = False) -> Compiled:
     root = V.as_object(doc)
-    qsr = V.as_array(V.field(root, "qsr"))
+    qsr = V.as_array(V.field(root, ORDERS_ROOT))
     used = [k for k in keys if k in ORDER_KEYS]
-    plain = [k for k in used if k != "server"]
+    plain = [k for k in used if k != SERVER]
 
     def has_courses(p: Column) -> Column:
-        return V.has(V.as_object(p), "courses")
+        return V.has(V.as_object(p), COURSES)
 
     def courses(p: Column) -> Column:
-        return V.as_array(V.field(V.as_object(p), "courses"))
+        return V.as_array(V.field(V.as_object(p), COURSES))
 
     def course_ok(x: Column) -> Column:
         xo = V.as_object(x)
         ok = xo.isNotNull()
-        if "server" in used:
-            ok = ok & (~V.has(xo, "server") | V.as_object(V.field(xo, "server")).isNotNull())
+        if SERVER in used:
+            ok = ok & (~V.has(xo, SERVER) | V.as_object(V.field(xo, SERVER)).isNotNull())
         return ok
 
     def entry_ok(p: Column) -> Column:
@@ -203,9 +216,9 @@ def orders(doc: Column, keys: list[str], strict: bool = False) -> Compiled:
         out = None
         if plain:
             out = F.when(k.isin(plain), V.text(KEY_TOKEN))
-        if "server" in used:
-            srv = V.pack(V.put(V.as_object(v), "name", V.text(KEY_TOKEN)))
-            out = F.when(k == "server", srv) if out is None else out.when(k == "server", srv)
+        if SERVER in used:
+            srv = V.pack(V.put(V.as_object(v), SERVER_NAME, V.text(KEY_TOKEN)))
+            out = F.when(k == SERVER, srv) if out is None else out.when(k == SERVER, srv)
         return v if out is None else out.otherwise(v)
 
     def fix_course(x: Column) -> Column:
@@ -213,12 +226,12 @@ def orders(doc: Column, keys: list[str], strict: bool = False) -> Compiled:
 
     def fix_entry(p: Column) -> Column:
         po = V.as_object(p)
-        rewritten = V.pack(V.put(po, "courses", V.pack(F.transform(courses(p), fix_course))))
+        rewritten = V.pack(V.put(po, COURSES, V.pack(F.transform(courses(p), fix_course))))
         return F.when(has_courses(p), rewritten).otherwise(p)
 
     if not used:
         return V.pack(root), checks
-    return V.pack(V.put(root, "qsr", V.pack(F.transform(qsr, fix_entry)))), checks
+    return V.pack(V.put(root, ORDERS_ROOT, V.pack(F.transform(qsr, fix_entry)))), checks
 
 
 # ------------------------------------------------------------------- presets
@@ -238,7 +251,7 @@ PRESETS: dict[str, Preset] = {
 
 
 def redact(df: DataFrame, preset: str, pii_keys: list[str] | str,
-           payload_col: str = "payload", strict: bool = False) -> DataFrame:
+           payload_col: str = PAYLOAD, strict: bool = False) -> DataFrame:
     """Add ``status`` ('redacted' / 'quarantined'), ``reason`` and
     ``redacted`` (JSON text, NULL when quarantined) to every row of ``df``."""
     if isinstance(pii_keys, str):
@@ -273,8 +286,7 @@ def route(source_type: str) -> str:
     'source3' order events.  Unknown names raise instead of doing nothing."""
     if source_type in PRESETS:
         return source_type
-    for marker, preset in (("source1", "clickstream"), ("source2", "chat"),
-                           ("source3", "orders")):
+    for marker, preset in SOURCE_MARKERS:
         if marker in source_type:
             return preset
     raise ValueError(f"unknown source type {source_type!r}; known: {sorted(PRESETS)}")

@@ -650,3 +650,13 @@ def q_json_run(spark, sf):
     res = J.json_anonymize_job(spark, f"{base}/in", f"{base}/out", f"{base}/quarantine",
                                "source2", CHAT_KEYS, layout="keyed")
     return res.metrics
+
+
+@register("scan_id_service", fx.with_ctes("select sourceSystemId, uuid from idsvc"))
+def q_scan_idsvc(spark, sf):
+    # The service snapshot is a table of many files (segments); each is read
+    # by its own task and nothing is gathered on the driver.
+    from ..sources import identity_service as IS
+    p = scratch_path(spark, "idsvc")
+    fx.identity_service(spark, sf).repartition(8).write.parquet(p)
+    return IS.read_identity_table(spark, p)

@@ -22,6 +22,10 @@ from ..sources import objects as obj_src
 from ..sources import tables
 
 
+# Fixed value: folder-name prefix of a deletion run's new version.
+VERSION_PREFIX = "deleteOverwrite_"
+
+
 class VerificationError(RuntimeError):
     """Output does not reconcile with its input; nothing may be purged."""
 
@@ -101,7 +105,7 @@ def deletion_job(spark: SparkSession, customers: DataFrame, requests: DataFrame,
                  out_root: str, fmt: str, as_of: str, strict: bool = False) -> JobResult:
     """Write the customers minus the requested e-mails as a new dated version
     and list the older versions for purging."""
-    marker = f"deleteOverwrite_{as_of}"
+    marker = f"{VERSION_PREFIX}{as_of}"
     path = f"{out_root}/{fmt}/{marker}"
     kept, obs = counted(deletion.apply_deletions(customers, requests, strict), "kept")
     files.write_by_format(kept, path, fmt)
