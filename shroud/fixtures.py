@@ -20,9 +20,11 @@ DTC = "2024-01-01 12:00:00"
 
 # Width of the key ranges that bound one JSON object: a user, conversation
 # or customer with many rows yields several bounded objects, never one
-# unbounded document.
-EVENT_BATCH = 100000
-ORDER_BATCH = 1000000
+# unbounded document.  The widths keep every document a few MB at most
+# (an event item is ~110 bytes, an order ~200), well inside the 16 MiB a
+# VARIANT value may hold, even if one key owned every row of a range.
+EVENT_BATCH = 50000
+ORDER_BATCH = 20000
 TURN_BATCH = 1000
 
 

@@ -47,15 +47,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``setCheckpointDir``).  Only when neither is set, as in unit tests on a
     laptop, a private temporary folder is created and registered.
     """
-    sc = spark.sparkContext
-    base = sc.getCheckpointDir()
-    if base:
-        # setCheckpointDir appends a per-application uuid folder; share its parent.
-        return base.rsplit("/", 1)[0]
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (e.g. Spark Connect)
+        sc = None
+    if sc is not None:
+        base = sc.getCheckpointDir()
+        if base:
+            # setCheckpointDir appends a per-application uuid folder; share its parent.
+            return base.rsplit("/", 1)[0]
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="shroud-ckpt-")
-    sc.setCheckpointDir(conf_dir)
+    if sc is not None:
+        sc.setCheckpointDir(conf_dir)
     return conf_dir
 
 
@@ -66,4 +71,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.sparkContext.defaultParallelism or os.cpu_count() or 8)
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:
+        return int(spark.conf.get("spark.default.parallelism", None)
+                   or spark.conf.get("spark.sql.shuffle.partitions", None) or os.cpu_count() or 8)
