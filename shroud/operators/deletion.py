@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_email
@@ -23,7 +23,8 @@ def request_keys(requests: DataFrame, strict: bool = False) -> DataFrame:
     return keys.distinct()
 
 
-def apply_deletions(customers: DataFrame, requests: DataFrame, strict: bool = False) -> DataFrame:
+def apply_deletions(customers: DataFrame, requests: DataFrame, strict: bool = False,
+                    distinct_rows: Observation | None = None) -> DataFrame:
     """Distinct customers minus those named in ``requests``.
 
     Parity mode compares ``trim(email)`` of the customer with the normalised
@@ -31,9 +32,12 @@ def apply_deletions(customers: DataFrame, requests: DataFrame, strict: bool = Fa
     lower-cased request; strict mode lower-cases both sides.  NULL e-mails
     are kept and spread over the shuffle; a hot e-mail on the customer side
     is split by AQE, and the request side is broadcast by AQE only when its
-    measured size is under the broadcast threshold.
+    measured size is under the broadcast threshold.  ``distinct_rows``
+    (optional) counts the distinct customer rows inside the same plan.
     """
     left = customers.select(*CUSTOMER_COLUMNS).distinct()
+    if distinct_rows is not None:
+        left = left.observe(distinct_rows, F.count(F.lit(1)).alias("rows"))
     key = normalize_email("email") if strict else F.trim("email")
     return keyed_join(left, request_keys(requests, strict), key, REQ, "left_anti",
                       CUSTOMER_COLUMNS)

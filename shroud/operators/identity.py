@@ -11,7 +11,7 @@ side joined to a distinct (key, uuid) right side is itself distinct.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import run_stamp, source_id, source_key
@@ -49,9 +49,14 @@ def deidentify(customers: DataFrame, idsvc: DataFrame, source: str,
 
 
 def secure(customers: DataFrame, idsvc: DataFrame, source: str,
-           as_of: str | None = None) -> DataFrame:
-    """Secured copy: every distinct raw customer row plus ``gid`` (NULL when unknown)."""
+           as_of: str | None = None, distinct_rows: Observation | None = None) -> DataFrame:
+    """Secured copy: every distinct raw customer row plus ``gid`` (NULL when unknown).
+
+    ``distinct_rows`` (optional) counts the distinct customer rows inside the
+    same plan, so reconciling needs no extra pass over the input."""
     left = customers.select(*CUSTOMER_COLUMNS).distinct()
+    if distinct_rows is not None:
+        left = left.observe(distinct_rows, F.count(F.lit(1)).alias("rows"))
     out = keyed_join(left, identity_lookup(idsvc), source_key("id", source), KEY, "left",
                      CUSTOMER_COLUMNS)
     return out.select(*CUSTOMER_COLUMNS, F.col("uuid").alias("gid"),
@@ -91,8 +96,9 @@ def upsert_identities(existing: DataFrame, new_pairs: DataFrame) -> DataFrame:
     replaces an existing row with the same key; among several new pairs for
     one key the smallest uuid wins."""
     incoming = unique_identities(new_pairs.where(F.col("sourceSystemId").isNotNull()))
-    kept = existing.select("sourceSystemId", "uuid").join(
-        incoming.select("sourceSystemId"), "sourceSystemId", "left_anti")
+    kept = keyed_join(existing.select("sourceSystemId", "uuid"),
+                      incoming.select(F.col("sourceSystemId").alias(KEY)),
+                      F.col("sourceSystemId"), KEY, "left_anti", ["sourceSystemId", "uuid"])
     return kept.unionByName(incoming)
 
 

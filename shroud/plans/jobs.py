@@ -11,7 +11,7 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -70,14 +70,16 @@ def deidentify_job(spark: SparkSession, customers: DataFrame, idsvc: DataFrame,
         public_path = f"{public_root}/{fmt}/{dataset}"
         secured_path = f"{secured_root}/{fmt}/{dataset}"
         public, pub_obs = counted(identity.deidentify(customers, lookup, source, as_of), "public")
-        secured, sec_obs = counted(identity.secure(customers, lookup, source, as_of), "secured")
+        distinct_obs = Observation("distinct_source")
+        secured, sec_obs = counted(identity.secure(customers, lookup, source, as_of,
+                                                   distinct_rows=distinct_obs), "secured")
         missing, aud_obs = counted(
             identity.missing_identities(customers, lookup, source, as_of), "audit")
         files.write_by_format(public, public_path, fmt)
         files.write_by_format(secured, secured_path, fmt)
         audit.refresh_audit(missing, audit_root, source)
         values = {"source_rows": count_rows({"n": customers})["n"],
-                  "distinct_source_rows": count_rows({"n": customers.distinct()})["n"],
+                  "distinct_source_rows": distinct_obs.get["rows"],
                   "public_rows": pub_obs.get["public"],
                   "secured_rows": sec_obs.get["secured"],
                   "missing_identities": aud_obs.get["audit"]}
@@ -107,13 +109,16 @@ def deletion_job(spark: SparkSession, customers: DataFrame, requests: DataFrame,
     and list the older versions for purging."""
     marker = f"{VERSION_PREFIX}{as_of}"
     path = f"{out_root}/{fmt}/{marker}"
-    kept, obs = counted(deletion.apply_deletions(customers, requests, strict), "kept")
+    # Every count of the big side is observed inside the one write plan.
+    source, src_obs = counted(customers, "source")
+    distinct_obs = Observation("distinct_source")
+    kept, obs = counted(deletion.apply_deletions(source, requests, strict,
+                                                 distinct_rows=distinct_obs), "kept")
     files.write_by_format(kept, path, fmt)
-    values = {"source_rows": count_rows({"n": customers})["n"],
+    values = {"source_rows": src_obs.get["source"],
               "request_rows": count_rows({"n": requests.distinct()})["n"],
               "kept_rows": obs.get["kept"]}
-    values["deleted_rows"] = (count_rows({"n": customers.distinct()})["n"]
-                              - values["kept_rows"])
+    values["deleted_rows"] = distinct_obs.get["rows"] - values["kept_rows"]
     back = count_rows({"kept": files.read_by_format(spark, path, fmt, schemas.CUSTOMERS)})
     _check(back["kept"] == values["kept_rows"], f"new version: {back} vs {values}")
     man = manifest.purge_manifest_keep_version(spark, out_root, fmt, marker)
@@ -123,14 +128,18 @@ def deletion_job(spark: SparkSession, customers: DataFrame, requests: DataFrame,
 # ------------------------------------------------------------- identity load
 def identity_load_job(spark: SparkSession, pairs: DataFrame, idsvc: DataFrame, *,
                       out_path: str, fmt: str = "parquet") -> JobResult:
-    """Upsert the pairs whose key is new into a new version of the identity table."""
-    new, obs = counted(identity.new_identity_pairs(pairs, idsvc), "new_pairs")
+    """Upsert the pairs whose key is new into a new version of the identity table.
+
+    Input counts are observed inside the plans that read the data anyway."""
+    source, src_obs = counted(pairs, "pairs")
+    new, obs = counted(identity.new_identity_pairs(source, idsvc), "new_pairs")
     new = new.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        upserted = identity.upsert_identities(idsvc, new)
+        existing, lookup_obs = counted(idsvc, "lookup")
+        upserted = identity.upsert_identities(existing, new)
         upserted.write.mode("overwrite").format(fmt).save(out_path)
-        values = {"source_rows": count_rows({"n": pairs})["n"],
-                  "lookup_rows": count_rows({"n": idsvc})["n"],
+        values = {"source_rows": src_obs.get["pairs"],
+                  "lookup_rows": lookup_obs.get["lookup"],
                   "new_pairs": obs.get["new_pairs"]}
     finally:
         new.unpersist()
