@@ -15,7 +15,8 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str | None = None, app: str = "shroud",
                   shuffle_partitions: int | None = None,
-                  listing_parallelism: int | None = None) -> SparkSession:
+                  listing_parallelism: int | None = None,
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     """A session with AQE on (runtime coalescing, skew-join splitting and
     size-checked broadcast conversion) and a UTC clock."""
     builder = SparkSession.builder.appName(app)
@@ -34,6 +35,8 @@ def build_session(master: str | None = None, app: str = "shroud",
         # default; on one machine, fewer tasks that each list many folders win.
         builder = builder.config("spark.sql.sources.parallelPartitionDiscovery.parallelism",
                                  str(listing_parallelism))
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
