@@ -660,3 +660,18 @@ def q_scan_idsvc(spark, sf):
     p = scratch_path(spark, "idsvc")
     fx.identity_service(spark, sf).repartition(8).write.parquet(p)
     return IS.read_identity_table(spark, p)
+
+
+@register("stream_emit_objects", f"""
+select concat('anonymized/', {fx.ORACLE_DOC_KEYS['chat']}) object_key, conv_id, turn,
+       {_mask_sql('text')} body from conversations""")
+def q_stream_objects(spark, sf):
+    base = scratch_path(spark, "stream-objects")
+    KO.write_objects(fx.chat_docs(spark, sf), f"{base}/in", gzip=True)
+    q = RS.start_redact_stream_to_objects(spark, f"{base}/in", f"{base}/out", f"{base}/quarantine",
+                                          f"{base}/checkpoint", "source2", CHAT_KEYS,
+                                          layout="keyed")
+    q.awaitTermination()
+    docs = SO.scan_objects(spark, f"{base}/out", layout="keyed")
+    return FL.chat_rows(docs, "payload", ["object_key"]).select("object_key", "conv_id", "turn",
+                                                                "body")
