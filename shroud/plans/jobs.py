@@ -3,6 +3,13 @@
 Every job writes its outputs, reads back what it wrote and compares row
 counts before it produces a purge manifest.  Errors propagate; nothing is
 deleted implicitly (``sinks.manifest.apply_purge`` is a separate call).
+
+Counts come from ``DataFrame.observe`` on the frames being written (result
+stages, counted once per successful task) or from metadata listings; input
+counts observed before a shuffle are reported but never used to gate a purge.
+Very large object prefixes are best processed in slices (one sub-prefix per
+run, or the streaming job with ``maxFilesPerTrigger``), because a file
+source plans all of its files on the driver.
 """
 
 from __future__ import annotations
@@ -93,8 +100,10 @@ def deidentify_job(spark: SparkSession, customers: DataFrame, idsvc: DataFrame,
     _check(back["public"] == values["public_rows"], f"public copy: {back} vs {values}")
     _check(back["secured"] == values["secured_rows"], f"secured copy: {back} vs {values}")
     _check(back["audit"] == values["missing_identities"], f"audit: {back} vs {values}")
-    _check(values["secured_rows"] >= values["distinct_source_rows"],
-           "secured copy lost source rows")
+    # source_rows / distinct_source_rows are informational: they are observed
+    # before a shuffle, where a stage re-run after a lost executor may count
+    # twice.  The checks above compare result-stage counts (rows written)
+    # with what is on storage, and only they gate the purge manifest.
     man = None
     if staging_root and staging_prefixes:
         man = manifest.purge_manifest(spark, staging_root, staging_prefixes)
