@@ -173,26 +173,27 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
     red = redact.redact(scanned, preset.name, pii_keys, strict=strict)
     red = red.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        ok, ok_obs = counted(redact.redacted_only(red)
-                             .withColumn("target_key", objects.target_key()), "redacted")
+        ok = redact.redacted_only(red).withColumn("target_key", objects.target_key())
+        ok_obs = Observation("redacted")
         objects.write_objects(ok, out_root, key_col="target_key", body_col="redacted",
-                              gzip=preset.gzip)
+                              gzip=preset.gzip, written=ok_obs)
         bad = (redact.quarantined_only(red)
                .select("object_key", "path", F.length("payload").cast("long").alias("length"),
                        "reason", "payload")
-               .unionByName(obj_src.unread_objects(listing, scanned)
+               # reconcile against the persisted rows: the objects are not read twice
+               .unionByName(obj_src.unread_objects(listing, red)
                             .withColumn("payload", F.lit(None).cast("string"))))
         bad, bad_obs = counted(bad, "quarantined")
         bad.write.mode("overwrite").parquet(quarantine_root)
         values = {"listed_objects": count_rows({"n": listing})["n"],
-                  "redacted_objects": ok_obs.get["redacted"],
+                  "redacted_objects": ok_obs.get["rows"],
                   "quarantined_objects": bad_obs.get["quarantined"]}
     finally:
         red.unpersist()
     written = count_rows({"n": obj_src.list_objects(spark, out_root, "keyed")})["n"]
     values["written_objects"] = written
     _check(written == values["redacted_objects"], f"emitted objects: {values}")
-    _check(values["listed_objects"] == values["redacted_objects"] + values["quarantined_objects"],
+    _check(values["listed_objects"] == written + values["quarantined_objects"],
            f"objects do not reconcile: {values}")
     man = obj_src.list_objects(spark, in_root, layout)
     return JobResult(metrics_frame(spark, "json_anonymize", values), values, man,
