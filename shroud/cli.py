@@ -41,6 +41,7 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--as-of", default=None)
     d.add_argument("--staging-root", default=None)
     d.add_argument("--staging-prefixes", default="")
+    d.add_argument("--expected-identity-rows", type=int, default=None)
 
     x = sub.add_parser("delete")
     x.add_argument("--customers", required=True)
@@ -75,11 +76,13 @@ def main(argv: list[str] | None = None) -> None:
     if args.cmd == "deidentify":
         res = jobs.deidentify_job(
             spark, jobs.read_customers(spark, args.customers, args.customers_kind),
-            identity_service.read_identity_table(spark, args.identity, args.identity_format),
+            lambda: identity_service.read_identity_table(spark, args.identity,
+                                                         args.identity_format),
             public_root=args.public_root, secured_root=args.secured_root,
             audit_root=args.audit_root, fmt=args.format, dataset=args.dataset,
             source=args.source, as_of=args.as_of, staging_root=args.staging_root,
-            staging_prefixes=[s for s in args.staging_prefixes.split(",") if s])
+            staging_prefixes=[s for s in args.staging_prefixes.split(",") if s],
+            expected_identity_rows=args.expected_identity_rows)
     elif args.cmd == "delete":
         res = jobs.deletion_job(spark, tables.read_customers_tsv(spark, args.customers),
                                 tables.read_deletion_requests(spark, args.requests),

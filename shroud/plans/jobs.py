@@ -65,12 +65,20 @@ def wait_for_complete_lookup(read_lookup, expected_rows: int, attempts: int = 3,
 
 
 # ---------------------------------------------------------------- de-identify
-def deidentify_job(spark: SparkSession, customers: DataFrame, idsvc: DataFrame, *,
+def deidentify_job(spark: SparkSession, customers: DataFrame, idsvc, *,
                    public_root: str, secured_root: str, audit_root: str, fmt: str,
                    dataset: str, source: str, as_of: str | None = None,
                    staging_root: str | None = None,
-                   staging_prefixes: list[str] | None = None) -> JobResult:
-    """Public (de-identified) and secured copies, audit refresh, staging manifest."""
+                   staging_prefixes: list[str] | None = None,
+                   expected_identity_rows: int | None = None) -> JobResult:
+    """Public (de-identified) and secured copies, audit refresh, staging manifest.
+
+    ``idsvc`` is the identity table, or a function that reads it; with
+    ``expected_identity_rows`` the function is called until the snapshot is
+    complete (a bounded number of times, then the job fails)."""
+    if callable(idsvc):
+        idsvc = (wait_for_complete_lookup(idsvc, expected_identity_rows)
+                 if expected_identity_rows is not None else idsvc())
     customers = customers.persist(StorageLevel.MEMORY_AND_DISK)
     lookup = idsvc.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -75,3 +75,21 @@ def test_json_job_files_layout(spark, scratch):
     out = SO.scan_objects(spark, f"{root}/out", layout="keyed").collect()
     assert [r["object_key"] for r in out] == ["anonymized/day=1/a.json"]
     assert '"email":""' in out[0]["payload"] and '"phone":""' in out[0]["payload"]
+
+
+def test_incomplete_identity_snapshot_fails_bounded(spark, scratch):
+    import pytest
+
+    base = scratch("incomplete")
+    fx.identity_service(spark, SF).write.parquet(f"{base}/idsvc")
+    reads = []
+
+    def reader():
+        reads.append(1)
+        return spark.read.parquet(f"{base}/idsvc")
+
+    n = spark.read.parquet(f"{base}/idsvc").count()
+    assert J.wait_for_complete_lookup(reader, n).count() == n
+    with pytest.raises(J.VerificationError):
+        J.wait_for_complete_lookup(reader, n + 1, attempts=2, wait_seconds=0)
+    assert len(reads) == 3
