@@ -27,7 +27,10 @@ def build_session(master: str | None = None, app: str = "shroud",
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
-               .config("spark.sql.session.timeZone", "UTC"))
+               .config("spark.sql.session.timeZone", "UTC")
+               # JSON objects with a repeated key keep the last value (instead
+               # of failing to parse), as the producing systems' parser does.
+               .config("spark.sql.variant.allowDuplicateKeys", "true"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if listing_parallelism:

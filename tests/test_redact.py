@@ -108,3 +108,10 @@ def test_route():
     import pytest
     with pytest.raises(ValueError):
         RD.route("nothing")
+
+
+def test_repeated_key_keeps_last_value(spark):
+    doc = '{"results":[{"$properties":{"n":1,"n":2,"email":"x"}}],"results_meta":1}'
+    [(status, _, out)] = _run(spark, "clickstream", [doc], ["email"])
+    assert status == "redacted"
+    assert out["results"][0]["$properties"] == {"n": 2, "email": ""}
