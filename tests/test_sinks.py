@@ -61,3 +61,28 @@ def test_manifests_and_apply(spark, scratch):
     left = manifest.purge_manifest(spark, root, ["orc", "other"])
     assert {r["relative_path"].split("/")[1] for r in left.collect() if r["relative_path"].startswith("orc")} \
         == {"deleteOverwrite_2024-01-01"}
+
+
+def test_keyvalue_put_partitions(spark, scratch):
+    import json
+    import os
+    import uuid
+
+    from shroud.sinks.keyvalue import put_partitions
+
+    store = scratch("kv").replace("file:", "")
+    os.makedirs(store, exist_ok=True)
+
+    def put_batch(rows):
+        assert len(rows) <= 7
+        with open(os.path.join(store, uuid.uuid4().hex), "w") as fh:
+            json.dump(rows, fh)
+
+    df = spark.createDataFrame([(f"app-{i}", f"g{i}") for i in range(50)],
+                               schemas.IDENTITY)
+    put_partitions(df, put_batch, batch_size=7, num_partitions=3)
+    got = {}
+    for f in os.listdir(store):
+        for r in json.load(open(os.path.join(store, f))):
+            got[r["sourceSystemId"]] = r["uuid"]
+    assert got == {f"app-{i}": f"g{i}" for i in range(50)}
