@@ -31,7 +31,6 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-_KEEP = ", ".join(CUSTOMER_COLUMNS)
 _BLANKED = ", ".join(f"'' {c}" if c in PII_COLUMNS else c for c in CUSTOMER_COLUMNS)
 _ON = f"trim(concat('{fx.SOURCE}-', a.id)) = trim(b.sourceSystemId)"
 
@@ -256,7 +255,7 @@ select doc_id, 3, 'OBJECT', -1, {n}, null, {n}, {n}, 'xx', 'lang,name' from docu
 @register("json_redact_clickstream", _CLICK_ORACLE)
 def q_json_click(spark, sf):
     docs = RD.redact(fx.clickstream_docs(spark, sf), "clickstream", CLICK_KEYS)
-    return FL.clickstream_rows(RD.redacted_only(docs), "redacted", []).drop()
+    return FL.clickstream_rows(RD.redacted_only(docs), "redacted", [])
 
 
 @register("json_redact_chat", _CHAT_ORACLE)
