@@ -643,9 +643,10 @@ select 'json_anonymize' job, metric, value, format('{{:,}}', value) value_text f
   union all select 'written_objects', ({_N_CHAT}))""")
 def q_json_run(spark, sf):
     base = scratch_path(spark, "json-run")
-    KO.write_objects(fx.chat_docs(spark, sf), f"{base}/in", gzip=True, mode="append")
-    KO.write_objects(_with_key_prefix(fx.chat_docs(spark, sf, with_guest=False), "noguest/"),
-                     f"{base}/in", gzip=True, mode="append")
+    docs = fx.chat_docs(spark, sf).select("object_key", "payload").unionByName(
+        _with_key_prefix(fx.chat_docs(spark, sf, with_guest=False), "noguest/")
+        .select("object_key", "payload"))
+    KO.write_objects(docs, f"{base}/in", gzip=True)
     res = J.json_anonymize_job(spark, f"{base}/in", f"{base}/out", f"{base}/quarantine",
                                "source2", CHAT_KEYS, layout="keyed")
     return res.metrics
