@@ -93,3 +93,17 @@ def test_incomplete_identity_snapshot_fails_bounded(spark, scratch):
     with pytest.raises(J.VerificationError):
         J.wait_for_complete_lookup(reader, n + 1, attempts=2, wait_seconds=0)
     assert len(reads) == 3
+
+
+def test_deletion_job_everything_deleted_gzip(spark, scratch):
+    from pyspark.sql import functions as F
+
+    base = scratch("del-all")
+    src = fx.customers(spark, SF).where(F.col("email").isNotNull())
+    K.write_tsv_gzip(src, f"{base}/customers")
+    K.write_csv(src.select(F.upper(F.trim("email")).alias("email")), f"{base}/requests", sep="\t")
+    res = J.deletion_job(spark, ST.read_customers_tsv(spark, f"{base}/customers"),
+                         ST.read_deletion_requests(spark, f"{base}/requests/*"),
+                         out_root=f"{base}/lake", fmt="gzip", as_of="2024-01-01", strict=True)
+    assert res.values["kept_rows"] == 0
+    assert res.values["deleted_rows"] == res.values["source_rows"]
