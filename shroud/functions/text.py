@@ -47,7 +47,10 @@ def mask_email(col: Column | str) -> Column:
 
 
 def mask_phone(col: Column | str) -> Column:
-    return F.regexp_replace(_c(col), PHONE_PATTERN, TEXT_TOKEN)
+    """Every alternative of the pattern contains three digits in a row, so a
+    quick search for them skips the full pattern on most texts."""
+    c = _c(col)
+    return F.when(c.rlike(r"\d{3}"), F.regexp_replace(c, PHONE_PATTERN, TEXT_TOKEN)).otherwise(c)
 
 
 def mask_name(col: Column | str) -> Column:
