@@ -16,6 +16,19 @@ from .. import fixtures as fx
 from ..functions import text as T
 from ..operators import deletion, identity
 from ..schemas import CUSTOMER_COLUMNS, PII_COLUMNS
+from .. import schemas as SC
+from ..operators import audit as AU
+from ..operators import flatten as FL
+from ..operators import redact as RD
+from ..session import scratch_path
+from ..sinks import files as K
+from ..sinks import manifest as MF
+from ..sinks import objects as KO
+from ..sources import identity_service as IS
+from ..sources import objects as SO
+from ..sources import tables as ST
+from ..streaming import redact_stream as RS
+from . import jobs as J
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -215,8 +228,6 @@ def q_path_parts(spark, sf):
 
 
 # ---------------------------------------------------------------- JSON redaction
-from ..operators import flatten as FL  # noqa: E402
-from ..operators import redact as RD  # noqa: E402
 
 CLICK_KEYS = ["email", "phone"]
 CHAT_KEYS = ["name", "email"]
@@ -398,16 +409,6 @@ def q_json_all(spark, sf):
 
 
 # ------------------------------------------------------------ object I/O
-from ..plans import jobs as J  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sinks import files as K  # noqa: E402
-from ..sinks import manifest as MF  # noqa: E402
-from ..sinks import objects as KO  # noqa: E402
-from ..sources import objects as SO  # noqa: E402
-from ..sources import tables as ST  # noqa: E402
-from ..operators import audit as AU  # noqa: E402
-from ..streaming import redact_stream as RS  # noqa: E402
-from .. import schemas as SC  # noqa: E402
 
 
 @register("scan_json_objects", f"""
@@ -656,7 +657,6 @@ def q_json_run(spark, sf):
 def q_scan_idsvc(spark, sf):
     # The service snapshot is a table of many files (segments); each is read
     # by its own task and nothing is gathered on the driver.
-    from ..sources import identity_service as IS
     p = scratch_path(spark, "idsvc")
     fx.identity_service(spark, sf).repartition(8).write.parquet(p)
     return IS.read_identity_table(spark, p)
