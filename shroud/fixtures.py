@@ -4,9 +4,10 @@ The privacy data model (customer exports, identity service, deletion
 requests, JSON objects) is derived from the TPC-H-style tables so that every
 query's work grows with them.  Each recipe exists twice: as a DataFrame
 builder used by the Spark queries and as portable SQL text used by the
-DuckDB oracles.  The arithmetic on keys only decides *which* rows carry
-which variant (padded key, missing identity, ...); no recipe samples or
-caps the input.
+DuckDB oracles.  Which customers lack an identity or ask for deletion
+follows their data (negative balance, market segment, nation); arithmetic on
+keys only picks the *form* of a value (padded key, mixed-case e-mail, ...).
+No recipe samples or caps its input.
 """
 
 from __future__ import annotations
@@ -66,16 +67,18 @@ def identity_service(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     key = (F.when(k % 5 == 0, F.concat(F.lit(f" {SOURCE}-"), _s(k), F.lit(" ")))
            .otherwise(F.concat(F.lit(f"{SOURCE}-"), _s(k))))
-    return (table(spark, sf_dir, "customer").where(k % 7 != 0)
+    # customers with a negative balance have no identity yet
+    return (table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
             .select(key.alias("sourceSystemId"),
                     F.md5(F.concat(F.lit("gid-"), _s(k))).alias("uuid")))
 
 
 def deletion_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = customers(spark, sf_dir)
-    n = F.col("id").cast("int")
-    upper = src.where(n % 10 == 3).select(F.upper(F.trim("email")).alias("email"))
-    padded = src.where(n % 20 == 1).select(F.concat(F.trim("email"), F.lit(" ")).alias("email"))
+    upper = src.where(F.col("reference") == "BUILDING").select(
+        F.upper(F.trim("email")).alias("email"))
+    padded = src.where(F.col("level_up_id").isin("1", "2")).select(
+        F.concat(F.trim("email"), F.lit(" ")).alias("email"))
     return upper.unionByName(padded)
 
 
@@ -88,8 +91,9 @@ def identity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit(f"{SOURCE}-"), _s(k)).alias("sourceSystemId"),
             F.md5(F.concat(F.lit("new-"), _s(k))).alias("uuid"))
 
+    bal = F.col("c_acctbal")
     return (identity_service(spark, sf_dir)
-            .unionByName(new(k % 7 == 0)).unionByName(new(k % 14 == 0)))
+            .unionByName(new(bal < 0)).unionByName(new(bal < -500)))
 
 
 ORACLE_RELATIONAL_CTES = f"""
@@ -111,17 +115,17 @@ idsvc as (
  select case when c_custkey % 5 = 0 then concat(' {SOURCE}-', cast(c_custkey as varchar), ' ')
              else concat('{SOURCE}-', cast(c_custkey as varchar)) end sourceSystemId,
         md5(concat('gid-', cast(c_custkey as varchar))) uuid
- from customer where c_custkey % 7 <> 0),
+ from customer where c_acctbal >= 0),
 dels as (
- select upper(trim(email)) email from src where cast(id as int) % 10 = 3
+ select upper(trim(email)) email from src where reference = 'BUILDING'
  union all
- select trim(email) || ' ' email from src where cast(id as int) % 20 = 1),
+ select trim(email) || ' ' email from src where level_up_id in ('1', '2')),
 pairs as (
  select sourceSystemId, uuid from idsvc
  union all select concat('{SOURCE}-', cast(c_custkey as varchar)), md5(concat('new-', cast(c_custkey as varchar)))
-           from customer where c_custkey % 7 = 0
+           from customer where c_acctbal < 0
  union all select concat('{SOURCE}-', cast(c_custkey as varchar)), md5(concat('new-', cast(c_custkey as varchar)))
-           from customer where c_custkey % 14 = 0)
+           from customer where c_acctbal < -500)
 """
 
 
