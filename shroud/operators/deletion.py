@@ -13,14 +13,20 @@ REQ = "__request_email"
 
 
 def request_keys(requests: DataFrame, strict: bool = False) -> DataFrame:
-    """Distinct lower(trim(email)) of the requests, NULLs removed.
+    """lower(trim(email)) of the requests, NULLs removed.
 
     Strict mode also drops requests that trim to '' (which would otherwise
-    match every de-identified row, whose e-mail is '')."""
-    keys = requests.select(normalize_email("email").alias(REQ)).where(F.col(REQ).isNotNull())
+    match every de-identified row, whose e-mail is '').  Exact copies are
+    removed map-side by de-duplicating on (normalised, raw) e-mail; the join
+    then shuffles on the normalised key alone, a plain exchange that AQE's
+    skew handling can split (a DISTINCT on the join key itself would sit
+    between that exchange and the join and hide it).
+    """
+    keys = (requests.select(normalize_email("email").alias(REQ), "email")
+            .where(F.col(REQ).isNotNull()))
     if strict:
         keys = keys.where(F.col(REQ) != "")
-    return keys.distinct()
+    return keys.distinct().select(REQ)
 
 
 def apply_deletions(customers: DataFrame, requests: DataFrame, strict: bool = False,

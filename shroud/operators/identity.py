@@ -70,7 +70,9 @@ def missing_identities(customers: DataFrame, idsvc: DataFrame, source: str,
     Only (id, email, created_at) are read; distinct first, anti-join second.
     """
     left = customers.select("id", "email", "created_at").distinct()
-    keys = identity_lookup(idsvc).select(KEY).distinct()
+    # (key, uuid) pairs are already distinct; a second DISTINCT on the key alone
+    # would hide the join's exchange from AQE's skew-join splitting.
+    keys = identity_lookup(idsvc).select(KEY)
     out = keyed_join(left, keys, source_key("id", source), KEY, "left_anti",
                      ["id", "email", "created_at"])
     return out.select(F.lit(source).alias("source"),
@@ -81,7 +83,7 @@ def missing_identities(customers: DataFrame, idsvc: DataFrame, source: str,
 def new_identity_pairs(pairs: DataFrame, idsvc: DataFrame) -> DataFrame:
     """Distinct (sourceSystemId, uuid) pairs whose trimmed key is not in the service."""
     left = pairs.select("sourceSystemId", "uuid").distinct()
-    keys = identity_lookup(idsvc).select(KEY).distinct()
+    keys = identity_lookup(idsvc).select(KEY)
     return keyed_join(left, keys, F.trim("sourceSystemId"), KEY, "left_anti",
                       ["sourceSystemId", "uuid"])
 
@@ -95,9 +97,12 @@ def upsert_identities(existing: DataFrame, new_pairs: DataFrame) -> DataFrame:
     """Identity table after putting ``new_pairs`` by raw key: a new pair
     replaces an existing row with the same key; among several new pairs for
     one key the smallest uuid wins."""
-    incoming = unique_identities(new_pairs.where(F.col("sourceSystemId").isNotNull()))
-    kept = keyed_join(existing.select("sourceSystemId", "uuid"),
-                      incoming.select(F.col("sourceSystemId").alias(KEY)),
+    fresh = new_pairs.where(F.col("sourceSystemId").isNotNull())
+    incoming = unique_identities(fresh)
+    # replaced keys, de-duplicated on (key, uuid) so the join keeps its own,
+    # skew-splittable exchange on the key
+    replaced = fresh.select(F.col("sourceSystemId").alias(KEY), "uuid").distinct().select(KEY)
+    kept = keyed_join(existing.select("sourceSystemId", "uuid"), replaced,
                       F.col("sourceSystemId"), KEY, "left_anti", ["sourceSystemId", "uuid"])
     return kept.unionByName(incoming)
 
