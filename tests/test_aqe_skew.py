@@ -36,9 +36,11 @@ def skew_session(spark):
             spark.conf.set(k, v)
 
 
-def _customers(spark, n, id_col, email_col):
+def _customers(spark, n, id_col, email_col, extra=None):
+    extra = extra or {}
     return spark.range(n).select(*[
-        (id_col if c == "id" else email_col if c == "email" else F.lit(None).cast("string")).alias(c)
+        (id_col if c == "id" else email_col if c == "email" else
+         extra.get(c, F.lit(None).cast("string"))).alias(c)
         for c in schemas.CUSTOMER_COLUMNS])
 
 
@@ -71,3 +73,24 @@ def test_hot_id_split_in_audit(skew_session):
     assert "SortMergeJoin(skew=true)" in plan
     missing = len([i for i in range(n) if i % 3 != 0 and i % 2 == 1]) + len(range(0, n, 3))
     assert len(rows) == missing
+
+
+@pytest.mark.parametrize("op", ["deidentify", "secure"])
+def test_hot_id_split_in_identity_joins(skew_session, op):
+    spark = skew_session
+    n = 300000
+    # a third of the rows carry the same id; they stay distinct rows after PII
+    # blanking because a non-PII column differs
+    ids = F.when(F.col("id") % 3 == 0, F.lit("8")).otherwise(F.col("id").cast("string"))
+    cust = _customers(spark, n, ids, F.concat(F.col("id").cast("string"), F.lit("@x.com")),
+                      {"tracking_uuid": F.col("id").cast("string")})
+    idsvc = spark.range(0, n, 2).select(F.concat(F.lit("app-"), F.col("id").cast("string")).alias("sourceSystemId"),
+                                        F.col("id").cast("string").alias("uuid"))
+    fn = identity.deidentify if op == "deidentify" else identity.secure
+    rows, plan = _final_plan(fn(cust, idsvc, "app"))
+    assert "SortMergeJoin(skew=true)" in plan
+    if op == "secure":
+        assert len(rows) == n
+    else:
+        matched = len([i for i in range(n) if i % 3 != 0 and i % 2 == 0]) + len(range(0, n, 3))
+        assert len(rows) == matched
