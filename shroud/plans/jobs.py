@@ -196,7 +196,7 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
     """Redact every object under ``in_root``; write redacted objects under
     ``out_root`` with key ``anonymized/<key>``, quarantine the rest with a
     reason, reconcile ``listed = redacted + quarantined`` and only then list
-    the input prefix for purging."""
+    for purging the input objects whose redacted copy is on storage."""
     preset = redact.PRESETS[redact.route(source_type)]
     scanned = obj_src.scan_objects(spark, in_root, layout)
     listing = obj_src.list_objects(spark, in_root, layout)
@@ -225,7 +225,13 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
     _check(written == values["redacted_objects"], f"emitted objects: {values}")
     _check(values["listed_objects"] == written + values["quarantined_objects"],
            f"objects do not reconcile: {values}")
-    man = obj_src.list_objects(spark, in_root, layout)
+    # Only objects whose redacted copy is on storage may be purged; quarantined
+    # ones stay (an unreadable object has no other copy).  Both sides are
+    # metadata listings.
+    prefix_len = len(objects.TARGET_PREFIX)
+    done = (obj_src.list_objects(spark, out_root, "keyed")
+            .select(F.expr(f"substring(object_key, {prefix_len + 1})").alias("object_key")))
+    man = obj_src.list_objects(spark, in_root, layout).join(done, "object_key", "left_semi")
     return JobResult(metrics_frame(spark, "json_anonymize", values), values, man,
                      {"objects": out_root, "quarantine": quarantine_root})
 

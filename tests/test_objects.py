@@ -40,6 +40,9 @@ def test_truncated_gzip_is_quarantined_not_lost(spark, scratch):
     assert [r["reason"] for r in q] == ["unreadable_object"]
     out = SO.scan_objects(spark, f"{base}/out", layout="keyed").collect()
     assert all(r["object_key"].startswith("anonymized/k/") for r in out)
+    # the unreadable object is not offered for purging
+    purge = {r["object_key"] for r in res.manifest.collect()}
+    assert len(purge) == 5 and purge == {r["object_key"][len("anonymized/"):] for r in out}
     assert all("(Anonymized PII)" in r["payload"] for r in out)
 
 
