@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import audit, deletion, identity, redact
 from ..operators.metrics import count_rows, counted, metrics_frame
+from ..session import scratch_path
 from ..sinks import files, manifest, objects
 from ..sources import objects as obj_src
 from ..sources import tables
@@ -97,28 +98,29 @@ def deidentify_job(spark: SparkSession, customers: DataFrame, idsvc, *,
     if callable(idsvc):
         idsvc = (wait_for_complete_lookup(idsvc, expected_identity_rows)
                  if expected_identity_rows is not None else idsvc())
-    customers = customers.persist(StorageLevel.MEMORY_AND_DISK)
-    lookup = idsvc.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        public_path = f"{public_root}/{fmt}/{dataset}"
-        secured_path = f"{secured_root}/{fmt}/{dataset}"
-        public, pub_obs = counted(identity.deidentify(customers, lookup, source, as_of), "public")
-        distinct_obs = Observation("distinct_source")
-        secured, sec_obs = counted(identity.secure(customers, lookup, source, as_of,
-                                                   distinct_rows=distinct_obs), "secured")
-        missing, aud_obs = counted(
-            identity.missing_identities(customers, lookup, source, as_of), "audit")
-        files.write_by_format(public, public_path, fmt)
-        files.write_by_format(secured, secured_path, fmt)
-        audit.refresh_audit(missing, audit_root, source)
-        values = {"source_rows": count_rows({"n": customers})["n"],
-                  "distinct_source_rows": distinct_obs.get["rows"],
-                  "public_rows": pub_obs.get["public"],
-                  "secured_rows": sec_obs.get["secured"],
-                  "missing_identities": aud_obs.get["audit"]}
-    finally:
-        customers.unpersist()
-        lookup.unpersist()
+    public_path = f"{public_root}/{fmt}/{dataset}"
+    secured_path = f"{secured_root}/{fmt}/{dataset}"
+    # One join serves all three outputs.  Its result is written as a table in
+    # the shared checkpoint folder: that cuts the lineage (a lost executor
+    # re-reads it instead of re-running the join) and lets each output read
+    # only its own columns.
+    joined_path = scratch_path(spark, f"deidentify-{dataset}")
+    src, src_obs = counted(customers, "source")
+    distinct_obs = Observation("distinct_source")
+    identity.join_identities(src, idsvc, source, distinct_rows=distinct_obs) \
+        .write.mode("overwrite").parquet(joined_path)
+    joined = spark.read.parquet(joined_path)
+    public, pub_obs = counted(identity.deidentified_from(joined, as_of), "public")
+    secured, sec_obs = counted(identity.secured_from(joined, as_of), "secured")
+    missing, aud_obs = counted(identity.missing_from(joined, source, as_of), "audit")
+    files.write_by_format(public, public_path, fmt)
+    files.write_by_format(secured, secured_path, fmt)
+    audit.refresh_audit(missing, audit_root, source)
+    values = {"source_rows": src_obs.get["source"],
+              "distinct_source_rows": distinct_obs.get["rows"],
+              "public_rows": pub_obs.get["public"],
+              "secured_rows": sec_obs.get["secured"],
+              "missing_identities": aud_obs.get["audit"]}
     back = {"public": _written_rows(spark, public_path, fmt, schemas.DEIDENTIFIED,
                                     values["public_rows"], verify),
             "secured": _written_rows(spark, secured_path, fmt, schemas.SECURED,
@@ -136,7 +138,8 @@ def deidentify_job(spark: SparkSession, customers: DataFrame, idsvc, *,
     if staging_root and staging_prefixes:
         man = manifest.purge_manifest(spark, staging_root, staging_prefixes)
     return JobResult(metrics_frame(spark, "deidentify", values), values, man,
-                     {"public": public_path, "secured": secured_path, "audit": audit_root})
+                     {"public": public_path, "secured": secured_path, "audit": audit_root,
+                      "joined": joined_path})
 
 
 # ------------------------------------------------------------------- deletion

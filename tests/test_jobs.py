@@ -107,3 +107,42 @@ def test_deletion_job_everything_deleted_gzip(spark, scratch):
                          out_root=f"{base}/lake", fmt="gzip", as_of="2024-01-01", strict=True)
     assert res.values["kept_rows"] == 0
     assert res.values["deleted_rows"] == res.values["source_rows"]
+
+
+def test_deidentify_job_outputs_equal_standalone_operators(spark, scratch):
+    from shroud import schemas
+    from shroud.operators import audit, identity
+
+    base = scratch("deid-eq")
+    cust = fx.customers(spark, SF)
+    idsvc = fx.identity_service(spark, SF)
+    res = J.deidentify_job(spark, cust, idsvc, public_root=f"{base}/pub",
+                           secured_root=f"{base}/sec", audit_root=f"{base}/audit", fmt="orc",
+                           dataset="c", source="app", as_of="2024-01-01")
+
+    def rows(df):
+        return sorted(map(tuple, df.collect()), key=str)
+
+    assert rows(spark.read.schema(schemas.DEIDENTIFIED).orc(res.outputs["public"])) == \
+        rows(identity.deidentify(cust, idsvc, "app", "2024-01-01"))
+    assert rows(spark.read.schema(schemas.SECURED).orc(res.outputs["secured"])) == \
+        rows(identity.secure(cust, idsvc, "app", "2024-01-01"))
+    got_audit = audit.read_audit(spark, f"{base}/audit")
+    assert rows(got_audit) == rows(identity.missing_identities(cust, idsvc, "app", "2024-01-01"))
+
+
+def test_null_uuid_counts_as_matched(spark):
+    from shroud import schemas
+    from shroud.operators import identity
+
+    cust = spark.createDataFrame([tuple(["1", "a"] + [None] * 16), tuple(["2", "b"] + [None] * 16)],
+                                 schemas.CUSTOMERS)
+    idsvc = spark.createDataFrame([("app-1", None)], schemas.IDENTITY)
+    j = identity.join_identities(cust, idsvc, "app")
+    pub = identity.deidentified_from(j).collect()
+    miss = identity.missing_from(j, "app").collect()
+    assert [(r["id"], r["gid"]) for r in pub] == [("1", None)]
+    assert [r["source_id"] for r in miss] == ["app-2"]
+    # same as the standalone operators
+    assert [(r["id"], r["gid"]) for r in identity.deidentify(cust, idsvc, "app").collect()] == [("1", None)]
+    assert [r["source_id"] for r in identity.missing_identities(cust, idsvc, "app").collect()] == ["app-2"]
