@@ -3,7 +3,7 @@
     python -m shroud deidentify --customers s3a://.../customers/ --identity s3a://.../idsvc/ \
         --public-root ... --secured-root ... --audit-root ... --format orc --dataset customers
     python -m shroud delete --customers ... --requests '.../requests/*' --out-root ... --format gzip
-    python -m shroud load-identities --pairs ... --identity ... --out ...
+    python -m shroud load-identities --pairs ... --identity ... (--append | --out ...)
     python -m shroud anonymize --in-root ... --out-root ... --quarantine ... \
         --source-type source2 --pii-keys name,email
 
@@ -57,7 +57,9 @@ def _parser() -> argparse.ArgumentParser:
     w.add_argument("--sep", default="\t")
     w.add_argument("--identity", required=True)
     w.add_argument("--identity-format", default="parquet")
-    w.add_argument("--out", required=True)
+    w.add_argument("--out", default=None, help="write the upserted table as a new version")
+    w.add_argument("--append", action="store_true",
+                   help="append only the new pairs to the --identity table")
 
     a = sub.add_parser("anonymize")
     a.add_argument("--in-root", required=True)
@@ -94,7 +96,8 @@ def main(argv: list[str] | None = None) -> None:
         res = jobs.identity_load_job(
             spark, tables.read_identity_pairs(spark, args.pairs, args.sep),
             identity_service.read_identity_table(spark, args.identity, args.identity_format),
-            out_path=args.out)
+            out_path=None if args.append else args.out,
+            append_to=args.identity if args.append else None, fmt=args.identity_format)
     else:
         res = jobs.json_anonymize_job(spark, args.in_root, args.out_root, args.quarantine,
                                       args.source_type, args.pii_keys, layout=args.layout,

@@ -169,16 +169,39 @@ def deletion_job(spark: SparkSession, customers: DataFrame, requests: DataFrame,
 
 # ------------------------------------------------------------- identity load
 def identity_load_job(spark: SparkSession, pairs: DataFrame, idsvc: DataFrame, *,
-                      out_path: str, fmt: str = "parquet") -> JobResult:
-    """Upsert the pairs whose key is new into a new version of the identity table.
+                      out_path: str | None = None, append_to: str | None = None,
+                      fmt: str = "parquet") -> JobResult:
+    """Load the pairs whose key the identity table does not know yet.
 
-    Input counts are observed inside the plans that read the data anyway."""
-    source, src_obs = counted(pairs, "pairs")
-    new, obs = counted(identity.new_identity_pairs(source, idsvc), "new_pairs")
+    ``append_to``: append only the new pairs to the identity table at that
+    path.  New pairs never collide with a stored key (their trimmed key is
+    absent), so appending is exactly the upsert, and the table is never
+    rewritten.  The new pairs are staged in the shared checkpoint folder
+    first, so the append does not re-read the table it is adding to.
+    ``out_path``: write the complete upserted table as a new version instead.
+    """
+    if (out_path is None) == (append_to is None):
+        raise ValueError("give exactly one of out_path and append_to")
+    src, src_obs = counted(pairs, "pairs")
+    existing, lookup_obs = counted(idsvc, "lookup")
+    new, obs = counted(identity.new_identity_pairs(src, existing), "new_pairs")
+    if append_to is not None:
+        staged = scratch_path(spark, "identity-load")
+        new.write.mode("overwrite").parquet(staged)
+        incoming, in_obs = counted(
+            identity.unique_identities(spark.read.parquet(staged)
+                                       .where(F.col("sourceSystemId").isNotNull())), "appended")
+        incoming.write.mode("append").format(fmt).save(append_to)
+        values = {"source_rows": src_obs.get["pairs"], "lookup_rows": lookup_obs.get["lookup"],
+                  "new_pairs": obs.get["new_pairs"], "appended_rows": in_obs.get["appended"]}
+        after = count_rows({"n": spark.read.format(fmt).load(append_to)})["n"]
+        values["identity_rows_after"] = after
+        _check(after >= values["lookup_rows"] + values["appended_rows"], "identity rows lost")
+        return JobResult(metrics_frame(spark, "identity_load", values), values, None,
+                         {"identity": append_to, "staged": staged})
     new = new.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        existing, lookup_obs = counted(idsvc, "lookup")
-        upserted = identity.upsert_identities(existing, new)
+        upserted = identity.upsert_identities(idsvc, new)
         upserted.write.mode("overwrite").format(fmt).save(out_path)
         values = {"source_rows": src_obs.get["pairs"],
                   "lookup_rows": lookup_obs.get["lookup"],

@@ -146,3 +146,22 @@ def test_null_uuid_counts_as_matched(spark):
     # same as the standalone operators
     assert [(r["id"], r["gid"]) for r in identity.deidentify(cust, idsvc, "app").collect()] == [("1", None)]
     assert [r["source_id"] for r in identity.missing_identities(cust, idsvc, "app").collect()] == ["app-2"]
+
+
+def test_identity_load_append_equals_upsert(spark, scratch):
+    from shroud.operators import identity
+
+    base = scratch("ids-append")
+    fx.identity_service(spark, SF).write.parquet(f"{base}/table")
+    pairs = fx.identity_pairs(spark, SF)
+    before = spark.read.parquet(f"{base}/table")
+    expected = sorted(map(tuple, identity.upsert_identities(
+        before, identity.new_identity_pairs(pairs, before)).collect()), key=str)
+    res = J.identity_load_job(spark, pairs, spark.read.parquet(f"{base}/table"),
+                              append_to=f"{base}/table")
+    got = sorted(map(tuple, spark.read.parquet(f"{base}/table").collect()), key=str)
+    assert got == expected
+    assert res.values["appended_rows"] == res.values["identity_rows_after"] - res.values["lookup_rows"]
+    again = J.identity_load_job(spark, pairs, spark.read.parquet(f"{base}/table"),
+                                append_to=f"{base}/table")
+    assert again.values["appended_rows"] == 0
