@@ -224,7 +224,8 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
     reason, reconcile ``listed = redacted + quarantined`` and only then list
     for purging the input objects whose redacted copy is on storage."""
     preset = redact.PRESETS[redact.route(source_type)]
-    scanned = obj_src.scan_objects(spark, in_root, layout)
+    # gzip sources compress every object, whatever its name
+    scanned = obj_src.scan_objects(spark, in_root, layout, gzip_any_name=preset.gzip)
     listing = obj_src.list_objects(spark, in_root, layout)
     red = redact.redact(scanned, preset.name, pii_keys, strict=strict)
     red = red.persist(StorageLevel.MEMORY_AND_DISK)

@@ -23,6 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*:)?/*"
+# File names with the gzip suffix, and every other file name (Hadoop glob).
+GZ_NAMES = "*.gz"
+NOT_GZ_NAMES = "{*[!z],*[!g]z,*[!.]gz,z,gz}"
 
 
 def _norm_root(root: str) -> str:
@@ -48,18 +51,38 @@ def object_key(path: Column, root: str, layout: str = "files") -> Column:
     raise ValueError(f"unknown object layout {layout!r}")
 
 
-def scan_objects(spark: SparkSession, root: str, layout: str = "files") -> DataFrame:
-    """(object_key, path, payload) for every readable, non-empty object."""
-    raw = (spark.read.format("text")
-           .option("wholetext", True)
-           .option("recursiveFileLookup", True)
-           .option("ignoreCorruptFiles", True)
-           .load(root))
+def scan_objects(spark: SparkSession, root: str, layout: str = "files",
+                 gzip_any_name: bool = False) -> DataFrame:
+    """(object_key, path, payload) for every readable, non-empty object.
+
+    ``gzip_any_name``: the source compresses every object, whatever its
+    name.  ``*.gz`` files are decoded by the text source as usual; the other
+    names (disjoint glob, so nothing is read twice) are read as bytes and
+    gunzipped.  Their payload is NULL when the bytes are not gzip, so the
+    object is quarantined rather than dropped.
+    """
+    reader = (spark.read.format("text")
+              .option("wholetext", True)
+              .option("recursiveFileLookup", True)
+              .option("ignoreCorruptFiles", True))
+    if gzip_any_name:
+        reader = reader.option("pathGlobFilter", GZ_NAMES)
+    raw = reader.load(root)
     path = decode_uri(F.col("_metadata.file_path"))
-    return (raw.select(path.alias("path"), F.col("value").alias("payload"))
-            .where(F.length("payload") > 0)
-            .select(object_key(F.col("path"), root, layout).alias("object_key"),
-                    "path", "payload"))
+    docs = (raw.select(path.alias("path"), F.col("value").alias("payload"))
+            .where(F.length("payload") > 0))
+    if gzip_any_name:
+        from ..functions.codec import gunzip_text
+
+        other = (spark.read.format("binaryFile")
+                 .option("recursiveFileLookup", True)
+                 .option("pathGlobFilter", NOT_GZ_NAMES)
+                 .load(root)
+                 # binaryFile's path is already in the form list_objects uses
+                 .select(F.col("path"), gunzip_text("content").alias("payload")))
+        docs = docs.unionByName(other)
+    return docs.select(object_key(F.col("path"), root, layout).alias("object_key"),
+                       "path", "payload")
 
 
 def list_objects(spark: SparkSession, root: str, layout: str = "files") -> DataFrame:

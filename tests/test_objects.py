@@ -58,3 +58,26 @@ def test_files_layout_relative_keys(spark, scratch):
     listed = [r["object_key"] for r in SO.list_objects(spark, root).collect()]
     assert listed == ["chat/day=1/a.json"]
     assert SO.unread_objects(SO.list_objects(spark, root), scanned).count() == 0
+
+
+def test_gzip_objects_without_suffix(spark, scratch):
+    import gzip as _gzip
+
+    root = scratch("gz-any").replace("file:", "")
+    os.makedirs(f"{root}/in/a", exist_ok=True)
+    doc = {"yepchat": [{"payload": {"conversations": [
+        {"guest": {"name": "G"}, "messages": [{"body": "call 415-555-1234"}]}]}}]}
+    with _gzip.open(f"{root}/in/a/no-suffix", "wb") as fh:          # gzip, no .gz name
+        fh.write(json.dumps(doc).encode())
+    with _gzip.open(f"{root}/in/a/with.json.gz", "wb") as fh:       # gzip, .gz name
+        fh.write(json.dumps(doc).encode())
+    with open(f"{root}/in/a/plain.json", "w") as fh:                # not gzip at all
+        fh.write(json.dumps(doc))
+    scanned = {r["object_key"]: r["payload"] for r in
+               SO.scan_objects(spark, f"{root}/in", gzip_any_name=True).collect()}
+    assert set(scanned) == {"a/no-suffix", "a/with.json.gz", "a/plain.json"}
+    assert json.loads(scanned["a/no-suffix"]) == doc == json.loads(scanned["a/with.json.gz"])
+    assert scanned["a/plain.json"] is None
+    res = J.json_anonymize_job(spark, f"{root}/in", f"{root}/out", f"{root}/q", "source2", ["name"])
+    assert res.values["redacted_objects"] == 2 and res.values["quarantined_objects"] == 1
+    assert {r["object_key"] for r in res.manifest.collect()} == {"a/no-suffix", "a/with.json.gz"}
