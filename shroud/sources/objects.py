@@ -2,7 +2,8 @@
 
 ``scan_objects`` reads every file below ``root`` as one row with the text
 file source (``wholetext``); ``.gz`` objects are decompressed by the source
-itself.  Zero-length objects are skipped by the file listing (they are
+itself, and for gzip sources objects named without ``.gz`` are gunzipped
+too (``gzip_any_name``).  Zero-length objects are skipped by the file listing (they are
 neither scanned nor listed, as they carry no document).  A corrupt object (e.g. a
 truncated gzip stream) is skipped by the reader instead of failing the job,
 and ``unread_objects`` recovers it from the metadata-only listing so that it
@@ -22,6 +23,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.codec import gunzip_text
+
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*:)?/*"
 # File names with the gzip suffix, and every other file name (Hadoop glob).
 GZ_NAMES = "*.gz"
@@ -72,8 +75,6 @@ def scan_objects(spark: SparkSession, root: str, layout: str = "files",
     docs = (raw.select(path.alias("path"), F.col("value").alias("payload"))
             .where(F.length("payload") > 0))
     if gzip_any_name:
-        from ..functions.codec import gunzip_text
-
         other = (spark.read.format("binaryFile")
                  .option("recursiveFileLookup", True)
                  .option("pathGlobFilter", NOT_GZ_NAMES)
