@@ -21,11 +21,12 @@ DTC = "2024-01-01 12:00:00"
 
 # Width of the key ranges that bound one JSON object: a user, conversation
 # or customer with many rows yields several bounded objects, never one
-# unbounded document.  The widths keep every document a few MB at most
-# (an event item is ~110 bytes, an order ~200), far inside the size a
-# VARIANT value may hold, even if one key owned every row of a range.
-EVENT_BATCH = 50000
-ORDER_BATCH = 20000
+# unbounded document.  Even if one key owned every row of a range, a
+# document stays bounded: at most ~11 MB of events (~110 bytes each) or
+# ~50 MB of orders (~200 bytes each), inside the 128 MiB a VARIANT value may
+# hold.
+EVENT_BATCH = 100000
+ORDER_BATCH = 250000
 TURN_BATCH = 1000
 
 
