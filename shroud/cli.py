@@ -1,9 +1,11 @@
-"""Command line: the four jobs with the arguments their operators know.
+"""Command line: the four jobs and the incremental stream, with the arguments their operators know.
 
     python -m shroud deidentify --customers s3a://.../customers/ --identity s3a://.../idsvc/ \
         --public-root ... --secured-root ... --audit-root ... --format orc --dataset customers
     python -m shroud delete --customers ... --requests '.../requests/*' --out-root ... --format gzip
     python -m shroud load-identities --pairs ... --identity ... (--append | --out ...)
+    python -m shroud stream --in-root ... --out-root ... --quarantine ... --checkpoint ... \
+        --source-type source2 --pii-keys name,email [--every "5 minutes"]
     python -m shroud anonymize --in-root ... --out-root ... --quarantine ... \
         --source-type source2 --pii-keys name,email
 
@@ -69,6 +71,19 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--pii-keys", required=True)
     a.add_argument("--layout", default="files", choices=["files", "keyed"])
     a.add_argument("--strict", action="store_true")
+
+    st = sub.add_parser("stream", help="incremental redaction of new objects into objects")
+    st.add_argument("--in-root", required=True)
+    st.add_argument("--out-root", required=True)
+    st.add_argument("--quarantine", required=True)
+    st.add_argument("--checkpoint", required=True)
+    st.add_argument("--source-type", required=True)
+    st.add_argument("--pii-keys", required=True)
+    st.add_argument("--layout", default="files", choices=["files", "keyed"])
+    st.add_argument("--strict", action="store_true")
+    st.add_argument("--every", default=None,
+                    help="keep running with this trigger interval (e.g. '5 minutes'); "
+                         "default: process what is there and stop")
     return p
 
 
@@ -98,6 +113,16 @@ def main(argv: list[str] | None = None) -> None:
             identity_service.read_identity_table(spark, args.identity, args.identity_format),
             out_path=None if args.append else args.out,
             append_to=args.identity if args.append else None, fmt=args.identity_format)
+    elif args.cmd == "stream":
+        from .streaming.redact_stream import start_redact_stream_to_objects
+        q = start_redact_stream_to_objects(
+            spark, args.in_root, args.out_root, args.quarantine, args.checkpoint,
+            args.source_type, args.pii_keys, layout=args.layout, strict=args.strict,
+            available_now=args.every is None, processing_time=args.every)
+        q.awaitTermination()
+        print(q.lastProgress)
+        spark.stop()
+        return
     else:
         res = jobs.json_anonymize_job(spark, args.in_root, args.out_root, args.quarantine,
                                       args.source_type, args.pii_keys, layout=args.layout,

@@ -26,3 +26,16 @@ def test_cli_deidentify_and_anonymize(spark, scratch, monkeypatch, capsys):
               "--pii-keys", "name,email", "--layout", "keyed"])
     out = capsys.readouterr().out
     assert "redacted_objects" in out
+
+
+def test_cli_stream_once(spark, scratch, monkeypatch, capsys):
+    from shroud.sources import objects as SO
+
+    base = scratch("cli-stream")
+    KO.write_objects(fx.chat_docs(spark, SF), f"{base}/in", gzip=True)
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    cli.main(["stream", "--in-root", f"{base}/in", "--out-root", f"{base}/out",
+              "--quarantine", f"{base}/q", "--checkpoint", f"{base}/ck",
+              "--source-type", "source2", "--pii-keys", "name,email", "--layout", "keyed"])
+    n_in = SO.list_objects(spark, f"{base}/in", "keyed").count()
+    assert SO.list_objects(spark, f"{base}/out", "keyed").count() == n_in > 0
