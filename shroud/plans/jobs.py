@@ -15,6 +15,7 @@ source plans all of its files on the driver.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -218,11 +219,17 @@ def identity_load_job(spark: SparkSession, pairs: DataFrame, idsvc: DataFrame, *
 # --------------------------------------------------------------- JSON objects
 def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
                        quarantine_root: str, source_type: str, pii_keys, *,
-                       layout: str = "files", strict: bool = False) -> JobResult:
+                       layout: str = "files", strict: bool = False,
+                       run_id: str | None = None) -> JobResult:
     """Redact every object under ``in_root``; write redacted objects under
     ``out_root`` with key ``anonymized/<key>``, quarantine the rest with a
     reason, reconcile ``listed = redacted + quarantined`` and only then list
-    for purging the input objects whose redacted copy is on storage."""
+    for purging the input objects whose redacted copy is on storage.
+
+    Runs accumulate: a run replaces only its own keys under ``out_root``
+    (objects of earlier runs stay) and writes its quarantine rows to
+    ``quarantine_root/run=<run_id>``."""
+    run_id = run_id or uuid.uuid4().hex
     preset = redact.PRESETS[redact.route(source_type)]
     # gzip sources compress every object, whatever its name
     scanned = obj_src.scan_objects(spark, in_root, layout, gzip_any_name=preset.gzip)
@@ -233,7 +240,8 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
         ok = redact.redacted_only(red).withColumn("target_key", objects.target_key())
         ok_obs = Observation("redacted")
         objects.write_objects(ok, out_root, key_col="target_key", body_col="redacted",
-                              gzip=preset.gzip, written=ok_obs)
+                              gzip=preset.gzip, written=ok_obs, dynamic=True)
+        run_keys = ok.select(F.col("target_key").alias("object_key"))
         bad = (redact.quarantined_only(red)
                .select("object_key", "path", F.length("payload").cast("long").alias("length"),
                        "reason", "payload")
@@ -241,13 +249,16 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
                .unionByName(obj_src.unread_objects(listing, red)
                             .withColumn("payload", F.lit(None).cast("string"))))
         bad, bad_obs = counted(bad, "quarantined")
-        bad.write.mode("overwrite").parquet(quarantine_root)
+        bad.write.mode("overwrite").parquet(f"{quarantine_root}/run={run_id}")
         values = {"listed_objects": count_rows({"n": listing})["n"],
                   "redacted_objects": ok_obs.get["rows"],
                   "quarantined_objects": bad_obs.get["quarantined"]}
+        # this run's objects on storage (earlier runs' objects are not counted)
+        on_storage = obj_src.list_objects(spark, out_root, "keyed").join(
+            run_keys, "object_key", "left_semi")
+        written = count_rows({"n": on_storage})["n"]
     finally:
         red.unpersist()
-    written = count_rows({"n": obj_src.list_objects(spark, out_root, "keyed")})["n"]
     values["written_objects"] = written
     _check(written == values["redacted_objects"], f"emitted objects: {values}")
     _check(values["listed_objects"] == written + values["quarantined_objects"],
@@ -258,9 +269,14 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
     prefix_len = len(objects.TARGET_PREFIX)
     done = (obj_src.list_objects(spark, out_root, "keyed")
             .select(F.expr(f"substring(object_key, {prefix_len + 1})").alias("object_key")))
-    man = obj_src.list_objects(spark, in_root, layout).join(done, "object_key", "left_semi")
+    # A key quarantined in this run is never purged, even if an earlier run left
+    # a redacted copy of an older version under out_root.
+    held = spark.read.parquet(f"{quarantine_root}/run={run_id}").select("object_key")
+    man = (obj_src.list_objects(spark, in_root, layout)
+           .join(done, "object_key", "left_semi")
+           .join(held, "object_key", "left_anti"))
     return JobResult(metrics_frame(spark, "json_anonymize", values), values, man,
-                     {"objects": out_root, "quarantine": quarantine_root})
+                     {"objects": out_root, "quarantine": f"{quarantine_root}/run={run_id}"})
 
 
 def read_customers(spark: SparkSession, path: str, kind: str) -> DataFrame:

@@ -165,3 +165,32 @@ def test_identity_load_append_equals_upsert(spark, scratch):
     again = J.identity_load_job(spark, pairs, spark.read.parquet(f"{base}/table"),
                                 append_to=f"{base}/table")
     assert again.values["appended_rows"] == 0
+
+
+def test_json_runs_accumulate_and_never_purge_quarantined(spark, scratch):
+    import json as _json
+
+    from shroud.sources import objects as SO
+
+    root = scratch("accumulate").replace("file:", "")
+    good = '{"results":[{"$properties":{"email":"a@b.c"}}]}'
+
+    def put(run, name, text):
+        os.makedirs(f"{root}/{run}", exist_ok=True)
+        with open(f"{root}/{run}/{name}", "w") as fh:
+            fh.write(text)
+
+    put("in1", "a.json", good)
+    put("in1", "k.json", good)
+    r1 = J.json_anonymize_job(spark, f"{root}/in1", f"{root}/out", f"{root}/q", "source1", ["email"])
+    assert r1.values["written_objects"] == 2
+    put("in2", "b.json", good)
+    put("in2", "k.json", "{broken")           # a new, unreadable version of k.json
+    r2 = J.json_anonymize_job(spark, f"{root}/in2", f"{root}/out", f"{root}/q", "source1", ["email"])
+    assert r2.values == {"listed_objects": 2, "redacted_objects": 1, "quarantined_objects": 1,
+                         "written_objects": 1}
+    keys = sorted(r["object_key"] for r in SO.list_objects(spark, f"{root}/out", "keyed").collect())
+    assert keys == ["anonymized/a.json", "anonymized/b.json", "anonymized/k.json"]  # run 1 kept
+    assert [r["object_key"] for r in r2.manifest.collect()] == ["b.json"]       # k.json held
+    q = spark.read.parquet(f"{root}/q").collect()
+    assert [(r["object_key"], r["reason"]) for r in q] == [("k.json", "unparseable_json")]
