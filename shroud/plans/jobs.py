@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import audit, deletion, identity, redact
 from ..operators.metrics import count_rows, counted, metrics_frame
-from ..session import scratch_path
+from ..session import remove_path, scratch_path
 from ..sinks import files, manifest, objects
 from ..sources import objects as obj_src
 from ..sources import tables
@@ -106,22 +106,26 @@ def deidentify_job(spark: SparkSession, customers: DataFrame, idsvc, *,
     # re-reads it instead of re-running the join) and lets each output read
     # only its own columns.
     joined_path = scratch_path(spark, f"deidentify-{dataset}")
-    src, src_obs = counted(customers, "source")
-    distinct_obs = Observation("distinct_source")
-    identity.join_identities(src, idsvc, source, distinct_rows=distinct_obs) \
-        .write.mode("overwrite").parquet(joined_path)
-    joined = spark.read.parquet(joined_path)
-    public, pub_obs = counted(identity.deidentified_from(joined, as_of), "public")
-    secured, sec_obs = counted(identity.secured_from(joined, as_of), "secured")
-    missing, aud_obs = counted(identity.missing_from(joined, source, as_of), "audit")
-    files.write_by_format(public, public_path, fmt)
-    files.write_by_format(secured, secured_path, fmt)
-    audit.refresh_audit(missing, audit_root, source)
-    values = {"source_rows": src_obs.get["source"],
-              "distinct_source_rows": distinct_obs.get["rows"],
-              "public_rows": pub_obs.get["public"],
-              "secured_rows": sec_obs.get["secured"],
-              "missing_identities": aud_obs.get["audit"]}
+    try:
+        src, src_obs = counted(customers, "source")
+        distinct_obs = Observation("distinct_source")
+        identity.join_identities(src, idsvc, source, distinct_rows=distinct_obs) \
+            .write.mode("overwrite").parquet(joined_path)
+        joined = spark.read.parquet(joined_path)
+        public, pub_obs = counted(identity.deidentified_from(joined, as_of), "public")
+        secured, sec_obs = counted(identity.secured_from(joined, as_of), "secured")
+        missing, aud_obs = counted(identity.missing_from(joined, source, as_of), "audit")
+        files.write_by_format(public, public_path, fmt)
+        files.write_by_format(secured, secured_path, fmt)
+        audit.refresh_audit(missing, audit_root, source)
+        values = {"source_rows": src_obs.get["source"],
+                  "distinct_source_rows": distinct_obs.get["rows"],
+                  "public_rows": pub_obs.get["public"],
+                  "secured_rows": sec_obs.get["secured"],
+                  "missing_identities": aud_obs.get["audit"]}
+    finally:
+        # the joined table holds raw PII: it must not outlive the job
+        remove_path(spark, joined_path)
     back = {"public": _written_rows(spark, public_path, fmt, schemas.DEIDENTIFIED,
                                     values["public_rows"], verify),
             "secured": _written_rows(spark, secured_path, fmt, schemas.SECURED,
@@ -139,8 +143,7 @@ def deidentify_job(spark: SparkSession, customers: DataFrame, idsvc, *,
     if staging_root and staging_prefixes:
         man = manifest.purge_manifest(spark, staging_root, staging_prefixes)
     return JobResult(metrics_frame(spark, "deidentify", values), values, man,
-                     {"public": public_path, "secured": secured_path, "audit": audit_root,
-                      "joined": joined_path})
+                     {"public": public_path, "secured": secured_path, "audit": audit_root})
 
 
 # ------------------------------------------------------------------- deletion
@@ -188,18 +191,22 @@ def identity_load_job(spark: SparkSession, pairs: DataFrame, idsvc: DataFrame, *
     new, obs = counted(identity.new_identity_pairs(src, existing), "new_pairs")
     if append_to is not None:
         staged = scratch_path(spark, "identity-load")
-        new.write.mode("overwrite").parquet(staged)
-        incoming, in_obs = counted(
-            identity.unique_identities(spark.read.parquet(staged)
-                                       .where(F.col("sourceSystemId").isNotNull())), "appended")
-        incoming.write.mode("append").format(fmt).save(append_to)
+        try:
+            new.write.mode("overwrite").parquet(staged)
+            incoming, in_obs = counted(
+                identity.unique_identities(spark.read.parquet(staged)
+                                           .where(F.col("sourceSystemId").isNotNull())),
+                "appended")
+            incoming.write.mode("append").format(fmt).save(append_to)
+        finally:
+            remove_path(spark, staged)
         values = {"source_rows": src_obs.get["pairs"], "lookup_rows": lookup_obs.get["lookup"],
                   "new_pairs": obs.get["new_pairs"], "appended_rows": in_obs.get["appended"]}
         after = count_rows({"n": spark.read.format(fmt).load(append_to)})["n"]
         values["identity_rows_after"] = after
         _check(after >= values["lookup_rows"] + values["appended_rows"], "identity rows lost")
         return JobResult(metrics_frame(spark, "identity_load", values), values, None,
-                         {"identity": append_to, "staged": staged})
+                         {"identity": append_to})
     new = new.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         upserted = identity.upsert_identities(idsvc, new)

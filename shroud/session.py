@@ -82,3 +82,12 @@ def default_parallelism(spark: SparkSession) -> int:
     except Exception:
         return int(spark.conf.get("spark.default.parallelism", None)
                    or spark.conf.get("spark.sql.shuffle.partitions", None) or os.cpu_count() or 8)
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete ``path`` recursively on its file system (object store, HDFS,
+    local).  Used for scratch tables that must not outlive their job."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(conf).delete(p, True))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import remove_path
 from ..sources.objects import list_objects, relative_path
 
 
@@ -42,12 +43,4 @@ def apply_purge(spark: SparkSession, root: str, folders: DataFrame) -> int:
     """Delete the listed folders below ``root`` (recursive).  Explicit action:
     only a bounded list of folder names reaches the driver, never file data."""
     names = [r["folder"] for r in folders.select("folder").distinct().toLocalIterator()]
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(conf)
-    n = 0
-    for name in names:
-        if fs.delete(jvm.org.apache.hadoop.fs.Path(base, name), True):
-            n += 1
-    return n
+    return sum(remove_path(spark, f"{root.rstrip('/')}/{name}") for name in names)

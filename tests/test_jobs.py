@@ -194,3 +194,17 @@ def test_json_runs_accumulate_and_never_purge_quarantined(spark, scratch):
     assert [r["object_key"] for r in r2.manifest.collect()] == ["b.json"]       # k.json held
     q = spark.read.parquet(f"{root}/q").collect()
     assert [(r["object_key"], r["reason"]) for r in q] == [("k.json", "unparseable_json")]
+
+
+def test_deidentify_job_leaves_no_pii_scratch(spark, scratch):
+    import glob as _glob
+
+    from shroud.session import ensure_checkpoint_dir
+
+    base = scratch("deid-clean")
+    root = ensure_checkpoint_dir(spark).replace("file:", "")
+    before = set(_glob.glob(f"{root}/shroud-scratch/deidentify-cleanme-*"))
+    J.deidentify_job(spark, fx.customers(spark, SF), fx.identity_service(spark, SF),
+                     public_root=f"{base}/pub", secured_root=f"{base}/sec",
+                     audit_root=f"{base}/audit", fmt="orc", dataset="cleanme", source="app")
+    assert set(_glob.glob(f"{root}/shroud-scratch/deidentify-cleanme-*")) == before
