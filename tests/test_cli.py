@@ -39,3 +39,21 @@ def test_cli_stream_once(spark, scratch, monkeypatch, capsys):
               "--source-type", "source2", "--pii-keys", "name,email", "--layout", "keyed"])
     n_in = SO.list_objects(spark, f"{base}/in", "keyed").count()
     assert SO.list_objects(spark, f"{base}/out", "keyed").count() == n_in > 0
+
+
+def test_cli_delete_and_append_identities(spark, scratch, monkeypatch, capsys):
+    base = scratch("cli-del")
+    K.write_tsv_gzip(fx.customers(spark, SF), f"{base}/customers")
+    K.write_csv(fx.deletion_requests(spark, SF), f"{base}/requests", sep="\t")
+    K.write_csv(fx.identity_pairs(spark, SF), f"{base}/pairs", sep="\t")
+    fx.identity_service(spark, SF).write.parquet(f"{base}/idsvc")
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    cli.main(["delete", "--customers", f"{base}/customers", "--requests", f"{base}/requests/*",
+              "--out-root", f"{base}/lake", "--format", "orc", "--as-of", "2024-01-01"])
+    out = capsys.readouterr().out
+    assert "kept_rows" in out and "deleted_rows" in out
+    before = spark.read.parquet(f"{base}/idsvc").count()
+    cli.main(["load-identities", "--pairs", f"{base}/pairs", "--identity", f"{base}/idsvc",
+              "--append"])
+    assert "appended_rows" in capsys.readouterr().out
+    assert spark.read.parquet(f"{base}/idsvc").count() > before
