@@ -260,9 +260,10 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
         values = {"listed_objects": count_rows({"n": listing})["n"],
                   "redacted_objects": ok_obs.get["rows"],
                   "quarantined_objects": bad_obs.get["quarantined"]}
-        # this run's objects on storage (earlier runs' objects are not counted)
-        on_storage = obj_src.list_objects(spark, out_root, "keyed").join(
-            run_keys, "object_key", "left_semi")
+        # this run's objects on storage (earlier runs' objects are not counted);
+        # one listing of out_root serves this count and the manifest below
+        out_listing = obj_src.list_objects(spark, out_root, "keyed")
+        on_storage = out_listing.join(run_keys, "object_key", "left_semi")
         written = count_rows({"n": on_storage})["n"]
     finally:
         red.unpersist()
@@ -274,12 +275,12 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
     # ones stay (an unreadable object has no other copy).  Both sides are
     # metadata listings.
     prefix_len = len(objects.TARGET_PREFIX)
-    done = (obj_src.list_objects(spark, out_root, "keyed")
-            .select(F.expr(f"substring(object_key, {prefix_len + 1})").alias("object_key")))
+    done = out_listing.select(
+        F.expr(f"substring(object_key, {prefix_len + 1})").alias("object_key"))
     # A key quarantined in this run is never purged, even if an earlier run left
     # a redacted copy of an older version under out_root.
     held = spark.read.parquet(f"{quarantine_root}/run={run_id}").select("object_key")
-    man = (obj_src.list_objects(spark, in_root, layout)
+    man = (listing.select("object_key", "path", "length", "modificationTime")
            .join(done, "object_key", "left_semi")
            .join(held, "object_key", "left_anti"))
     return JobResult(metrics_frame(spark, "json_anonymize", values), values, man,
