@@ -72,6 +72,11 @@ def test_identity_and_deletion_joins_match_sql(spark, seed):
         select distinct a.* from (select distinct {cols} from src) a
         left join (select distinct email from dels) b on trim(a.email) = lower(trim(b.email))
         where lower(trim(b.email)) is null""")
+    assert _rows(deletion.apply_deletions(c, r, strict=True)) == _duck(con, f"""
+        select distinct a.* from (select distinct {cols} from src) a
+        left join (select distinct lower(trim(email)) e from dels where lower(trim(email)) <> '') b
+          on lower(trim(a.email)) = b.e
+        where b.e is null""")
     j = identity.join_identities(c, s, SRC)
     assert _rows(identity.deidentified_from(j).drop("dtc")) == _rows(
         identity.deidentify(c, s, SRC).drop("dtc"))
