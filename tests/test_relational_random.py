@@ -77,6 +77,13 @@ def test_identity_and_deletion_joins_match_sql(spark, seed):
         left join (select distinct lower(trim(email)) e from dels where lower(trim(email)) <> '') b
           on lower(trim(a.email)) = b.e
         where b.e is null""")
+    pairs_rows = _tables(seed + 1000)[1] + ids_rows[: len(ids_rows) // 2]
+    con.register("pairs", pd.DataFrame(pairs_rows, columns=schemas.IDENTITY_COLUMNS))
+    pairs = spark.createDataFrame(pairs_rows, schemas.IDENTITY)
+    assert _rows(identity.new_identity_pairs(pairs, s)) == _duck(con, """
+        select distinct a.sourceSystemId, a.uuid from pairs a left join idsvc b
+          on trim(a.sourceSystemId) = trim(b.sourceSystemId)
+        where b.sourceSystemId is null""")
     j = identity.join_identities(c, s, SRC)
     assert _rows(identity.deidentified_from(j).drop("dtc")) == _rows(
         identity.deidentify(c, s, SRC).drop("dtc"))
