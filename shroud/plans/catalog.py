@@ -128,6 +128,15 @@ def q_idsvc_count(spark, sf):
     return fx.identity_service(spark, sf).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@register("scan_id_service", fx.with_ctes("select sourceSystemId, uuid from idsvc"))
+def q_scan_idsvc(spark, sf):
+    # The service snapshot is a table of many files (segments); each is read
+    # by its own task and nothing is gathered on the driver.
+    p = scratch_path(spark, "idsvc")
+    fx.identity_service(spark, sf).repartition(8).write.parquet(p)
+    return IS.read_identity_table(spark, p)
+
+
 # ------------------------------------------------------------------ deletion
 
 
@@ -445,6 +454,21 @@ def q_stream(spark, sf):
     return FL.clickstream_rows(out, "redacted", [])
 
 
+@register("stream_emit_objects", f"""
+select concat('anonymized/', {fx.ORACLE_DOC_KEYS['chat']}) object_key, conv_id, turn,
+       {_mask_sql('text')} body from conversations""")
+def q_stream_objects(spark, sf):
+    base = scratch_path(spark, "stream-objects")
+    KO.write_objects(fx.chat_docs(spark, sf), f"{base}/in", gzip=True)
+    q = RS.start_redact_stream_to_objects(spark, f"{base}/in", f"{base}/out", f"{base}/quarantine",
+                                          f"{base}/checkpoint", "source2", CHAT_KEYS,
+                                          layout="keyed")
+    q.awaitTermination()
+    docs = SO.scan_objects(spark, f"{base}/out", layout="keyed")
+    return FL.chat_rows(docs, "payload", ["object_key"]).select("object_key", "conv_id", "turn",
+                                                                "body")
+
+
 # ------------------------------------------------------ table round trips
 @register("scan_customers_csv", fx.with_ctes("select * from src"))
 def q_scan_csv(spark, sf):
@@ -651,27 +675,3 @@ def q_json_run(spark, sf):
     res = J.json_anonymize_job(spark, f"{base}/in", f"{base}/out", f"{base}/quarantine",
                                "source2", CHAT_KEYS, layout="keyed")
     return res.metrics
-
-
-@register("scan_id_service", fx.with_ctes("select sourceSystemId, uuid from idsvc"))
-def q_scan_idsvc(spark, sf):
-    # The service snapshot is a table of many files (segments); each is read
-    # by its own task and nothing is gathered on the driver.
-    p = scratch_path(spark, "idsvc")
-    fx.identity_service(spark, sf).repartition(8).write.parquet(p)
-    return IS.read_identity_table(spark, p)
-
-
-@register("stream_emit_objects", f"""
-select concat('anonymized/', {fx.ORACLE_DOC_KEYS['chat']}) object_key, conv_id, turn,
-       {_mask_sql('text')} body from conversations""")
-def q_stream_objects(spark, sf):
-    base = scratch_path(spark, "stream-objects")
-    KO.write_objects(fx.chat_docs(spark, sf), f"{base}/in", gzip=True)
-    q = RS.start_redact_stream_to_objects(spark, f"{base}/in", f"{base}/out", f"{base}/quarantine",
-                                          f"{base}/checkpoint", "source2", CHAT_KEYS,
-                                          layout="keyed")
-    q.awaitTermination()
-    docs = SO.scan_objects(spark, f"{base}/out", layout="keyed")
-    return FL.chat_rows(docs, "payload", ["object_key"]).select("object_key", "conv_id", "turn",
-                                                                "body")
