@@ -19,8 +19,12 @@ def purge_manifest(spark: SparkSession, root: str, prefixes: list[str]) -> DataF
     rel = relative_path(F.col("path"), root)
     cond = None
     for p in prefixes:
-        c = rel.startswith(p.strip("/") + "/")
+        p = p.strip("/")
+        # an empty prefix means everything under root
+        c = F.lit(True) if not p else rel.startswith(p + "/")
         cond = c if cond is None else cond | c
+    if cond is None:
+        cond = F.lit(False)
     return files.where(cond).select(rel.alias("relative_path"), "path", "length",
                                     "modificationTime")
 

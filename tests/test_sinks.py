@@ -86,3 +86,13 @@ def test_keyvalue_put_partitions(spark, scratch):
         for r in json.load(open(os.path.join(store, f))):
             got[r["sourceSystemId"]] = r["uuid"]
     assert got == {f"app-{i}": f"g{i}" for i in range(50)}
+
+
+def test_manifest_empty_prefix_means_everything(spark, scratch):
+    root = scratch("lake-all")
+    df = _customers(spark, [("1",)])
+    files.write_orc(df, f"{root}/a")
+    files.write_orc(df, f"{root}/b/c")
+    every = {r["relative_path"].split("/")[0] for r in manifest.purge_manifest(spark, root, [""]).collect()}
+    assert every == {"a", "b"}
+    assert manifest.purge_manifest(spark, root, []).count() == 0
