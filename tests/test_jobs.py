@@ -208,3 +208,12 @@ def test_deidentify_job_leaves_no_pii_scratch(spark, scratch):
                      public_root=f"{base}/pub", secured_root=f"{base}/sec",
                      audit_root=f"{base}/audit", fmt="orc", dataset="cleanme", source="app")
     assert set(_glob.glob(f"{root}/shroud-scratch/deidentify-cleanme-*")) == before
+
+
+def test_json_job_on_empty_prefix(spark, scratch):
+    root = scratch("empty-prefix").replace("file:", "")
+    os.makedirs(f"{root}/in", exist_ok=True)
+    res = J.json_anonymize_job(spark, f"{root}/in", f"{root}/out", f"{root}/q", "source2", ["name"])
+    assert res.values == {"listed_objects": 0, "redacted_objects": 0, "quarantined_objects": 0,
+                          "written_objects": 0}
+    assert res.manifest.count() == 0
