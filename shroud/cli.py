@@ -52,6 +52,8 @@ def _parser() -> argparse.ArgumentParser:
     x.add_argument("--format", required=True, choices=["orc", "gzip"])
     x.add_argument("--as-of", default=dt.date.today().isoformat())
     x.add_argument("--strict", action="store_true")
+    x.add_argument("--input-is-distinct", action="store_true",
+                   help="skip the DISTINCT for inputs without duplicate rows")
     x.add_argument("--apply-purge", action="store_true")
 
     w = sub.add_parser("load-identities")
@@ -104,7 +106,7 @@ def main(argv: list[str] | None = None) -> None:
         res = jobs.deletion_job(spark, tables.read_customers_tsv(spark, args.customers),
                                 tables.read_deletion_requests(spark, args.requests),
                                 out_root=args.out_root, fmt=args.format, as_of=args.as_of,
-                                strict=args.strict)
+                                strict=args.strict, input_is_distinct=args.input_is_distinct)
         if args.apply_purge and res.manifest is not None:
             manifest.apply_purge(spark, args.out_root, manifest.manifest_folders(res.manifest, 2))
     elif args.cmd == "load-identities":

@@ -30,7 +30,8 @@ def request_keys(requests: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def apply_deletions(customers: DataFrame, requests: DataFrame, strict: bool = False,
-                    distinct_rows: Observation | None = None) -> DataFrame:
+                    distinct_rows: Observation | None = None,
+                    input_is_distinct: bool = False) -> DataFrame:
     """Distinct customers minus those named in ``requests``.
 
     Parity mode compares ``trim(email)`` of the customer with the normalised
@@ -40,8 +41,15 @@ def apply_deletions(customers: DataFrame, requests: DataFrame, strict: bool = Fa
     is split by AQE, and the request side is broadcast by AQE only when its
     measured size is under the broadcast threshold.  ``distinct_rows``
     (optional) counts the distinct customer rows inside the same plan.
+
+    ``input_is_distinct=True`` skips the DISTINCT (a full shuffle of the
+    widest table) for inputs known to hold no duplicate rows, such as the
+    previous version written by this job; with a broadcast request side the
+    deletion then needs no shuffle of the customers at all.
     """
-    left = customers.select(*CUSTOMER_COLUMNS).distinct()
+    left = customers.select(*CUSTOMER_COLUMNS)
+    if not input_is_distinct:
+        left = left.distinct()
     if distinct_rows is not None:
         left = left.observe(distinct_rows, F.count(F.lit(1)).alias("rows"))
     key = normalize_email("email") if strict else F.trim("email")

@@ -149,7 +149,7 @@ def deidentify_job(spark: SparkSession, customers: DataFrame, idsvc, *,
 # ------------------------------------------------------------------- deletion
 def deletion_job(spark: SparkSession, customers: DataFrame, requests: DataFrame, *,
                  out_root: str, fmt: str, as_of: str, strict: bool = False,
-                 verify: str = "auto") -> JobResult:
+                 verify: str = "auto", input_is_distinct: bool = False) -> JobResult:
     """Write the customers minus the requested e-mails as a new dated version
     and list the older versions for purging."""
     marker = f"{VERSION_PREFIX}{as_of}"
@@ -158,7 +158,8 @@ def deletion_job(spark: SparkSession, customers: DataFrame, requests: DataFrame,
     source, src_obs = counted(customers, "source")
     distinct_obs = Observation("distinct_source")
     kept, obs = counted(deletion.apply_deletions(source, requests, strict,
-                                                 distinct_rows=distinct_obs), "kept")
+                                                 distinct_rows=distinct_obs,
+                                                 input_is_distinct=input_is_distinct), "kept")
     files.write_by_format(kept, path, fmt)
     values = {"source_rows": src_obs.get["source"],
               "request_rows": count_rows({"n": requests.distinct()})["n"],

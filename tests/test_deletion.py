@@ -33,3 +33,17 @@ def test_delete_twice_is_once(spark):
     twice = deletion.apply_deletions(once, r)
     assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
     assert once.count() == 60 - 10
+
+
+def test_input_is_distinct_skips_the_shuffle_and_agrees(spark):
+    c = _customers(spark, [f"u{i}@x.com" for i in range(30)] + [None] * 5)
+    r = _reqs(spark, [f"U{i}@X.com" for i in range(0, 30, 3)])
+    full = deletion.apply_deletions(c, r, strict=True)
+    fast = deletion.apply_deletions(c, r, strict=True, input_is_distinct=True)
+    assert sorted(map(str, full.collect())) == sorted(map(str, fast.collect()))
+    def customer_aggregates(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return [x for x in plan.split("\n") if "Aggregate" in x and "tracking_uuid" in x]
+
+    assert customer_aggregates(full)           # the DISTINCT over customer rows...
+    assert not customer_aggregates(fast)       # ...is gone
