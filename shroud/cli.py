@@ -44,6 +44,8 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--staging-root", default=None)
     d.add_argument("--staging-prefixes", default="")
     d.add_argument("--expected-identity-rows", type=int, default=None)
+    d.add_argument("--verify", default="auto", choices=["auto", "full"],
+                   help="'full' re-reads gzip text outputs to count rows")
 
     x = sub.add_parser("delete")
     x.add_argument("--customers", required=True)
@@ -54,6 +56,7 @@ def _parser() -> argparse.ArgumentParser:
     x.add_argument("--strict", action="store_true")
     x.add_argument("--input-is-distinct", action="store_true",
                    help="skip the DISTINCT for inputs without duplicate rows")
+    x.add_argument("--verify", default="auto", choices=["auto", "full"])
     x.add_argument("--apply-purge", action="store_true")
 
     w = sub.add_parser("load-identities")
@@ -73,6 +76,7 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--pii-keys", required=True)
     a.add_argument("--layout", default="files", choices=["files", "keyed"])
     a.add_argument("--strict", action="store_true")
+    a.add_argument("--run-id", default=None, help="names this run's quarantine folder")
 
     st = sub.add_parser("stream", help="incremental redaction of new objects into objects")
     st.add_argument("--in-root", required=True)
@@ -101,12 +105,13 @@ def main(argv: list[str] | None = None) -> None:
             audit_root=args.audit_root, fmt=args.format, dataset=args.dataset,
             source=args.source, as_of=args.as_of, staging_root=args.staging_root,
             staging_prefixes=[s for s in args.staging_prefixes.split(",") if s],
-            expected_identity_rows=args.expected_identity_rows)
+            expected_identity_rows=args.expected_identity_rows, verify=args.verify)
     elif args.cmd == "delete":
         res = jobs.deletion_job(spark, tables.read_customers_tsv(spark, args.customers),
                                 tables.read_deletion_requests(spark, args.requests),
                                 out_root=args.out_root, fmt=args.format, as_of=args.as_of,
-                                strict=args.strict, input_is_distinct=args.input_is_distinct)
+                                strict=args.strict, input_is_distinct=args.input_is_distinct,
+                                verify=args.verify)
         if args.apply_purge and res.manifest is not None:
             manifest.apply_purge(spark, args.out_root, manifest.manifest_folders(res.manifest, 2))
     elif args.cmd == "load-identities":
@@ -128,7 +133,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         res = jobs.json_anonymize_job(spark, args.in_root, args.out_root, args.quarantine,
                                       args.source_type, args.pii_keys, layout=args.layout,
-                                      strict=args.strict)
+                                      strict=args.strict, run_id=args.run_id)
     res.metrics.show(truncate=False)
     if res.manifest is not None and "relative_path" in res.manifest.columns:
         manifest.manifest_folders(res.manifest, 2).show(truncate=False)
