@@ -239,8 +239,10 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
     ``quarantine_root/run=<run_id>``."""
     run_id = run_id or uuid.uuid4().hex
     preset = redact.PRESETS[redact.route(source_type)]
-    # gzip sources compress every object, whatever its name
-    scanned = obj_src.scan_objects(spark, in_root, layout, gzip_any_name=preset.gzip)
+    # gzip sources compress every object, whatever its name; objects in the
+    # keyed layout were written by Spark, which always names them *.gz
+    scanned = obj_src.scan_objects(spark, in_root, layout,
+                                   gzip_any_name=preset.gzip and layout == "files")
     listing = obj_src.list_objects(spark, in_root, layout)
     red = redact.redact(scanned, preset.name, pii_keys, strict=strict)
     red = red.persist(StorageLevel.MEMORY_AND_DISK)
