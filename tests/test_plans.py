@@ -42,3 +42,13 @@ def test_deletion_pushes_request_filter(no_static_broadcast):
 def test_masking_is_a_single_scan_projection(spark):
     plan = _plan(E.queries()["mask_text_documents"](spark, SF))
     assert "Exchange" not in plan and "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
+                "PythonUDF")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_python_in_registered_plans(spark, name):
+    plan = _plan(E.queries()[name](spark, SF))
+    assert not [n for n in PYTHON_NODES if n in plan]
