@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators import redact as L  # document layout key names (fixed values)
+
 SOURCE = "app"
 AS_OF = "2024-01-01"
 DTC = "2024-01-01 12:00:00"
@@ -141,7 +143,7 @@ def _json(struct: Column, keep_nulls: bool = False) -> Column:
     return F.to_json(struct, {"ignoreNullFields": "false"} if keep_nulls else {})
 
 
-def clickstream_docs(spark: SparkSession, sf_dir: str, props_name: str = "$properties") -> DataFrame:
+def clickstream_docs(spark: SparkSession, sf_dir: str, props_name: str = L.PROPERTIES) -> DataFrame:
     e = table(spark, sf_dir, "events")
     batch = F.floor(F.col("event_id") / EVENT_BATCH)
     email = F.when(F.col("event_id") % 2 == 0,
@@ -149,7 +151,7 @@ def clickstream_docs(spark: SparkSession, sf_dir: str, props_name: str = "$prope
     item = F.struct(F.col("event_type").alias("event"),
                     F.struct("event_id", "value", "props", email.alias("email")).alias(props_name))
     return (e.groupBy("user_id", batch.alias("batch"))
-            .agg(_json(F.struct(F.collect_list(item).alias("results"))).alias("payload"))
+            .agg(_json(F.struct(F.collect_list(item).alias(L.RESULTS))).alias("payload"))
             .select(F.concat(F.lit("click/user="), _s("user_id"), F.lit("/batch="), _s("batch"))
                     .alias("object_key"), "user_id", "batch", "payload"))
 
@@ -159,15 +161,15 @@ def chat_docs(spark: SparkSession, sf_dir: str, with_guest: bool = True,
     c = table(spark, sf_dir, "conversations")
     batch = F.floor(F.col("turn") / TURN_BATCH)
     body = F.lit(None).cast("string") if null_body else F.col("text")
-    msg = F.struct("turn", "role", body.alias("body"))
+    msg = F.struct("turn", "role", body.alias(L.BODY))
     guest = F.struct(F.concat(F.lit("Guest "), _s("conv_id")).alias("name"),
                      (F.col("conv_id") % 2 == 0).alias("vip"))
     conv_fields = [F.col("conv_id")]
     if with_guest:
-        conv_fields.append(guest.alias("guest"))
-    conv_fields.append(F.array_sort(F.collect_list(msg)).alias("messages"))
-    doc = F.struct(F.array(F.struct(F.struct(F.array(F.struct(*conv_fields)).alias("conversations"))
-                                    .alias("payload"))).alias("yepchat"))
+        conv_fields.append(guest.alias(L.GUEST))
+    conv_fields.append(F.array_sort(F.collect_list(msg)).alias(L.MESSAGES))
+    doc = F.struct(F.array(F.struct(F.struct(F.array(F.struct(*conv_fields)).alias(L.CONVERSATIONS))
+                                    .alias(L.PAYLOAD))).alias(L.CHAT_ROOT))
     return (c.groupBy("conv_id", batch.alias("batch"))
             .agg(_json(doc, keep_nulls=null_body).alias("payload"))
             .select(F.concat(F.lit("chat/conv="), _s("conv_id"), F.lit("/batch="), _s("batch"))
@@ -178,20 +180,21 @@ def order_docs(spark: SparkSession, sf_dir: str, null_server: bool = False) -> D
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     k = F.col("o_orderkey")
-    server = (F.lit(None).cast("struct<id:bigint,name:string>") if null_server else
+    customername, tablename, _ = L.ORDER_KEYS
+    server = (F.lit(None).cast(f"struct<id:bigint,{L.SERVER_NAME}:string>") if null_server else
               F.struct((k % 100).alias("id"),
-                       F.concat(F.lit("Supplier#"), _s(k % 100)).alias("name")))
-    course = F.struct(F.col("c_name").alias("customername"),
-                      F.when(k % 3 == 0, F.col("o_orderpriority")).alias("tablename"),
-                      server.alias("server"), F.col("o_totalprice").alias("total"))
+                       F.concat(F.lit("Supplier#"), _s(k % 100)).alias(L.SERVER_NAME)))
+    course = F.struct(F.col("c_name").alias(customername),
+                      F.when(k % 3 == 0, F.col("o_orderpriority")).alias(tablename),
+                      server.alias(L.SERVER), F.col("o_totalprice").alias("total"))
     entry = F.struct(k.alias("orderkey"),
-                     F.when(k % 5 != 0, F.array(course)).alias("courses"))
+                     F.when(k % 5 != 0, F.array(course)).alias(L.COURSES))
     batch = F.floor(k / ORDER_BATCH)
     joined = o.join(c, o["o_custkey"] == c["c_custkey"])
     docs = joined.groupBy("o_custkey", batch.alias("batch")).agg(
-        F.collect_list(entry).alias("qsr"))
+        F.collect_list(entry).alias(L.ORDERS_ROOT))
     # The null-server variant keeps explicit JSON nulls; it exists to be quarantined.
-    payload = _json(F.struct("qsr"), keep_nulls=null_server)
+    payload = _json(F.struct(L.ORDERS_ROOT), keep_nulls=null_server)
     return docs.select(
         F.concat(F.lit("orders/cust="), _s("o_custkey"), F.lit("/batch="), _s("batch"))
         .alias("object_key"), "o_custkey", "batch", payload.alias("payload"))
@@ -200,15 +203,16 @@ def order_docs(spark: SparkSession, sf_dir: str, null_server: bool = False) -> D
 def service_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     attrs = F.struct(
-        F.array(F.struct(F.concat(F.lit("doc."), _s("doc_id"), F.lit("@example.com")).alias("email"),
-                         F.lit(True).alias("verified"))).alias("emails"),
-        F.col("text").alias("preview"),
+        F.array(F.struct(F.concat(F.lit("doc."), _s("doc_id"), F.lit("@example.com")).alias(L.EMAIL),
+                         F.lit(True).alias("verified"))).alias(L.EMAILS),
+        F.col("text").alias(L.PREVIEW),
         F.concat(F.lit("Author "), _s("doc_id")).alias("name"),
         F.col("lang").alias("lang"))
-    full = F.to_json(F.struct(F.struct(F.col("doc_id").alias("id"), attrs.alias("attributes"))
-                              .alias("data")))
-    payload = F.concat(F.lit('{"kustomer":["skipped string",{"nodata":1},'), full,
-                       F.lit(',{"data":{"id":-1,"attributes":{"name":null,"lang":"xx"}}}]}'))
+    full = F.to_json(F.struct(F.struct(F.col("doc_id").alias("id"), attrs.alias(L.ATTRIBUTES))
+                              .alias(L.DATA)))
+    head = f'{{"{L.SERVICE_ROOT}":["skipped string",{{"nodata":1}},'
+    tail = f',{{"{L.DATA}":{{"id":-1,"{L.ATTRIBUTES}":{{"name":null,"lang":"xx"}}}}}}]}}'
+    payload = F.concat(F.lit(head), full, F.lit(tail))
     return d.select(F.concat(F.lit("svc/doc="), _s("doc_id")).alias("object_key"),
                     "doc_id", payload.alias("payload"))
 
