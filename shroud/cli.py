@@ -77,6 +77,8 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--layout", default="files", choices=["files", "keyed"])
     a.add_argument("--strict", action="store_true")
     a.add_argument("--run-id", default=None, help="names this run's quarantine folder")
+    a.add_argument("--root-key", default=None,
+                   help="root array key when a source uses another name than the preset")
 
     st = sub.add_parser("stream", help="incremental redaction of new objects into objects")
     st.add_argument("--in-root", required=True)
@@ -87,6 +89,7 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--pii-keys", required=True)
     st.add_argument("--layout", default="files", choices=["files", "keyed"])
     st.add_argument("--strict", action="store_true")
+    st.add_argument("--root-key", default=None)
     st.add_argument("--every", default=None,
                     help="keep running with this trigger interval (e.g. '5 minutes'); "
                          "default: process what is there and stop")
@@ -125,7 +128,8 @@ def main(argv: list[str] | None = None) -> None:
         q = start_redact_stream_to_objects(
             spark, args.in_root, args.out_root, args.quarantine, args.checkpoint,
             args.source_type, args.pii_keys, layout=args.layout, strict=args.strict,
-            available_now=args.every is None, processing_time=args.every)
+            available_now=args.every is None, processing_time=args.every,
+            root_key=args.root_key)
         q.awaitTermination()
         print(q.lastProgress)
         spark.stop()
@@ -133,7 +137,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         res = jobs.json_anonymize_job(spark, args.in_root, args.out_root, args.quarantine,
                                       args.source_type, args.pii_keys, layout=args.layout,
-                                      strict=args.strict, run_id=args.run_id)
+                                      strict=args.strict, run_id=args.run_id,
+                                      root_key=args.root_key)
     res.metrics.show(truncate=False)
     if res.manifest is not None and "relative_path" in res.manifest.columns:
         manifest.manifest_folders(res.manifest, 2).show(truncate=False)

@@ -59,9 +59,10 @@ def _all(arr: Column, pred: Callable[[Column], Column]) -> Column:
 
 
 # --------------------------------------------------------------- clickstream
-def clickstream(doc: Column, keys: list[str], strict: bool = False) -> Compiled:
+def clickstream(doc: Column, keys: list[str], strict: bool = False,
+                root_key: str = RESULTS) -> Compiled:
     root = V.as_object(doc)
-    results = V.as_array(V.field(root, RESULTS))
+    results = V.as_array(V.field(root, root_key))
     checks: list[Check] = [("missing_root_array", results.isNotNull())]
     if not keys:
         return V.pack(root), checks
@@ -74,13 +75,14 @@ def clickstream(doc: Column, keys: list[str], strict: bool = False) -> Compiled:
         return V.pack(V.put(V.as_object(e), PROPERTIES, V.pack(blanked)))
 
     checks.append(("missing_properties", _all(results, lambda e: props(e).isNotNull())))
-    return V.pack(V.put(root, RESULTS, V.pack(F.transform(results, fix)))), checks
+    return V.pack(V.put(root, root_key, V.pack(F.transform(results, fix)))), checks
 
 
 # ---------------------------------------------------------------------- chat
-def chat(doc: Column, keys: list[str], strict: bool = False) -> Compiled:
+def chat(doc: Column, keys: list[str], strict: bool = False,
+         root_key: str = CHAT_ROOT) -> Compiled:
     root = V.as_object(doc)
-    top = V.as_array(V.field(root, CHAT_ROOT))
+    top = V.as_array(V.field(root, root_key))
 
     def convs(m: Column) -> Column:
         return V.as_array(V.field(V.as_object(V.field(V.as_object(m), PAYLOAD)), CONVERSATIONS))
@@ -124,13 +126,14 @@ def chat(doc: Column, keys: list[str], strict: bool = False) -> Compiled:
         new_payload = V.put(payload, CONVERSATIONS, V.pack(F.transform(convs(m), fix_conv)))
         return V.pack(V.put(mo, PAYLOAD, V.pack(new_payload)))
 
-    return V.pack(V.put(root, CHAT_ROOT, V.pack(F.transform(top, fix_top)))), checks
+    return V.pack(V.put(root, root_key, V.pack(F.transform(top, fix_top)))), checks
 
 
 # ------------------------------------------------------------------- service
-def service(doc: Column, keys: list[str], strict: bool = False) -> Compiled:
+def service(doc: Column, keys: list[str], strict: bool = False,
+            root_key: str = SERVICE_ROOT) -> Compiled:
     root = V.as_object(doc)
-    items = V.as_array(V.field(root, SERVICE_ROOT))
+    items = V.as_array(V.field(root, root_key))
 
     def is_text(y: Column) -> Column:
         return V.kind(y) == "STRING"
@@ -180,15 +183,16 @@ def service(doc: Column, keys: list[str], strict: bool = False) -> Compiled:
         rewritten = V.pack(V.put(yo, DATA, V.pack(V.put(d, ATTRIBUTES, V.pack(new_attrs)))))
         return F.when(is_text(y) | ~has_data(y), y).otherwise(rewritten)
 
-    return V.pack(V.put(root, SERVICE_ROOT, V.pack(F.transform(items, fix)))), checks
+    return V.pack(V.put(root, root_key, V.pack(F.transform(items, fix)))), checks
 
 
 # -------------------------------------------------------------------- orders
 
 
-def orders(doc: Column, keys: list[str], strict: bool = False) -> Compiled:
+def orders(doc: Column, keys: list[str], strict: bool = False,
+           root_key: str = ORDERS_ROOT) -> Compiled:
     root = V.as_object(doc)
-    qsr = V.as_array(V.field(root, ORDERS_ROOT))
+    qsr = V.as_array(V.field(root, root_key))
     used = [k for k in keys if k in ORDER_KEYS]
     plain = [k for k in used if k != SERVER]
 
@@ -231,14 +235,14 @@ def orders(doc: Column, keys: list[str], strict: bool = False) -> Compiled:
 
     if not used:
         return V.pack(root), checks
-    return V.pack(V.put(root, ORDERS_ROOT, V.pack(F.transform(qsr, fix_entry)))), checks
+    return V.pack(V.put(root, root_key, V.pack(F.transform(qsr, fix_entry)))), checks
 
 
 # ------------------------------------------------------------------- presets
 @dataclass(frozen=True)
 class Preset:
     name: str
-    compile: Callable[[Column, list[str], bool], Compiled]
+    compile: Callable[..., Compiled]
     gzip: bool
 
 
@@ -251,16 +255,23 @@ PRESETS: dict[str, Preset] = {
 
 
 def redact(df: DataFrame, preset: str, pii_keys: list[str] | str,
-           payload_col: str = "payload", strict: bool = False) -> DataFrame:
+           payload_col: str = "payload", strict: bool = False,
+           root_key: str | None = None) -> DataFrame:
     """Add ``status`` ('redacted' / 'quarantined'), ``reason`` and
-    ``redacted`` (JSON text, NULL when quarantined) to every row of ``df``."""
+    ``redacted`` (JSON text, NULL when quarantined) to every row of ``df``.
+
+    ``root_key`` overrides the preset's root array key for a source that
+    exports the same layout under another name."""
     if isinstance(pii_keys, str):
         pii_keys = pii_keys.split(",")
     keys = V.unique(pii_keys)
     p = PRESETS[preset]
     parsed = df.withColumn("__doc", V.parse(payload_col))
     doc = F.col("__doc")
-    out_doc, checks = p.compile(doc, keys, strict)
+    if root_key:
+        out_doc, checks = p.compile(doc, keys, strict, root_key=root_key)
+    else:
+        out_doc, checks = p.compile(doc, keys, strict)
     reason = F.when(doc.isNull(), F.lit("unparseable_json"))
     for name, ok in checks:
         reason = reason.when(~ok, F.lit(name))

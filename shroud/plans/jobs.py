@@ -228,7 +228,7 @@ def identity_load_job(spark: SparkSession, pairs: DataFrame, idsvc: DataFrame, *
 def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
                        quarantine_root: str, source_type: str, pii_keys, *,
                        layout: str = "files", strict: bool = False,
-                       run_id: str | None = None) -> JobResult:
+                       run_id: str | None = None, root_key: str | None = None) -> JobResult:
     """Redact every object under ``in_root``; write redacted objects under
     ``out_root`` with key ``anonymized/<key>``, quarantine the rest with a
     reason, reconcile ``listed = redacted + quarantined`` and only then list
@@ -244,7 +244,7 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
     scanned = obj_src.scan_objects(spark, in_root, layout,
                                    gzip_any_name=preset.gzip and layout == "files")
     listing = obj_src.list_objects(spark, in_root, layout)
-    red = redact.redact(scanned, preset.name, pii_keys, strict=strict)
+    red = redact.redact(scanned, preset.name, pii_keys, strict=strict, root_key=root_key)
     red = red.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         ok = redact.redacted_only(red).withColumn("target_key", objects.target_key())

@@ -115,3 +115,15 @@ def test_repeated_key_keeps_last_value(spark):
     [(status, _, out)] = _run(spark, "clickstream", [doc], ["email"])
     assert status == "redacted"
     assert out["results"][0]["$properties"] == {"n": 2, "email": ""}
+
+
+def test_root_key_override(spark):
+    doc = {"chats": [{"payload": {"conversations": [{"guest": {"name": "A"},
+                                                     "messages": [{"body": "hello there"}]}]}}]}
+    df = spark.createDataFrame([("k", json.dumps(doc))], "object_key string, payload string")
+    default = RD.redact(df, "chat", ["name"]).first()
+    assert default["status"] == "quarantined" and default["reason"] == "missing_root_array"
+    r = RD.redact(df, "chat", ["name"], root_key="chats").first()
+    out = json.loads(r["redacted"])
+    conv = out["chats"][0]["payload"]["conversations"][0]
+    assert conv["guest"]["name"] == TOKEN and conv["messages"][0]["body"] == "(Anonymized PII)"
