@@ -29,7 +29,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--master", default=None)
     sub = p.add_subparsers(dest="cmd", required=True)
 
-    d = sub.add_parser("deidentify")
+    d = sub.add_parser("deidentify", help="de-identified and secured copies plus audit")
     d.add_argument("--customers", required=True)
     d.add_argument("--customers-kind", default="csv", choices=["csv", "tsv"])
     d.add_argument("--identity", required=True)
@@ -47,7 +47,7 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--verify", default="auto", choices=["auto", "full"],
                    help="'full' re-reads gzip text outputs to count rows")
 
-    x = sub.add_parser("delete")
+    x = sub.add_parser("delete", help="new version without the requested customers")
     x.add_argument("--customers", required=True)
     x.add_argument("--requests", required=True)
     x.add_argument("--out-root", required=True)
@@ -59,7 +59,7 @@ def _parser() -> argparse.ArgumentParser:
     x.add_argument("--verify", default="auto", choices=["auto", "full"])
     x.add_argument("--apply-purge", action="store_true")
 
-    w = sub.add_parser("load-identities")
+    w = sub.add_parser("load-identities", help="add new identity pairs")
     w.add_argument("--pairs", required=True)
     w.add_argument("--sep", default="\t")
     w.add_argument("--identity", required=True)
@@ -68,7 +68,7 @@ def _parser() -> argparse.ArgumentParser:
     w.add_argument("--append", action="store_true",
                    help="append only the new pairs to the --identity table")
 
-    a = sub.add_parser("anonymize")
+    a = sub.add_parser("anonymize", help="redact every JSON object under a prefix")
     a.add_argument("--in-root", required=True)
     a.add_argument("--out-root", required=True)
     a.add_argument("--quarantine", required=True)
