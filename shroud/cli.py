@@ -132,6 +132,12 @@ def main(argv: list[str] | None = None) -> None:
             root_key=args.root_key)
         q.awaitTermination()
         print(q.lastProgress)
+        if args.every is None:
+            from .streaming.redact_stream import accounted_for_objects, unaccounted_objects
+            acc = accounted_for_objects(spark, args.out_root, args.quarantine)
+            missing = unaccounted_objects(spark, args.in_root, acc, args.layout)
+            print(f"unaccounted objects (unreadable, skipped): {missing.count()}")
+            missing.show(20, truncate=False)
         spark.stop()
         return
     else:
