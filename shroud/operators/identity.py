@@ -7,6 +7,11 @@ a row (a single group of copies can be a third of the table) before any
 data moves; the de-duplicated sides are then hash-partitioned once on the
 trimmed key.  The result needs no second DISTINCT because a distinct left
 side joined to a distinct (key, uuid) right side is itself distinct.
+
+The identity side is de-duplicated on (key, uuid), never on the key alone:
+the join then keeps its own exchange on the key, which is what lets AQE
+split a hot key on the customer side.  ``join_identities`` performs the one
+join from which the de-identify job derives all three outputs.
 """
 
 from __future__ import annotations
