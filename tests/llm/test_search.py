@@ -1,0 +1,253 @@
+"""Top-k, decontamination and SimHash against brute force."""
+
+import hashlib
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from shroud.llm import components, decontaminate, simhash, topk
+from shroud.llm.common import words
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def top_k_brute(rows, k=5):
+    def q(v):
+        if not v or any(x is None or not math.isfinite(x) for x in v):
+            return None
+        return [math.floor(256 * x) for x in v]
+    rows = [(i, q(v)) for i, v in rows if i is not None and q(v) is not None]
+    out = []
+    for a in sorted({i for i, _ in rows if i % 50 == 0}):
+        va = min(v for i, v in rows if i == a)
+        s = sorted((-sum(x * y for x, y in zip(va, v)), i) for i, v in rows if i != a and len(v) == len(va))
+        out += [(a, n + 1, i, -x) for n, (x, i) in enumerate(s[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("groups,block", [(1, 2048), (2, 3), (3, 2048)])
+def test_top_k(spark, groups, block):
+    rng = random.Random(groups)
+    rows = [(i, [rng.choice([-1.5, -0.3, 0.0, 0.25, 0.3, 7.9]) for _ in range(6)]) for i in range(400)]
+    rows += [(0, rows[0][1]), (7, rows[7][1]), (8, rows[7][1]), (50, [0.1] * 6)]  # repeated rows, ties
+    rows += [(100, [1.0] * 4), (3, [1.0] * 4), (None, [1.0] * 6), (401, None), (402, []),
+             (403, [None] * 6), (404, [float("nan")] * 6), (405, [float("inf")] * 6), (450, [0.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns(
+        {"score": F.lit("x"), "rank": F.lit(1), "id": F.lit(2), "vec": F.lit(3)}).repartition(5)
+    got = topk.exact_top_k(spark, df, F.pmod("vec_id", F.lit(50)) == 0, groups=groups, block=block)
+    assert sorted(map(tuple, got.collect())) == top_k_brute(rows)
+
+
+def test_top_k_number_types_and_small_tables(spark):
+    big = [(0, [2.0 ** 16, 1.0]), (1, [2.0 ** 16, 3.0]), (2, [-(2.0 ** 16), 5.0]), (3, [2.0 ** 19, 0.5])]
+    for rows in (big, big[:2], big[:1], []):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = topk.exact_top_k(spark, df, F.pmod("vec_id", F.lit(50)) == 0)
+        assert sorted(map(tuple, got.collect())) == top_k_brute(rows)
+    huge = spark.createDataFrame([(0, [1e300]), (1, [1e300])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="do not fit"):
+        topk.exact_top_k(spark, huge, F.pmod("vec_id", F.lit(50)) == 0)
+
+
+# ------------------------------------------------------------------ decontamination
+
+def leaks_brute(docs, items, width=10):
+    windows = {}
+    for name, text in items:
+        w = words((text or "").encode())
+        if name is not None and w:
+            for i in range(max(1, len(w) - width + 1)):
+                windows.setdefault(tuple(w[i:i + width]), set()).add(str(name))
+    out = []
+    for doc, text in docs:
+        w, hit, names = words((text or "").encode()), set(), set()
+        for p, own in windows.items():
+            for i in range(len(w) - len(p) + 1):
+                if tuple(w[i:i + len(p)]) == p:
+                    hit |= set(range(i, i + len(p)))
+                    names |= own
+        out.append((doc, len(w), sorted(hit), sorted(names)))
+    return out
+
+
+def make_leaks(seed):
+    rng = random.Random(seed)
+    vocab = ["a", "b", "c", "Über", "x1"]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(rng.choice([1, 3, 9, 10, 12, 30])))) for i in range(6)]
+    items += [(9, "Z z"), (9, "q, Q!"), (None, "a a"), (10, None), (11, ""), (12, "...")]
+    docs = []
+    for i in range(30):
+        w = [rng.choice([*vocab, "other"]) for _ in range(rng.choice([0, 1, 5, 40, 200]))]
+        if i % 3 == 0 and w:
+            at = rng.randrange(len(w))
+            w[at:at] = rng.choice(items[:7])[1].split()
+        docs.append((i, rng.choice([" ", "-", "\n"]).join(w)))
+    docs += [(None, "z Z"), (5, None), (6, ""), (7, docs[0][1]), (7, docs[0][1]), (8, "b " * 3000)]
+    return docs, items
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("shard", [16, 1 << 20])
+def test_fm_search(seed, shard):
+    docs, items = make_leaks(seed)
+    phrases = decontaminate.Phrases([(i, t.encode()) for i, t in items if i is not None and t is not None], 10)
+    n, spans, names = decontaminate.search([(t or "").encode() for _, t in docs], phrases, shard)
+    got = [(d, int(k), [x for a, b in s for x in range(a, b)], i)
+           for (d, _), k, s, i in zip(docs, n, spans, names)]
+    assert got == leaks_brute(docs, items)
+
+
+def test_suffix_array_and_ranks():
+    rng = np.random.RandomState(1)
+    text = np.r_[rng.randint(0, 4, 500), 0]
+    index = decontaminate.FMIndex(text, 3)
+    for c in (1, 2, 3):
+        at = np.arange(len(text) + 1)
+        assert (index.rank(np.full(len(at), c), at) == np.r_[0, np.cumsum(index.bwt == c)]).all()
+    order = decontaminate.suffix_array(text)
+    assert (index.locate(np.arange(len(text))) == order).all()
+
+
+def test_leaks_on_tables(spark):
+    docs, items = make_leaks(9)
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumns(
+        {"spans": F.lit(1), "items": F.lit("x"), "n_words": F.lit(0)}).repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("t", F.lit(1))
+    want = leaks_brute(docs, items)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    for limit in (decontaminate.BLOCK, 40):  # one block and many
+        decontaminate.phrase_blocks.__defaults__ = (limit,)
+        got = [(r.doc_id, r.n_words, [x for a, b in r.spans for x in range(a, b)], r["items"])
+               for r in decontaminate.find_leaks(df, bench).collect()]
+        assert sorted(got, key=key) == sorted(want, key=key)
+        kept = decontaminate.drop_leaks(df, bench)
+        assert kept.schema == df.schema
+        assert kept.count() == sum(not h for _, _, h, _ in want)
+    decontaminate.phrase_blocks.__defaults__ = (decontaminate.BLOCK,)
+    cut = {r.doc_id: r.text for r in decontaminate.cut_spans(
+        spark.createDataFrame([(1, "One Q, q. two"), (2, None), (3, "three")], "doc_id long, text string"),
+        bench).collect()}
+    assert cut == {1: "One . two", 2: None, 3: "three"}
+    assert decontaminate.find_leaks(df.limit(0), bench).count() == 0
+    assert decontaminate.drop_leaks(df, bench.limit(0)).count() == df.count()
+
+
+# ------------------------------------------------------------------ SimHash
+
+def fingerprint_brute(text, n=4):
+    w = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    if not w:
+        return 0
+    sh = [" ".join(w[i:i + n]) for i in range(max(1, len(w) - n + 1))]
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def union_find(nodes, links):
+    up = {x: x for x in nodes}
+
+    def find(x):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        up[b] = a
+    return {x: find(x) for x in nodes}
+
+
+def test_fingerprints(spark):
+    rng = random.Random(3)
+    texts = [None, "", " \n", "One", "one two THREE", "a b c d", "É Ü a B", "x y z\x0bw"]
+    texts += [" ".join(rng.choice("abcde") for _ in range(n)) for n in (5, 63, 64, 70_000)]
+    got = [simhash.fingerprint((t or "").encode()) % 2 ** 64 for t in texts]
+    assert got == [fingerprint_brute(t) for t in texts]
+    jvm = spark.createDataFrame([("one two three",)], "s string").select(F.xxhash64("s")).head()[0]
+    assert jvm == np.array([xxhash.xxh64_intdigest(b"one two three", 42)], np.uint64).view(np.int64)[0]
+
+
+def cluster_prints(seed, n=1500):
+    rng = random.Random(seed)
+    base = [rng.getrandbits(64) for _ in range(40)] + [0, 2 ** 64 - 1]
+    out = set(base)
+    while len(out) < n:
+        x = rng.choice(base[:3] if rng.random() < 0.5 else base)
+        for _ in range(rng.randint(0, 9)):
+            x ^= 1 << rng.randrange(64)
+        out.add(x)
+    return sorted(out)
+
+
+@pytest.mark.parametrize("bits,probe,cell", [(4, 1000.0, 4096), (4, 0.001, 4096), (2, 0.001, 64), (4, 1000.0, 32), (0, 1.0, 64)])
+def test_links_connect_like_brute_force(spark, monkeypatch, bits, probe, cell):
+    prints = cluster_prints(bits)
+    plan = simhash.search_plan
+    monkeypatch.setattr(simhash, "search_plan", lambda s, n, b: plan(s, n, b, probe))
+    df = spark.createDataFrame([(int(np.uint64(x).view(np.int64)),) for x in prints], "fp long").repartition(4)
+    links = [(r.a % 2 ** 64, r.b % 2 ** 64) for r in simhash.near_links(df, bits, sample=500, cell=cell).collect()]
+    assert all(0 < (a ^ b).bit_count() <= bits for a, b in links)
+    every = [(a, b) for i, a in enumerate(prints) for b in prints[:i] if (a ^ b).bit_count() <= bits]
+    assert union_find(prints, links) == union_find(prints, every)
+
+
+def test_plan_loses_no_pair():
+    rng = np.random.RandomState(5)
+    bits = rng.randint(0, 2, (300, 64)).astype(np.uint64)
+    bits[:, 10:20] = bits[:, :1]  # correlated
+    sample = (bits << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+    for probe in (1e-9, 1e-3, 1.0, 1e4):
+        plan = simhash.search_plan(sample, 10 ** 9, 4, probe)
+        used = [b for part, _ in plan for b in part]
+        assert len(set(used)) == len(used)
+        # any 4 flipped bits leave some partition within its threshold
+        assert sum(t + 1 for _, t in plan) == 5
+    assert simhash.search_plan(np.zeros(0, np.uint64), 0, 4)
+
+
+def test_near_duplicates_and_survivors(spark):
+    rng = random.Random(8)
+    base = [" ".join(rng.choice(["aa", "bb", "cc", "dd", "ee", "ff"]) for _ in range(60)) for _ in range(8)]
+    rows = [(i, base[i % 8] if i % 3 else base[i % 8] + " tail") for i in range(80)]
+    rows += [(200, None), (201, ""), (None, base[0]), (None, "alone here now"), (None, "alone here now"), (5, base[5])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {"fp": F.lit(1), "root": F.lit("r"), "row": F.lit(2), "component_id": F.lit(3)}).repartition(3)
+    got = [(r.doc_id, r.fp % 2 ** 64, r.component_id) for r in simhash.near_duplicates(df).collect()]
+    prints = [(i, fingerprint_brute(t)) for i, t in rows]
+    of = union_find({p for _, p in prints}, [(a, b) for _, a in prints for _, b in prints if (a ^ b).bit_count() <= 4])
+    low = {}
+    for i, p in prints:
+        low[of[p]] = min((x for x in (low.get(of[p]), i) if x is not None), default=None)
+    key = str
+    assert sorted(got, key=key) == sorted([(i, p, low[of[p]]) for i, p in prints], key=key)
+    kept = simhash.drop_near_duplicates(df)
+    assert kept.schema == df.schema
+    ids = [r.doc_id for r in kept.collect()]
+    assert len(ids) == len(set(of.values())) and sorted(map(str, ids)) == sorted(map(str, low.values()))
+    assert simhash.near_duplicates(df.limit(0)).count() == 0
+    assert simhash.drop_near_duplicates(df.limit(0)).count() == 0
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    links = [(i, i + 1) for i in range(300)] + [(1000 + i, 1000) for i in range(200)]
+    links += [(2000 + rng.randrange(300), 2000 + rng.randrange(300)) for _ in range(160)] + [(5, 5), (7, 6), (7, 6)]
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = union_find({x for e in links for x in e}, links)
+    assert got == {x: r for x, r in want.items() if any(x in e and e[0] != e[1] for e in links)}
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_digest_of_items(spark, tmp_path):
+    from shroud.llm import queries
+    spark.createDataFrame([(1, "a b"), (2, "c"), (3, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(9, "b"), (10, "a")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.doc_id: r for r in queries.op5_decontaminate(spark, str(tmp_path)).collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert (got[1].n_items, got[1].items_sha256, got[1].n_hit) == (2, sha("10,9"), 2)
+    assert (got[2].items_sha256, got[3].n_words, got[3].contaminated) == (sha(""), 0, False)
