@@ -93,24 +93,27 @@ def _clusters(x: np.ndarray, k: int, rng: np.random.RandomState) -> np.ndarray:
 def fit(samples: list[tuple[str, str]], dims: int = DIMS, centroids: int = CENTROIDS,
         seed: int = SEED) -> Model:
     """A model of (language, text) samples."""
-    counts = [(lang, c) for lang, t in sorted(samples) if (c := gram_counts(t, dims)) is not None]
+    found = []  # language, buckets, weights, number of n-grams: sparse, a row is mostly zeros
     seen = np.zeros(dims)
-    for _, c in counts:
-        seen += c > 0
-    idf = np.log((1 + len(counts)) / (1 + seen)) + 1
+    for lang, t in sorted(samples):
+        counts = gram_counts(t, dims)
+        if counts is not None:
+            at = np.flatnonzero(counts)
+            seen[at] += 1
+            found.append((lang, at.astype(np.int32), (1 + np.log(counts[at])).astype(np.float32), int(counts.sum())))
+    idf = np.log((1 + len(found)) / (1 + seen)) + 1
     rng, made, names, reach = np.random.RandomState(seed), [], [], {}
-    for lang in sorted({x for x, _ in counts}):
-        own = [c for x, c in counts if x == lang]
+    for lang in sorted({r[0] for r in found}):
+        own = [r for r in found if r[0] == lang]
         x = np.zeros((len(own), dims), np.float32)
-        for i, c in enumerate(own):
-            at = np.flatnonzero(c)
-            x[i, at] = (1 + np.log(c[at])) * idf[at]
+        for i, (_, at, tf, _) in enumerate(own):
+            x[i, at] = tf * idf[at]
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         c = _clusters(x, centroids, rng)
         made.append(c)
         names += [lang] * len(c)
-        for n, near in zip(own, (x @ c.T).max(axis=1)):
-            reach.setdefault(int(n.sum()).bit_length(), []).append(float(near))
+        for (*_, n), near in zip(own, (x @ c.T).max(axis=1)):
+            reach.setdefault(n.bit_length(), []).append(float(near))
     floor, least = np.zeros(65), 0.0
     for size in range(65):  # longer texts have higher cosines; sizes with few samples take the one below
         if len(reach.get(size, [])) >= 10:
