@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples.
 
 Texts are TF-IDF vectors over terms: words, and word beginnings of 4 and 5 bytes (marked with
-``*``).  The vocabulary is what a chi-square test on the examples ties to the label; document
+``*``).  The vocabulary is what a chi-square test on the examples ties to the rarer label; document
 frequencies are counted over all documents.  The examples lie in an inverted index cut into
 blocks: per block the postings, and per term and block the largest weight.  A query's cosine with
 any example of a block is at most the sum of its terms' largest weights there, so blocks are
@@ -49,22 +49,25 @@ def _sketch(text: bytes) -> tuple:
 
 
 def select_terms(texts: list[bytes], labels: np.ndarray) -> list[bytes]:
-    """Terms that depend on the label, by chi-square, the strongest first."""
+    """Terms tied to the rarer label, by chi-square, the strongest first."""
     n, ones = len(texts), int(labels.sum())
     if not ones or ones == n:
         return []
+    rarer = int(2 * ones <= n)
+    ones = min(ones, n - ones)
     seen, with_one = Counter(), Counter()
     for t, y in zip(texts, labels):
-        terms = term_counts(t).keys()
-        seen.update(terms)
-        if y:
-            with_one.update(terms)
+        if y == rarer:
+            with_one.update(term_counts(t).keys())
+    with_one = Counter({t: m for t, m in with_one.items() if m >= LEAST})
+    for t in texts:
+        seen.update(term_counts(t, with_one).keys())
     found = []
     for t, m in seen.items():
         if m >= LEAST:
             a, p = with_one[t], ones / n
             chi = (a - m * p) ** 2 / (m * p * (1 - p) * (1 - m / (n + 1)))
-            if chi >= CHI_SQUARE:
+            if a > m * p and chi >= CHI_SQUARE:
                 found.append((-chi, t))
     return [t for _, t in sorted(found)[:TERMS]]
 
