@@ -44,8 +44,10 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--staging-root", default=None)
     d.add_argument("--staging-prefixes", default="")
     d.add_argument("--expected-identity-rows", type=int, default=None)
-    d.add_argument("--verify", default="auto", choices=["auto", "full"],
-                   help="'full' re-reads gzip text outputs to count rows")
+    d.add_argument("--multiline", action="store_true",
+                   help="the export has line breaks inside quotes")
+    d.add_argument("--apply-purge", action="store_true",
+                   help="delete the staging files that this run has read")
 
     x = sub.add_parser("delete", help="new version without the requested customers")
     x.add_argument("--customers", required=True)
@@ -56,7 +58,8 @@ def _parser() -> argparse.ArgumentParser:
     x.add_argument("--strict", action="store_true")
     x.add_argument("--input-is-distinct", action="store_true",
                    help="skip the DISTINCT for inputs without duplicate rows")
-    x.add_argument("--verify", default="auto", choices=["auto", "full"])
+    x.add_argument("--single-line", action="store_true",
+                   help="the customers have no line break inside quotes, so files can be split")
     x.add_argument("--apply-purge", action="store_true")
 
     w = sub.add_parser("load-identities", help="add new identity pairs")
@@ -80,6 +83,9 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--root-key", default=None,
                    help="root array key when a source uses another name than the preset")
 
+    a.add_argument("--apply-purge", action="store_true",
+                   help="delete the input objects whose redacted copy is on storage")
+
     st = sub.add_parser("stream", help="incremental redaction of new objects into objects")
     st.add_argument("--in-root", required=True)
     st.add_argument("--out-root", required=True)
@@ -90,6 +96,8 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--layout", default="files", choices=["files", "keyed"])
     st.add_argument("--strict", action="store_true")
     st.add_argument("--root-key", default=None)
+    st.add_argument("--max-files-per-trigger", type=int, default=None,
+                    help="at most so many new objects in a micro-batch")
     st.add_argument("--every", default=None,
                     help="keep running with this trigger interval (e.g. '5 minutes'); "
                          "default: process what is there and stop")
@@ -101,22 +109,20 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(args.master)
     if args.cmd == "deidentify":
         res = jobs.deidentify_job(
-            spark, jobs.read_customers(spark, args.customers, args.customers_kind),
+            spark, jobs.read_customers(spark, args.customers, args.customers_kind, args.multiline),
             lambda: identity_service.read_identity_table(spark, args.identity,
                                                          args.identity_format),
             public_root=args.public_root, secured_root=args.secured_root,
             audit_root=args.audit_root, fmt=args.format, dataset=args.dataset,
             source=args.source, as_of=args.as_of, staging_root=args.staging_root,
             staging_prefixes=[s for s in args.staging_prefixes.split(",") if s],
-            expected_identity_rows=args.expected_identity_rows, verify=args.verify)
+            expected_identity_rows=args.expected_identity_rows)
     elif args.cmd == "delete":
-        res = jobs.deletion_job(spark, tables.read_customers_tsv(spark, args.customers),
+        res = jobs.deletion_job(spark, tables.read_customers_tsv(spark, args.customers,
+                                                                 multiline=not args.single_line),
                                 tables.read_deletion_requests(spark, args.requests),
                                 out_root=args.out_root, fmt=args.format, as_of=args.as_of,
-                                strict=args.strict, input_is_distinct=args.input_is_distinct,
-                                verify=args.verify)
-        if args.apply_purge and res.manifest is not None:
-            manifest.apply_purge(spark, args.out_root, manifest.manifest_folders(res.manifest, 2))
+                                strict=args.strict, input_is_distinct=args.input_is_distinct)
     elif args.cmd == "load-identities":
         res = jobs.identity_load_job(
             spark, tables.read_identity_pairs(spark, args.pairs, args.sep),
@@ -129,7 +135,7 @@ def main(argv: list[str] | None = None) -> None:
             spark, args.in_root, args.out_root, args.quarantine, args.checkpoint,
             args.source_type, args.pii_keys, layout=args.layout, strict=args.strict,
             available_now=args.every is None, processing_time=args.every,
-            root_key=args.root_key)
+            root_key=args.root_key, max_files_per_trigger=args.max_files_per_trigger)
         q.awaitTermination()
         print(q.lastProgress)
         if args.every is None:
@@ -148,6 +154,8 @@ def main(argv: list[str] | None = None) -> None:
     res.metrics.show(truncate=False)
     if res.manifest is not None and "relative_path" in res.manifest.columns:
         manifest.manifest_folders(res.manifest, 2).show(truncate=False)
+        if args.apply_purge:
+            print(f"purged files: {manifest.apply_purge(spark, res.manifest)}")
     spark.stop()
 
 

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import audit, deletion, identity, redact
-from ..operators.metrics import count_rows, counted, metrics_frame
-from ..session import remove_path, scratch_path
+from ..operators.metrics import count_rows, counted, metrics_frame, observed
+from ..session import path_exists, remove_path, scratch_path
 from ..sinks import files, manifest, objects
 from ..sources import objects as obj_src
 from ..sources import tables
@@ -52,21 +52,19 @@ def _check(cond: bool, msg: str) -> None:
         raise VerificationError(msg)
 
 
-def _written_rows(spark: SparkSession, path: str, fmt: str, schema, observed: int,
-                  verify: str) -> int:
+def _written_rows(spark: SparkSession, path: str, fmt: str, schema) -> int:
     """Rows found in a written output, for comparison with the rows observed
-    while writing it.
+    while writing it: from file metadata (ORC), or by reading the text again."""
+    return count_rows({"n": files.read_by_format(spark, path, fmt, schema)})["n"]
 
-    ORC row counts come from file metadata, so they are always read back.
-    Gzip text has no such metadata: ``verify="full"`` decompresses and counts
-    everything again; the default checks the listing instead (files present
-    whenever rows were written) and takes the exact result-stage count.
-    """
-    if fmt == "orc" or verify == "full":
-        return count_rows({"n": files.read_by_format(spark, path, fmt, schema)})["n"]
-    listed = count_rows({"n": obj_src.list_objects(spark, path)})["n"]
-    # an empty result may still leave a header-only gzip file behind
-    return observed if (observed == 0 or listed > 0) else -1
+
+def _read_files(spark: SparkSession, listing: DataFrame, read: DataFrame) -> DataFrame:
+    """The rows of a listing whose file ``read`` scans: a file that arrived
+    after the read was planned is in no output and must not be purged."""
+    names = spark.createDataFrame([(f,) for f in read.inputFiles()], "uri string")
+    plain = lambda c: F.regexp_replace(c, r"^file:/+", "file:/")
+    names = names.select(plain(obj_src.decode_uri(F.col("uri"))).alias("__file"))
+    return listing.join(names, plain(F.col("path")) == F.col("__file"), "left_semi")
 
 
 def wait_for_complete_lookup(read_lookup, expected_rows: int, attempts: int = 3,
@@ -89,8 +87,7 @@ def deidentify_job(spark: SparkSession, customers: DataFrame, idsvc, *,
                    dataset: str, source: str, as_of: str | None = None,
                    staging_root: str | None = None,
                    staging_prefixes: list[str] | None = None,
-                   expected_identity_rows: int | None = None,
-                   verify: str = "auto") -> JobResult:
+                   expected_identity_rows: int | None = None) -> JobResult:
     """Public (de-identified) and secured copies, audit refresh, staging manifest.
 
     ``idsvc`` is the identity table, or a function that reads it; with
@@ -109,27 +106,31 @@ def deidentify_job(spark: SparkSession, customers: DataFrame, idsvc, *,
     try:
         src, src_obs = counted(customers, "source")
         distinct_obs = Observation("distinct_source")
-        identity.join_identities(src, idsvc, source, distinct_rows=distinct_obs) \
-            .write.mode("overwrite").parquet(joined_path)
-        joined = spark.read.parquet(joined_path)
+        joined, joined_obs = counted(
+            identity.join_identities(src, idsvc, source, distinct_rows=distinct_obs), "joined")
+        joined.write.mode("overwrite").parquet(joined_path)
+        # written rows against the rows on storage: a scratch folder that
+        # executors do not share, or a lost part, must not pass unnoticed
+        joined_rows = observed(joined_obs, "joined", joined)
+        joined = spark.read.schema(joined.schema).parquet(joined_path)
+        found = count_rows({"n": joined})["n"]
+        _check(found == joined_rows, f"scratch table: {found} rows of {joined_rows}")
         public, pub_obs = counted(identity.deidentified_from(joined, as_of), "public")
         secured, sec_obs = counted(identity.secured_from(joined, as_of), "secured")
         missing, aud_obs = counted(identity.missing_from(joined, source, as_of), "audit")
         files.write_by_format(public, public_path, fmt)
         files.write_by_format(secured, secured_path, fmt)
         audit.refresh_audit(missing, audit_root, source)
-        values = {"source_rows": src_obs.get["source"],
-                  "distinct_source_rows": distinct_obs.get["rows"],
-                  "public_rows": pub_obs.get["public"],
-                  "secured_rows": sec_obs.get["secured"],
-                  "missing_identities": aud_obs.get["audit"]}
+        values = {"source_rows": observed(src_obs, "source", customers),
+                  "distinct_source_rows": observed(distinct_obs, "rows", customers.distinct()),
+                  "public_rows": observed(pub_obs, "public", public),
+                  "secured_rows": observed(sec_obs, "secured", secured),
+                  "missing_identities": observed(aud_obs, "audit", missing)}
     finally:
         # the joined table holds raw PII: it must not outlive the job
         remove_path(spark, joined_path)
-    back = {"public": _written_rows(spark, public_path, fmt, schemas.DEIDENTIFIED,
-                                    values["public_rows"], verify),
-            "secured": _written_rows(spark, secured_path, fmt, schemas.SECURED,
-                                     values["secured_rows"], verify),
+    back = {"public": _written_rows(spark, public_path, fmt, schemas.DEIDENTIFIED),
+            "secured": _written_rows(spark, secured_path, fmt, schemas.SECURED),
             "audit": count_rows({"n": audit.read_audit(spark, audit_root)
                                  .where(F.col("source") == source)})["n"]}
     _check(back["public"] == values["public_rows"], f"public copy: {back} vs {values}")
@@ -141,7 +142,8 @@ def deidentify_job(spark: SparkSession, customers: DataFrame, idsvc, *,
     # with what is on storage, and only they gate the purge manifest.
     man = None
     if staging_root and staging_prefixes:
-        man = manifest.purge_manifest(spark, staging_root, staging_prefixes)
+        man = _read_files(spark, manifest.purge_manifest(spark, staging_root, staging_prefixes),
+                          customers)
     return JobResult(metrics_frame(spark, "deidentify", values), values, man,
                      {"public": public_path, "secured": secured_path, "audit": audit_root})
 
@@ -149,11 +151,15 @@ def deidentify_job(spark: SparkSession, customers: DataFrame, idsvc, *,
 # ------------------------------------------------------------------- deletion
 def deletion_job(spark: SparkSession, customers: DataFrame, requests: DataFrame, *,
                  out_root: str, fmt: str, as_of: str, strict: bool = False,
-                 verify: str = "auto", input_is_distinct: bool = False) -> JobResult:
+                 input_is_distinct: bool = False) -> JobResult:
     """Write the customers minus the requested e-mails as a new dated version
-    and list the older versions for purging."""
+    and list the older versions (as they stood when the job began) for purging."""
     marker = f"{VERSION_PREFIX}{as_of}"
     path = f"{out_root}/{fmt}/{marker}"
+    older = scratch_path(spark, "older-versions")
+    first = not path_exists(spark, out_root)
+    if not first:
+        manifest.purge_manifest_keep_version(spark, out_root, fmt, marker).write.parquet(older)
     # Every count of the big side is observed inside the one write plan.
     source, src_obs = counted(customers, "source")
     distinct_obs = Observation("distinct_source")
@@ -161,14 +167,15 @@ def deletion_job(spark: SparkSession, customers: DataFrame, requests: DataFrame,
                                                  distinct_rows=distinct_obs,
                                                  input_is_distinct=input_is_distinct), "kept")
     files.write_by_format(kept, path, fmt)
-    values = {"source_rows": src_obs.get["source"],
+    values = {"source_rows": observed(src_obs, "source", customers),
               "request_rows": count_rows({"n": requests.distinct()})["n"],
-              "kept_rows": obs.get["kept"]}
-    values["deleted_rows"] = distinct_obs.get["rows"] - values["kept_rows"]
-    back = {"kept": _written_rows(spark, path, fmt, schemas.CUSTOMERS, values["kept_rows"],
-                                  verify)}
+              "kept_rows": observed(obs, "kept", kept)}
+    distinct = customers if input_is_distinct else customers.distinct()
+    values["deleted_rows"] = observed(distinct_obs, "rows", distinct) - values["kept_rows"]
+    back = {"kept": _written_rows(spark, path, fmt, schemas.CUSTOMERS)}
     _check(back["kept"] == values["kept_rows"], f"new version: {back} vs {values}")
-    man = manifest.purge_manifest_keep_version(spark, out_root, fmt, marker)
+    man = (manifest.purge_manifest_keep_version(spark, out_root, fmt, marker).where(F.lit(False))
+           if first else spark.read.parquet(older))
     return JobResult(metrics_frame(spark, "deletion", values), values, man, {"kept": path})
 
 
@@ -187,22 +194,26 @@ def identity_load_job(spark: SparkSession, pairs: DataFrame, idsvc: DataFrame, *
     """
     if (out_path is None) == (append_to is None):
         raise ValueError("give exactly one of out_path and append_to")
+    # Counted before anything is written: it gates the result, and a count
+    # observed ahead of a shuffle may be doubled by a stage that runs again.
+    known = count_rows({"n": idsvc})["n"]
     src, src_obs = counted(pairs, "pairs")
-    existing, lookup_obs = counted(idsvc, "lookup")
-    new, obs = counted(identity.new_identity_pairs(src, existing), "new_pairs")
+    new, obs = counted(identity.new_identity_pairs(src, idsvc), "new_pairs")
     if append_to is not None:
         staged = scratch_path(spark, "identity-load")
         try:
             new.write.mode("overwrite").parquet(staged)
+            on_storage = spark.read.schema(new.schema).parquet(staged)
+            found = count_rows({"n": on_storage})["n"]
+            _check(found == observed(obs, "new_pairs", new), f"staged pairs: {found} found")
             incoming, in_obs = counted(
-                identity.unique_identities(spark.read.parquet(staged)
-                                           .where(F.col("sourceSystemId").isNotNull())),
+                identity.unique_identities(on_storage.where(F.col("sourceSystemId").isNotNull())),
                 "appended")
             incoming.write.mode("append").format(fmt).save(append_to)
+            values = {"source_rows": observed(src_obs, "pairs", pairs), "lookup_rows": known,
+                      "new_pairs": found, "appended_rows": observed(in_obs, "appended", incoming)}
         finally:
             remove_path(spark, staged)
-        values = {"source_rows": src_obs.get["pairs"], "lookup_rows": lookup_obs.get["lookup"],
-                  "new_pairs": obs.get["new_pairs"], "appended_rows": in_obs.get["appended"]}
         after = count_rows({"n": spark.read.format(fmt).load(append_to)})["n"]
         values["identity_rows_after"] = after
         _check(after >= values["lookup_rows"] + values["appended_rows"], "identity rows lost")
@@ -212,9 +223,8 @@ def identity_load_job(spark: SparkSession, pairs: DataFrame, idsvc: DataFrame, *
     try:
         upserted = identity.upsert_identities(idsvc, new)
         upserted.write.mode("overwrite").format(fmt).save(out_path)
-        values = {"source_rows": src_obs.get["pairs"],
-                  "lookup_rows": lookup_obs.get["lookup"],
-                  "new_pairs": obs.get["new_pairs"]}
+        values = {"source_rows": observed(src_obs, "pairs", pairs), "lookup_rows": known,
+                  "new_pairs": observed(obs, "new_pairs", new)}
     finally:
         new.unpersist()
     back = spark.read.format(fmt).load(out_path)
@@ -238,6 +248,7 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
     (objects of earlier runs stay) and writes its quarantine rows to
     ``quarantine_root/run=<run_id>``."""
     run_id = run_id or uuid.uuid4().hex
+    obj_src.require_visible_names(spark, in_root)
     preset = redact.PRESETS[redact.route(source_type)]
     # gzip sources compress every object, whatever its name; objects in the
     # keyed layout were written by Spark, which always names them *.gz
@@ -261,8 +272,8 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
         bad, bad_obs = counted(bad, "quarantined")
         bad.write.mode("overwrite").parquet(f"{quarantine_root}/run={run_id}")
         values = {"listed_objects": count_rows({"n": listing})["n"],
-                  "redacted_objects": ok_obs.get["rows"],
-                  "quarantined_objects": bad_obs.get["quarantined"]}
+                  "redacted_objects": observed(ok_obs, "rows", ok),
+                  "quarantined_objects": observed(bad_obs, "quarantined", bad)}
         # this run's objects on storage (earlier runs' objects are not counted);
         # one listing of out_root serves this count and the manifest below
         out_listing = obj_src.list_objects(spark, out_root, "keyed")
@@ -283,17 +294,19 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
     # A key quarantined in this run is never purged, even if an earlier run left
     # a redacted copy of an older version under out_root.
     held = spark.read.parquet(f"{quarantine_root}/run={run_id}").select("object_key")
-    man = (listing.select("object_key", "path", "length", "modificationTime")
+    man = (listing.select("object_key", obj_src.relative_path(F.col("path"), in_root)
+                          .alias("relative_path"), "path", "length", "modificationTime")
            .join(done, "object_key", "left_semi")
            .join(held, "object_key", "left_anti"))
     return JobResult(metrics_frame(spark, "json_anonymize", values), values, man,
                      {"objects": out_root, "quarantine": f"{quarantine_root}/run={run_id}"})
 
 
-def read_customers(spark: SparkSession, path: str, kind: str) -> DataFrame:
+def read_customers(spark: SparkSession, path: str, kind: str,
+                   multiline: bool = False) -> DataFrame:
     """Customer export reader by kind: 'csv' (comma) or 'tsv' (tab)."""
     if kind == "csv":
-        return tables.read_customers_csv(spark, path)
+        return tables.read_customers_csv(spark, path, multiline=multiline)
     if kind == "tsv":
-        return tables.read_customers_tsv(spark, path)
+        return tables.read_customers_tsv(spark, path, multiline=multiline)
     raise ValueError(f"unknown customer export kind {kind!r}")

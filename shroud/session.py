@@ -64,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             return base.rsplit("/", 1)[0]
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if sc is not None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="shroud-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(conf_dir)
@@ -84,6 +86,12 @@ def default_parallelism(spark: SparkSession) -> int:
                    or spark.conf.get("spark.sql.shuffle.partitions", None) or os.cpu_count() or 8)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete ``path`` recursively on its file system (object store, HDFS,
     local).  Used for scratch tables that must not outlive their job."""

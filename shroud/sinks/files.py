@@ -63,6 +63,7 @@ def read_by_format(spark, path: str, fmt: str, schema) -> DataFrame:
     if fmt == "orc":
         return spark.read.schema(schema).orc(path)
     if fmt == "gzip":
+        # the writer keeps line breaks inside its quotes
         return (spark.read.schema(schema).option("sep", "\t").option("quote", '"')
-                .option("escape", '"').csv(path))
+                .option("escape", '"').option("multiLine", True).csv(path))
     raise ValueError(f"unknown output format {fmt!r}; expected 'orc' or 'gzip'")

@@ -6,10 +6,13 @@ file metadata is read.  Removal is a separate, explicit step.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import remove_path
+from ..session import remove_path, scratch_path
 from ..sources.objects import list_objects, relative_path
 
 
@@ -43,8 +46,23 @@ def manifest_folders(manifest: DataFrame, depth: int) -> DataFrame:
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
 
 
-def apply_purge(spark: SparkSession, root: str, folders: DataFrame) -> int:
-    """Delete the listed folders below ``root`` (recursive).  Explicit action:
-    only a bounded list of folder names reaches the driver, never file data."""
-    names = [r["folder"] for r in folders.select("folder").distinct().toLocalIterator()]
-    return sum(remove_path(spark, f"{root.rstrip('/')}/{name}") for name in names)
+def apply_purge(spark: SparkSession, manifest: DataFrame, threads: int = 16) -> int:
+    """Delete exactly the manifest's files and return how many were there.
+
+    The paths are written down first (the manifest may be a lazy listing of
+    the files that go), then stream to the driver a partition at a time and
+    are deleted one by one on a few threads.  Folders and files that the
+    manifest does not name stay, whatever arrived meanwhile; files that are
+    gone already do not count.
+    """
+    def delete(row) -> bool:
+        return remove_path(spark, row["path"])
+
+    listed = scratch_path(spark, "purge")
+    manifest.select("path").distinct().write.parquet(listed)
+    paths = spark.read.schema("path string").parquet(listed).toLocalIterator()
+    done = 0
+    with ThreadPoolExecutor(threads) as pool:
+        while some := list(islice(paths, 10_000)):
+            done += sum(pool.map(delete, some))
+    return done

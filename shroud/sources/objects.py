@@ -54,6 +54,42 @@ def object_key(path: Column, root: str, layout: str = "files") -> Column:
     raise ValueError(f"unknown object layout {layout!r}")
 
 
+class HiddenNamesError(RuntimeError):
+    """Objects that Spark's file sources pass over because of their names."""
+
+
+def hidden_names(spark: SparkSession, root: str, most: int = 20) -> list[str]:
+    """Non-empty objects below ``root`` that Spark's file sources do not see: a
+    file or folder name begins with ``_`` or ``.``, or ends in ``._COPYING_``.
+
+    Found level by level with file-system globs, which do list such names.
+    """
+    sc = spark.sparkContext
+    path_type = sc._jvm.org.apache.hadoop.fs.Path
+    fs = path_type(root).getFileSystem(sc._jsc.hadoopConfiguration())
+    found: list[str] = []
+    level = root.rstrip("/")
+    while len(found) < most:
+        for pattern in ("[_.]*", "*._COPYING_"):
+            for status in fs.globStatus(path_type(f"{level}/{pattern}")) or []:
+                size = fs.getContentSummary(status.getPath()).getLength()
+                if size > 0 and len(found) < most:  # empty markers such as _SUCCESS hold nothing
+                    found.append(status.getPath().toString())
+        level += "/*"
+        if not len(fs.globStatus(path_type(level)) or []):
+            break
+    return found
+
+
+def require_visible_names(spark: SparkSession, root: str) -> None:
+    """Fail before anything is processed if some objects would be passed over."""
+    found = hidden_names(spark, root)
+    if found:
+        raise HiddenNamesError(
+            "Spark's file sources skip names that begin with _ or . or end in ._COPYING_; "
+            f"rename or move these objects first: {', '.join(found)}")
+
+
 def scan_objects(spark: SparkSession, root: str, layout: str = "files",
                  gzip_any_name: bool = False) -> DataFrame:
     """(object_key, path, payload) for every readable, non-empty object.

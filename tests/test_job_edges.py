@@ -1,0 +1,141 @@
+"""Jobs on empty inputs, files that arrive meanwhile, lost parts, hidden names, line breaks."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from shroud import fixtures as fx
+from shroud import schemas
+from shroud.plans import jobs as J
+from shroud.sinks import files as K
+from shroud.sinks import manifest as MF
+from shroud.sources import objects as SO
+from shroud.sources import tables as ST
+
+SF = "/root/testdata/sf0.001"
+
+
+def _local(path):
+    """The scratch folder as the operating system names it."""
+    return "/" + path.removeprefix("file:").lstrip("/")
+
+
+def _deidentify(spark, base, customers, idsvc, fmt="orc", **kw):
+    return J.deidentify_job(spark, customers, idsvc, public_root=f"{base}/pub", secured_root=f"{base}/sec",
+                            audit_root=f"{base}/audit", fmt=fmt, dataset="customers", source="app",
+                            as_of="2024-01-01", **kw)
+
+
+@pytest.mark.parametrize("empty", ["customers", "identities", "both"])
+def test_deidentify_on_empty_inputs(spark, scratch, empty):
+    customers, idsvc = fx.customers(spark, SF), fx.identity_service(spark, SF)
+    n = customers.distinct().count()
+    if empty != "identities":
+        customers, n = customers.where("id = 'none'"), 0
+    if empty != "customers":
+        idsvc = idsvc.where("uuid = 'none'")
+    v = _deidentify(spark, scratch("empty"), customers, idsvc).values
+    assert v["secured_rows"] == v["distinct_source_rows"] == n
+    assert v["public_rows"] == 0 and v["missing_identities"] == n
+
+
+@pytest.mark.parametrize("empty", ["customers", "requests", "both"])
+@pytest.mark.parametrize("fmt", ["orc", "gzip"])
+def test_deletion_on_empty_inputs(spark, scratch, empty, fmt):
+    customers, requests = fx.customers(spark, SF), fx.deletion_requests(spark, SF)
+    customers = customers if empty == "requests" else customers.where("id = 'none'")
+    requests = requests if empty == "customers" else requests.where("email = 'none'")
+    res = J.deletion_job(spark, customers, requests, out_root=scratch("empty"), fmt=fmt, as_of="2024-01-01")
+    assert res.values["kept_rows"] == customers.distinct().count() and res.values["deleted_rows"] == 0
+    assert res.manifest.count() == 0
+
+
+@pytest.mark.parametrize("empty", ["pairs", "store", "both"])
+@pytest.mark.parametrize("append", [True, False])
+def test_identity_load_on_empty_inputs(spark, scratch, empty, append):
+    base, pairs, idsvc = scratch("empty"), fx.identity_pairs(spark, SF), fx.identity_service(spark, SF)
+    pairs = pairs if empty == "store" else pairs.where("uuid = 'none'")
+    idsvc = idsvc if empty == "pairs" else idsvc.where("uuid = 'none'")
+    idsvc.write.parquet(f"{base}/idsvc")
+    stored = spark.read.schema(schemas.IDENTITY).parquet(f"{base}/idsvc")
+    known, fresh = stored.count(), pairs.where("sourceSystemId is not null").select("sourceSystemId").distinct().count()
+    where = {"append_to": f"{base}/idsvc"} if append else {"out_path": f"{base}/next"}
+    v = J.identity_load_job(spark, pairs, stored, **where).values
+    assert v["lookup_rows"] == known and v["identity_rows_after"] == known + fresh
+
+
+def test_purge_takes_the_manifest_only(spark, scratch):
+    root = _local(scratch("lake"))
+    os.makedirs(f"{root}/orc/base/deleteOverwrite_2024-01-01")
+    for name in ("orc/base/old.orc", "orc/base/deleteOverwrite_2024-01-01/new.orc"):
+        with open(f"{root}/{name}", "w") as f:
+            f.write("x")
+    m = MF.purge_manifest_keep_version(spark, root, "orc", "deleteOverwrite_2024-01-01")
+    rows = [r.path for r in m.collect()]
+    with open(f"{root}/orc/base/late.orc", "w") as f:
+        f.write("x")
+    assert MF.apply_purge(spark, spark.createDataFrame([(p,) for p in rows], "path string")) == 1
+    left = {r.relative_path for r in MF.purge_manifest(spark, root, [""]).collect()}
+    assert left == {"orc/base/deleteOverwrite_2024-01-01/new.orc", "orc/base/late.orc"}
+
+
+def test_late_staging_file_is_not_listed(spark, scratch):
+    base = _local(scratch("late"))
+    K.write_csv(fx.customers(spark, SF), f"{base}/staging/cust omers", sep=",")
+    customers = ST.read_customers_csv(spark, f"{base}/staging/cust omers")
+    read = set(customers.inputFiles())
+    with open(f"{base}/staging/cust omers/late.csv", "w") as f:
+        f.write("9999,late@example.com\n")
+    res = _deidentify(spark, base, customers, fx.identity_service(spark, SF),
+                      staging_root=f"{base}/staging", staging_prefixes=["cust omers"])
+    names = {os.path.basename(r.path) for r in res.manifest.collect()}
+    assert names == {os.path.basename(x) for x in read}
+
+
+@pytest.mark.parametrize("fmt", ["orc", "gzip"])
+def test_a_lost_output_part_fails_the_job(spark, scratch, monkeypatch, fmt):
+    base, write = _local(scratch("lost")), K.write_by_format
+
+    def lossy(df, path, fmt, **kw):
+        write(df, path, fmt, **kw)
+        part = max((f for f in os.listdir(path) if f.startswith("part-")), key=lambda f: os.path.getsize(f"{path}/{f}"))
+        os.remove(f"{path}/{part}")
+
+    monkeypatch.setattr(K, "write_by_format", lossy)
+    with pytest.raises(J.VerificationError):
+        _deidentify(spark, base, fx.customers(spark, SF), fx.identity_service(spark, SF), fmt)
+    with pytest.raises(J.VerificationError):
+        J.deletion_job(spark, fx.customers(spark, SF), fx.deletion_requests(spark, SF), out_root=f"{base}/l",
+                       fmt=fmt, as_of="2024-01-01")
+
+
+def test_a_short_scratch_table_fails_the_job(spark, scratch, monkeypatch):
+    monkeypatch.setattr(J, "count_rows", lambda dfs: {k: -1 for k in dfs})
+    with pytest.raises(J.VerificationError, match="scratch table"):
+        _deidentify(spark, scratch("short"), fx.customers(spark, SF), fx.identity_service(spark, SF))
+
+
+def test_hidden_names_stop_the_job(spark, scratch):
+    root = _local(scratch("names"))
+    hidden = ["_raw/b.json", "day=1/_c.json", ".d.json", "x/.hid/e.json", "y/f.json._COPYING_"]
+    for name in ["ok/a.json", *hidden, "ok/_SUCCESS"]:
+        os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
+        with open(f"{root}/{name}", "w") as f:
+            f.write("" if name.endswith("_SUCCESS") else '{"payload": []}')
+    found = SO.hidden_names(spark, root)
+    assert {f.split(f"{root.rstrip('/')}/")[-1].split("/")[0] for f in found} == {"_raw", "day=1", ".d.json", "x", "y"}
+    with pytest.raises(SO.HiddenNamesError):
+        J.json_anonymize_job(spark, root, f"{root}-out", f"{root}-q", "source2", ["name"])
+    assert SO.hidden_names(spark, f"{root}/ok") == [] == SO.hidden_names(spark, f"{root}/none")
+
+
+def test_line_breaks_inside_quotes_survive(spark, scratch):
+    base = scratch("breaks")
+    one = fx.customers(spark, SF).limit(3).withColumn("settings", F.lit('a "b"\nnext\tline'))
+    K.write_tsv_gzip(one, f"{base}/t")
+    back = ST.read_customers_tsv(spark, f"{base}/t", multiline=True)
+    assert back.count() == 3 and {r.settings for r in back.collect()} == {'a "b"\nnext\tline'}
+    res = J.deletion_job(spark, back, fx.deletion_requests(spark, SF).limit(0), out_root=f"{base}/l",
+                         fmt="gzip", as_of="2024-01-01")
+    assert res.values["kept_rows"] == back.distinct().count()

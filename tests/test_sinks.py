@@ -57,7 +57,8 @@ def test_manifests_and_apply(spark, scratch):
     m = manifest.purge_manifest_keep_version(spark, root, "orc", "deleteOverwrite_2024-01-01")
     folders = manifest.manifest_folders(m, 2)
     assert [r["folder"] for r in folders.collect()] == ["orc/deleteOverwrite_2023-01-01"]
-    assert manifest.apply_purge(spark, root, folders) == 1
+    n = m.count()
+    assert n > 0 and manifest.apply_purge(spark, m) == n
     left = manifest.purge_manifest(spark, root, ["orc", "other"])
     assert {r["relative_path"].split("/")[1] for r in left.collect() if r["relative_path"].startswith("orc")} \
         == {"deleteOverwrite_2024-01-01"}
