@@ -29,7 +29,7 @@ def append_audit_jdbc(audit_rows: DataFrame, url: str, table: str, properties: d
     """Append audit rows to a relational table in parallel batched inserts.
 
     Clearing the source's old rows is the table owner's statement (or use
-    the partitioned table above, whose refresh is per-source atomic)."""
+    the partitioned table above, whose refresh replaces one source's folder)."""
     df = audit_rows.repartition(num_partitions) if num_partitions else audit_rows
     props = dict(properties)
     props.setdefault("batchsize", str(batch_size))

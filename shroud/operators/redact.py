@@ -2,8 +2,8 @@
 
 Each preset compiles to native expressions (variant parsing, ``transform``,
 ``map_filter``/``map_concat``, ``transform_values``, ``regexp_replace``) and
-runs inside the executors' generated code; there is no Python UDF.  A
-document that cannot be parsed, or whose addressed parts do not have the
+runs inside the executors' JVM (higher-order functions are interpreted
+there); there is no Python UDF.  A document that cannot be parsed, or whose addressed parts do not have the
 required shape, is never dropped: it goes to the quarantine output with a
 reason, and ``in = redacted + quarantined`` holds row for row.
 
@@ -276,7 +276,11 @@ def redact(df: DataFrame, preset: str, pii_keys: list[str] | str,
     for name, ok in checks:
         reason = reason.when(~ok, F.lit(name))
     reason = reason.otherwise(F.lit(None).cast("string"))
-    return (parsed.withColumn("reason", reason)
+    # The one-element generator keeps the optimiser from pushing a filter on
+    # ``reason`` or ``status`` below it, which would parse and check every
+    # document a second time; the filter meets a finished value instead, and
+    # only documents that pass are written out.
+    return (parsed.withColumn("reason", F.explode(F.array(reason)))
             .withColumn("status", F.when(F.col("reason").isNull(), "redacted")
                         .otherwise("quarantined"))
             .withColumn("redacted", F.when(F.col("reason").isNull(), F.to_json(out_doc)))

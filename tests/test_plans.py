@@ -52,3 +52,12 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGro
 def test_no_python_in_registered_plans(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
     assert not [n for n in PYTHON_NODES if n in plan]
+
+
+@pytest.mark.parametrize("name", ["json_redact_clickstream", "json_redact_chat", "json_redact_orders",
+                                  "json_redact_service"])
+def test_each_document_is_parsed_once(spark, name):
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    # the document, and the redacted text that the query takes apart; never again in a filter
+    assert plan.count("parseJson") == 2
+    assert not any("Filter" in line and "parseJson" in line for line in plan.splitlines())
