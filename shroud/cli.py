@@ -96,6 +96,11 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--layout", default="files", choices=["files", "keyed"])
     st.add_argument("--strict", action="store_true")
     st.add_argument("--root-key", default=None)
+    for x in (a, st):
+        x.add_argument("--out-layout", default="keyed", choices=["files", "keyed"],
+                       help="files: each object at its exact key, put by the executors")
+    a.add_argument("--refuse-hidden", action="store_true",
+                   help="stop where names begin with _ or . instead of reading such objects")
     st.add_argument("--max-files-per-trigger", type=int, default=None,
                     help="at most so many new objects in a micro-batch")
     st.add_argument("--every", default=None,
@@ -135,12 +140,13 @@ def main(argv: list[str] | None = None) -> None:
             spark, args.in_root, args.out_root, args.quarantine, args.checkpoint,
             args.source_type, args.pii_keys, layout=args.layout, strict=args.strict,
             available_now=args.every is None, processing_time=args.every,
-            root_key=args.root_key, max_files_per_trigger=args.max_files_per_trigger)
+            root_key=args.root_key, max_files_per_trigger=args.max_files_per_trigger,
+            out_layout=args.out_layout)
         q.awaitTermination()
         print(q.lastProgress)
         if args.every is None:
             from .streaming.redact_stream import accounted_for_objects, unaccounted_objects
-            acc = accounted_for_objects(spark, args.out_root, args.quarantine)
+            acc = accounted_for_objects(spark, args.out_root, args.quarantine, args.out_layout)
             missing = unaccounted_objects(spark, args.in_root, acc, args.layout)
             print(f"unaccounted objects (unreadable, skipped): {missing.count()}")
             missing.show(20, truncate=False)
@@ -150,7 +156,8 @@ def main(argv: list[str] | None = None) -> None:
         res = jobs.json_anonymize_job(spark, args.in_root, args.out_root, args.quarantine,
                                       args.source_type, args.pii_keys, layout=args.layout,
                                       strict=args.strict, run_id=args.run_id,
-                                      root_key=args.root_key)
+                                      root_key=args.root_key, out_layout=args.out_layout,
+                                      refuse_hidden=args.refuse_hidden)
     res.metrics.show(truncate=False)
     if res.manifest is not None and "relative_path" in res.manifest.columns:
         manifest.manifest_folders(res.manifest, 2).show(truncate=False)

@@ -238,7 +238,8 @@ def identity_load_job(spark: SparkSession, pairs: DataFrame, idsvc: DataFrame, *
 def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
                        quarantine_root: str, source_type: str, pii_keys, *,
                        layout: str = "files", strict: bool = False,
-                       run_id: str | None = None, root_key: str | None = None) -> JobResult:
+                       run_id: str | None = None, root_key: str | None = None,
+                       out_layout: str = "keyed", refuse_hidden: bool = False) -> JobResult:
     """Redact every object under ``in_root``; write redacted objects under
     ``out_root`` with key ``anonymized/<key>``, quarantine the rest with a
     reason, reconcile ``listed = redacted + quarantined`` and only then list
@@ -246,22 +247,47 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
 
     Runs accumulate: a run replaces only its own keys under ``out_root``
     (objects of earlier runs stay) and writes its quarantine rows to
-    ``quarantine_root/run=<run_id>``."""
+    ``quarantine_root/run=<run_id>``.
+
+    ``out_layout``: ``files`` puts each object at its exact key from the
+    executors, ``keyed`` publishes through Spark's writer (a folder an object).
+    Objects whose names Spark's file sources pass over are listed and read by
+    the executors themselves; with ``refuse_hidden``, in the keyed layout or
+    where the file system has no Arrow client, such names stop the job before
+    anything is processed."""
     run_id = run_id or uuid.uuid4().hex
-    obj_src.require_visible_names(spark, in_root)
+    if out_layout not in ("files", "keyed"):
+        raise ValueError(f"unknown object layout {out_layout!r}")
+    aside = None
+    if refuse_hidden or layout != "files" or not obj_src.reachable(in_root):
+        obj_src.require_visible_names(spark, in_root)
+    else:
+        aside = obj_src.hidden_objects(spark, in_root)
+        # the key ends the folder name there, and Spark would not see the copy
+        if out_layout == "keyed" and aside.where(F.col("object_key").endswith("._COPYING_")).head(1):
+            raise obj_src.HiddenNamesError("keys ending in ._COPYING_ need out_layout='files'")
     preset = redact.PRESETS[redact.route(source_type)]
     # gzip sources compress every object, whatever its name; objects in the
     # keyed layout were written by Spark, which always names them *.gz
     scanned = obj_src.scan_objects(spark, in_root, layout,
                                    gzip_any_name=preset.gzip and layout == "files")
     listing = obj_src.list_objects(spark, in_root, layout)
+    if aside is not None:
+        scanned = scanned.unionByName(obj_src.scan_hidden(spark, in_root, aside,
+                                                          gzip_any_name=preset.gzip))
+        listing = listing.unionByName(aside)
     red = redact.redact(scanned, preset.name, pii_keys, strict=strict, root_key=root_key)
     red = red.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         ok = redact.redacted_only(red).withColumn("target_key", objects.target_key())
         ok_obs = Observation("redacted")
-        objects.write_objects(ok, out_root, key_col="target_key", body_col="redacted",
-                              gzip=preset.gzip, written=ok_obs, dynamic=True)
+        put = None
+        if out_layout == "files":
+            put = objects.put_objects(ok, out_root, key_col="target_key", body_col="redacted",
+                                      gzip=preset.gzip)
+        else:
+            objects.write_objects(ok, out_root, key_col="target_key", body_col="redacted",
+                                  gzip=preset.gzip, written=ok_obs, dynamic=True)
         run_keys = ok.select(F.col("target_key").alias("object_key"))
         bad = (redact.quarantined_only(red)
                .select("object_key", "path", F.length("payload").cast("long").alias("length"),
@@ -272,11 +298,13 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
         bad, bad_obs = counted(bad, "quarantined")
         bad.write.mode("overwrite").parquet(f"{quarantine_root}/run={run_id}")
         values = {"listed_objects": count_rows({"n": listing})["n"],
-                  "redacted_objects": observed(ok_obs, "rows", ok),
+                  "redacted_objects": observed(ok_obs, "rows", ok) if put is None else put,
                   "quarantined_objects": observed(bad_obs, "quarantined", bad)}
         # this run's objects on storage (earlier runs' objects are not counted);
         # one listing of out_root serves this count and the manifest below
-        out_listing = obj_src.list_objects(spark, out_root, "keyed")
+        out_listing = obj_src.list_objects(spark, out_root, out_layout)
+        if out_layout == "files":
+            out_listing = out_listing.unionByName(obj_src.hidden_objects(spark, out_root))
         on_storage = out_listing.join(run_keys, "object_key", "left_semi")
         written = count_rows({"n": on_storage})["n"]
     finally:

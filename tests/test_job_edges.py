@@ -10,6 +10,7 @@ from shroud import schemas
 from shroud.plans import jobs as J
 from shroud.sinks import files as K
 from shroud.sinks import manifest as MF
+from shroud.sinks import objects as KO
 from shroud.sources import objects as SO
 from shroud.sources import tables as ST
 
@@ -126,7 +127,7 @@ def test_hidden_names_stop_the_job(spark, scratch):
     found = SO.hidden_names(spark, root)
     assert {f.split(f"{root.rstrip('/')}/")[-1].split("/")[0] for f in found} == {"_raw", "day=1", ".d.json", "x", "y"}
     with pytest.raises(SO.HiddenNamesError):
-        J.json_anonymize_job(spark, root, f"{root}-out", f"{root}-q", "source2", ["name"])
+        J.json_anonymize_job(spark, root, f"{root}-out", f"{root}-q", "source2", ["name"], refuse_hidden=True)
     assert SO.hidden_names(spark, f"{root}/ok") == [] == SO.hidden_names(spark, f"{root}/none")
 
 
@@ -139,3 +140,49 @@ def test_line_breaks_inside_quotes_survive(spark, scratch):
     res = J.deletion_job(spark, back, fx.deletion_requests(spark, SF).limit(0), out_root=f"{base}/l",
                          fmt="gzip", as_of="2024-01-01")
     assert res.values["kept_rows"] == back.distinct().count()
+
+
+HIDDEN = ["_raw/b.json", "day=1/_c.json", ".d.json", "x/.hid/e.json", "y/f.json._COPYING_"]
+
+
+@pytest.mark.parametrize("out_layout", ["files", "keyed"])
+def test_objects_with_hidden_names_are_processed(spark, scratch, out_layout):
+    root = _local(scratch("six"))
+    for name in ["ok/a.json", *HIDDEN, "ok/_SUCCESS"]:
+        os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
+        with open(f"{root}/{name}", "w") as f:
+            f.write("" if name.endswith("_SUCCESS") else
+                    '{"results": [{"$properties": {"email": "a@x.com", "n": "é"}}]}')
+    with open(f"{root}/_bad", "w") as f:
+        f.write("{x")
+    if out_layout == "keyed":  # such a key cannot be published as a folder that Spark sees
+        with pytest.raises(SO.HiddenNamesError):
+            J.json_anonymize_job(spark, root, f"{root}-out", f"{root}-q", "source1", ["email"], out_layout=out_layout)
+        os.rename(f"{root}/y/f.json._COPYING_", f"{root}/y/_f.json")
+    hidden = [x.replace("y/f.json._COPYING_", "y/_f.json") if out_layout == "keyed" else x for x in HIDDEN]
+    res = J.json_anonymize_job(spark, root, f"{root}-out", f"{root}-q", "source1", ["email"],
+                               out_layout=out_layout)
+    v = res.values
+    assert (v["listed_objects"], v["redacted_objects"], v["quarantined_objects"]) == (7, 6, 1)
+    assert {r.object_key for r in res.manifest.collect()} == {"ok/a.json", *hidden}
+    if out_layout == "files":
+        for name in ["ok/a.json", *HIDDEN]:
+            with open(f"{root}-out/anonymized/{name}") as f:
+                assert f.read() == '{"results":[{"$properties":{"email":"","n":"é"}}]}'
+        assert os.listdir(f"{root}-out") == ["anonymized"]
+    assert MF.apply_purge(spark, res.manifest) == 6
+    assert [x for x in os.listdir(root) if os.path.isfile(f"{root}/{x}") and not x.endswith(".crc")] == ["_bad"]
+
+
+def test_put_objects_again_and_bad_keys(spark, scratch):
+    root = _local(scratch("put"))
+    df = spark.createDataFrame([("a/b c%+=.json", "x"), ("n", None), ("z", "")], "object_key string, payload string")
+    for _ in range(2):
+        assert KO.put_objects(df, root) == 3
+    with open(f"{root}/a/b c%+=.json") as f:
+        assert f.read() == "x"
+    assert sorted(os.listdir(root)) == ["a", "n", "z"] and os.path.getsize(f"{root}/n") == 0
+    assert KO.put_objects(df.limit(0), root) == 0
+    for bad in (None, "", "a/../b"):
+        with pytest.raises(Exception, match="not an object key"):
+            KO.put_objects(spark.createDataFrame([(bad, "x")], "object_key string, payload string"), root)

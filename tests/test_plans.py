@@ -6,6 +6,7 @@ import io
 import pytest
 
 import __spark_entry__ as E
+from shroud.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,7 +49,7 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGro
                 "PythonUDF")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_registered_plans(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
     assert not [n for n in PYTHON_NODES if n in plan]
