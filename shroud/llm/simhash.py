@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import LOWER_BYTES, as_bytes, slices, unused
+from .common import LOWER_BYTES, as_bytes, hash_key, slices, unused
 from .components import components
 
 SHINGLE, MAX_BITS = 4, 4
@@ -293,7 +293,8 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     The columns stay as they are.  Rows repeated whole (id and text) leave one.
     """
     spark = docs.sparkSession
-    key = F.xxhash64(F.col(id_col), F.col(text_col))
+    # 128 bits: among very many rows a shorter hash would take two rows for one
+    key = hash_key(0, F.col(id_col), F.md5(F.col(text_col).cast("binary")))
     path = scratch_path(spark, "simhash")
     with_fingerprints(docs, text_col, [F.col(id_col).alias("id"), key.alias("row")], shingle
                       ).write.parquet(path)
