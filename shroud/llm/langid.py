@@ -6,10 +6,11 @@ k-means, as one language holds several styles.  A text gets the language of the
 highest cosine, and is rejected if that cosine is less than half of the lowest that training
 texts of its length reach.
 
-The model is fit on a bounded sample of labelled rows: at most ``PER_LANG`` a language and
-``MOST`` in all, chosen by a seeded hash among texts of at most ``LONGEST`` bytes.  It is the only
-thing that is sent to the tasks and its size is fixed by ``DIMS`` and the number of centroids.
-Prediction reads whole texts, in one pass without a shuffle.
+The centroids are fit on a bounded sample of labelled rows: at most ``PER_LANG`` a language and
+``MOST`` in all, chosen by a seeded hash among texts of at most ``LONGEST`` bytes.  Document
+frequencies are counted over all rows that may be learnt from, whole texts, in one pass.  The
+model is the only thing that is sent to the tasks and its size is fixed by ``DIMS`` and the number
+of centroids.  Prediction reads whole texts, in one pass without a shuffle.
 
 Defined cases: text null or without a letter: ``und``, score 0, rejected.  No training row at
 all: every text is ``und``.  Ties go to the language that sorts first.  Repeated rows and other
@@ -90,18 +91,18 @@ def _clusters(x: np.ndarray, k: int, rng: np.random.RandomState) -> np.ndarray:
     return c
 
 
-def fit(samples: list[tuple[str, str]], dims: int = DIMS, centroids: int = CENTROIDS,
-        seed: int = SEED) -> Model:
-    """A model of (language, text) samples."""
+def fit(samples: list[tuple[str, str]], frequency: tuple[int, np.ndarray],
+        centroids: int = CENTROIDS, seed: int = SEED) -> Model:
+    """A model of (language, text) samples; ``frequency``: texts, and texts with each n-gram."""
     found = []  # language, buckets, weights, number of n-grams: sparse, a row is mostly zeros
-    seen = np.zeros(dims)
+    total, seen = frequency
+    dims = len(seen)
     for lang, t in sorted(samples):
         counts = gram_counts(t, dims)
         if counts is not None:
             at = np.flatnonzero(counts)
-            seen[at] += 1
             found.append((lang, at.astype(np.int32), (1 + np.log(counts[at])).astype(np.float32), int(counts.sum())))
-    idf = np.log((1 + len(found)) / (1 + seen)) + 1
+    idf = np.log((1 + total) / (1 + seen)) + 1
     rng, made, names, reach = np.random.RandomState(seed), [], [], {}
     for lang in sorted({r[0] for r in found}):
         own = [r for r in found if r[0] == lang]
@@ -122,6 +123,33 @@ def fit(samples: list[tuple[str, str]], dims: int = DIMS, centroids: int = CENTR
     return Model(idf, np.vstack(made).T.astype(np.float64) if made else np.zeros((dims, 0)), names, floor)
 
 
+def document_frequency(docs: DataFrame, learn: Column, *, text_col: str = "text",
+                       lang_col: str = "lang", dims: int = DIMS) -> tuple[int, np.ndarray]:
+    """Number of labelled texts with a letter, and of those that hold each n-gram, over all rows."""
+    def run(batches):
+        n, seen = 0, np.zeros(dims, np.int64)
+        for batch in batches:
+            for part in slices(batch, 0):
+                for t in part.column(0).to_pylist():
+                    counts = gram_counts(t, dims)
+                    if counts is not None:
+                        n += 1
+                        seen += counts > 0
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(-1, dims), pa.int32()), pa.array([n, *seen.tolist()], pa.int64())],
+            names=["gram", "n"])
+
+    rows = (docs.where(learn & F.col(lang_col).isNotNull()).select(text_col)
+            .mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")))
+    n, seen = 0, np.zeros(dims, np.int64)
+    for r in rows.collect():  # a row an n-gram bucket
+        if r.gram < 0:
+            n = r.n
+        else:
+            seen[r.gram] = r.n
+    return n, seen
+
+
 def sample(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text",
            lang_col: str = "lang", per_lang: int = PER_LANG, most: int = MOST,
            longest: int = LONGEST, seed: int = SEED) -> list[tuple[str, str]]:
@@ -138,8 +166,11 @@ def sample(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col:
     return [(r[0], r[1]) for r in picked.select(lang_col, text_col).limit(2 * most).collect()]
 
 
-def train(docs: DataFrame, learn: Column, **columns) -> Model:
-    return fit(sample(docs, learn, **columns))
+def train(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text",
+          lang_col: str = "lang") -> Model:
+    """The model of the rows that ``learn`` holds for."""
+    frequency = document_frequency(docs, learn, text_col=text_col, lang_col=lang_col)
+    return fit(sample(docs, learn, id_col=id_col, text_col=text_col, lang_col=lang_col), frequency)
 
 
 def identify(docs: DataFrame, model: Model, keep: list, text_col: str = "text") -> DataFrame:

@@ -248,6 +248,9 @@ def test_language_cases(spark, odd):
         assert (r.lang_pred == "und") == (not any(c.isalpha() for c in r.text or ""))
     kept = langid.drop_rejected(odd, model)
     assert kept.schema == odd.schema and kept.where("text is null or text = ''").count() == 0
+    n, seen = langid.document_frequency(odd, F.lit(True))
+    counts = [c for r in odd.where("lang is not null").collect() if (c := langid.gram_counts(r.text)) is not None]
+    assert n == len(counts) and (seen == sum(c > 0 for c in counts)).all()
     none = langid.train(odd.limit(0), F.lit(True))
     assert {r.lang_pred for r in langid.identify(odd, none, ["doc_id"]).collect()} == {"und"}
     two, three, many = (langid.gram_counts("den Wald " * n) for n in (2, 3, 300_000))
