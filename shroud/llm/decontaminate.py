@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from .common import as_bytes, slices, unused, words
 
-WIDTH, SHARD, SAMPLE, BLOCK = 10, 1 << 20, 16, 16 << 20
+WIDTH, SHARD, SAMPLE, BLOCK = 10, 1 << 20, 16, 4 << 20
 SPANS = T.ArrayType(T.ArrayType(T.LongType()))
 
 
@@ -128,12 +128,11 @@ class Phrases:
                 windows.setdefault(tuple(ids[at:at + width]), set()).add(number[str(name)])
         self.width = width
         self.length = np.array([len(w) for w in windows], np.int64)
-        self.backward = np.zeros((len(windows), width), np.int64)
+        self.backward = np.zeros((len(windows), width), np.int32)
         for i, w in enumerate(windows):
             self.backward[i, :len(w)] = w[::-1]
-        self.of = [sorted(x) for x in windows.values()]
-        self.of_start = np.r_[0, np.cumsum([len(x) for x in self.of])].astype(np.int64)
-        self.of_item = np.array([i for x in self.of for i in x], np.int64)
+        self.of_start = np.r_[0, np.cumsum([len(x) for x in windows.values()])].astype(np.int64)
+        self.of_item = np.array([i for x in windows.values() for i in sorted(x)], np.int64)
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
