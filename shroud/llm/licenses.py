@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import ascii_lower
+from .common import ascii_lower, hash_key
 
 WINDOW, STRIDE, CONTAINED = 96, 48, 0.9
 
@@ -136,8 +136,8 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     starts = sorted({w for _, ws, need in ordered for w in ws[:len(ws) - need + 1]})
     line = F.col("line")
     path = scratch_path(spark, "licenses")
-    rows = (docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("row"),
-                        spaced(F.col(text_col)).alias("line"))
+    key = hash_key(0, F.col(id_col), F.md5(F.col(text_col)))
+    rows = (docs.select(F.col(id_col).alias("doc_id"), key.alias("row"), spaced(F.col(text_col)).alias("line"))
             .withColumn("n_words", F.when(F.length(line) > 2, _spaces(line) - 1).otherwise(0).cast("long"))
             .withColumns(phrase_places(line, F.col("n_words"))))
     held = line.contains(f" {starts[0]} ")
