@@ -11,12 +11,16 @@ from __future__ import annotations
 
 import gzip
 import zlib
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql.functions import pandas_udf
 
 
+BATCH_CHARS = 16 << 20
+
+
 def _gunzip(b) -> str | None:
     if b is None:
         return None
@@ -26,8 +30,18 @@ def _gunzip(b) -> str | None:
         return None
 
 
-def _gunzip_series(content: pd.Series) -> pd.Series:
-    return content.map(_gunzip)
+def _gunzip_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Texts in batches of about ``BATCH_CHARS``, whatever an input batch inflates to."""
+    for content in batches:
+        held, size = [], 0
+        for b in content:
+            held.append(_gunzip(b))
+            size += len(held[-1] or "")
+            if size >= BATCH_CHARS:
+                yield pd.Series(held, dtype="object")
+                held, size = [], 0
+        if held:
+            yield pd.Series(held, dtype="object")
 
 
 def gunzip_text(content: Column | str) -> Column:
@@ -35,4 +49,4 @@ def gunzip_text(content: Column | str) -> Column:
 
     The UDF is built on the driver at call time; workers only import the
     plain functions above."""
-    return pandas_udf(_gunzip_series, "string")(content)
+    return pandas_udf(_gunzip_batches, "string")(content)

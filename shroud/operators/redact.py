@@ -266,6 +266,7 @@ def redact(df: DataFrame, preset: str, pii_keys: list[str] | str,
         pii_keys = pii_keys.split(",")
     keys = V.unique(pii_keys)
     p = PRESETS[preset]
+    V.last_key_wins(df.sparkSession)
     parsed = df.withColumn("__doc", V.parse(payload_col))
     doc = F.col("__doc")
     if root_key:

@@ -24,6 +24,15 @@ def test_clickstream_sets_and_adds_keys_and_keeps_unknown(spark):
     assert out["results"][0]["event"] == "a"
 
 
+def test_repeated_key_keeps_its_last_value_in_any_session(spark):
+    other = spark.newSession()
+    other.conf.unset("spark.sql.variant.allowDuplicateKeys")
+    doc = '{"results": [{"$properties": {"k": 1, "k": 2, "email": "x@y.z"}}], "a": 1, "a": 3}'
+    [(status, reason, out)] = _run(other, "clickstream", [doc], "email")
+    assert (status, reason) == ("redacted", None)
+    assert out == {"results": [{"$properties": {"k": 2, "email": ""}}], "a": 3}
+
+
 def test_chat_guest_and_bodies(spark):
     doc = {"yepchat": [{"payload": {"conversations": [
         {"guest": {"name": "Ann", "id": 7}, "messages": [{"body": "mail me at a@b.co", "t": 1},
