@@ -7,9 +7,12 @@ Template: ``<|im_start|>`` role ``<|im_sep|>`` text ``<|im_end|>`` for each turn
 markers are tokens of their own, so no token crosses the edge of a text.  Inside roles and texts
 ``<``, any backslashes, ``|`` gets one more backslash (so no marker can occur); reading removes it.
 
-A conversation is dealt in parts of ``PART`` turn numbers, which are encoded alone: tokens never
-cross a marker, so the parts' tokens are those of the whole.  A huge conversation thus spreads
-over tasks, and a task holds one part.
+Rows are dealt by ranges of conversation, turn, role and the text's first ``PREFIX`` characters;
+rows equal in these are dealt at random if that is the whole text.  In the order of rows, a
+conversation is cut into parts of at most ``PART`` turns, or of about ``PART_CHARS`` characters,
+which are encoded alone: tokens never cross a marker, so the parts' tokens are those of the whole.
+So a huge conversation, or a turn repeated very often, spreads over tasks, and a task holds few
+parts.  Only longer texts of one turn and role that begin alike share a task, part by part.
 
 Defined cases: null role or text is empty.  Turns go by number (null first), then role and text;
 repeated rows are repeated turns.  Rows without conversation id are one conversation with id null.
@@ -24,11 +27,12 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
-PART = 64
+PART, PART_CHARS, PREFIX = 64, 1 << 20, 128
 _OPEN, _ESCAPED = re.compile(r"<(\\*)\|"), re.compile(r"<(\\*)\\\|")
 SCHEMA = ("conv_id long, part long, n_turns long, formatted string, token_ids array<int>, "
           "token_start array<int>, token_end array<int>, loss_from array<int>, loss_to array<int>")
@@ -87,13 +91,18 @@ def mask_runs(start: np.ndarray, end: np.ndarray, spans: list[tuple[int, int]]
 def format_chats(rows: DataFrame, tokenizer_path: str, *, conv_col: str = "conv_id",
                  turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """A row a part: formatted text, tokens with offsets, and the token ranges under the loss."""
-    part = F.coalesce(F.floor(F.col(turn_col).cast("long") / PART), F.lit(-(2 ** 62)))
-    dealt = (rows.select(F.col(conv_col).cast("long").alias("conv_id"), part.cast("long").alias("part"),
+    limit, chars = PART, PART_CHARS
+    prefix = F.substring("text", 1, PREFIX)
+    # rows that agree in a whole text are the same, so their order does not matter
+    tie = F.when(F.length("text") <= PREFIX, F.rand(1)).otherwise(0.0)
+    dealt = (rows.select(F.col(conv_col).cast("long").alias("conv_id"),
                          F.col(turn_col).cast("long").alias("turn"),
                          F.coalesce(role_col, F.lit("")).alias("role"),
                          F.coalesce(text_col, F.lit("")).alias("text"))
-             .repartition("conv_id", "part")
-             .sortWithinPartitions("conv_id", "part", "turn", "role", "text"))
+             .withColumns({"prefix": prefix, "tie": tie})
+             .repartitionByRange("conv_id", "turn", "role", "prefix", "tie")
+             .select("conv_id", "turn", "role", "text")
+             .sortWithinPartitions("conv_id", "turn", "role", "text"))
 
     def encode(held):
         encoded = tokenizer(tokenizer_path).encode_batch([f for _, _, f, _ in held], add_special_tokens=False)
@@ -111,23 +120,26 @@ def format_chats(rows: DataFrame, tokenizer_path: str, *, conv_col: str = "conv_
                    "token_end", "loss_from", "loss_to"])
 
     def run(batches):
-        key, turns, held, size = None, [], [], 0
+        # ranges lie in the order of rows, so do parts numbered by range and place
+        part = TaskContext.get().partitionId() << 32
+        conv, turns, begun, held, size = None, [], 0, [], 0
 
         def close():
             text, spans = render(turns)
-            held.append((key, len(turns), text, spans))
+            held.append(((conv, part), len(turns), text, spans))
             return len(text)
 
         for batch in batches:
-            for *k, role, text in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4))):
-                if tuple(k) != key:
-                    if turns:
-                        size += close()
+            for key, role, text in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
+                if turns and (key != conv or len(turns) >= limit or begun + len(text) > chars):
+                    size += close()
+                    part, turns, begun = part + 1, [], 0
                     if size > 1 << 20:
                         yield encode(held)
                         held, size = [], 0
-                    key, turns = tuple(k), []
+                conv = key
                 turns.append((role, text))
+                begun += len(role) + len(text)
         if turns:
             close()
         if held:

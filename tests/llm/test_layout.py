@@ -182,6 +182,23 @@ def test_chat(spark, monkeypatch, part):
     assert chat.digests(chat.format_chats(df.limit(0), queries.TOKENIZER)).count() == 0
 
 
+@pytest.mark.parametrize("turn", [3, None])
+def test_chat_of_one_hot_turn(spark, turn):
+    n = 20_000
+    same = spark.range(n).select(F.lit(None).cast("long").alias("conv_id"), F.lit(turn).cast("long").alias("turn"),
+                                 F.lit("assistant").alias("role"), F.lit("ok").alias("text"))
+    more = same.withColumn("text", F.repeat(F.lit("b"), 1 << 19)).limit(8)
+    parts = chat.format_chats(same.repartition(8).unionByName(more), queries.TOKENIZER)
+    rows = parts.select("n_turns", F.length("formatted").alias("n")).collect()
+    assert sum(r.n_turns for r in rows) == n + 8
+    assert max(r.n_turns for r in rows) <= chat.PART and max(r.n for r in rows) < 2 * chat.PART_CHARS
+    (got,) = chat.digests(parts).collect()
+    said = "b" * (8 << 19) + "ok" * n
+    turns = f"assistant\n{'b' * (1 << 19)}\n" * 8 + "assistant\nok\n" * n
+    assert tuple(got)[:5] == (None, n + 8, hashlib.sha256(turns.encode()).hexdigest(), len(said),
+                              hashlib.sha256(said.encode()).hexdigest())
+
+
 # ------------------------------------------------------------------ licenses, secrets
 
 def test_licenses_like_sql(spark):
