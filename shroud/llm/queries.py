@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, licenses, mixing, secrets, sharding, simhash, topk, toxicity
+from . import (chat, decontaminate, langid, licenses, mixing, negatives, secrets, sharding, simhash, topk,
+               toxicity)
 from .common import table
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -151,9 +152,34 @@ def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf, "documents"))
 
 
+def op13_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "embeddings").withColumn("label", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.mine_hard_negatives(spark, rows, F.pmod("vec_id", F.lit(100)) == 0)
+
+
+OP13_SQL = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end label,
+             list_transform(embedding, lambda x: floor(256 * x::double)::bigint) q from embeddings
+           where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0
+             and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+s as materialized (select a.vec_id anchor_id, b.vec_id, a.label = b.label same,
+        list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::bigint score
+      from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+p as (select anchor_id, vec_id positive_id, score positive_score from
+        (select *, row_number() over (partition by anchor_id order by score desc, vec_id) n from s where same)
+      where n <= 5),
+c as (select p.*, vec_id negative_id, score negative_score,
+        row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) rank
+      from p join s using (anchor_id)
+      where not same and 80 * positive_score <= 100 * score and score <= positive_score)
+select anchor_id, positive_id, rank::int rank, negative_id, positive_score, negative_score from c where rank <= 5"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_topk, op2_reshard, op3_secrets, op4_toxicity, op5_decontaminate,
-                            op6_simhash, op7_mix, op8_langid, op9_chat, op10_licenses)}
+                            op6_simhash, op7_mix, op8_langid, op9_chat, op10_licenses,
+                            op13_negatives)}
 ORACLES: dict[str, str] = {
     "op1_topk": OP1_SQL, "op5_decontaminate": OP5_SQL, "op7_mix": OP7_SQL, "op9_chat": OP9_SQL,
-    "op10_licenses": licenses.oracle()}
+    "op10_licenses": licenses.oracle(), "op13_negatives": OP13_SQL}
