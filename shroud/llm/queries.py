@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, decontaminate, langid, licenses, mixing, negatives, secrets, sharding, simhash, topk,
-               toxicity)
+from . import (chat, decontaminate, langid, licenses, mixing, negatives, phrases, secrets, sharding, simhash,
+               topk, toxicity)
 from .common import table
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -152,6 +152,33 @@ def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf, "documents"))
 
 
+def op12_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.mine_collocations(spark, table(spark, sf, "documents"))
+
+
+OP12_SQL = r"""
+with d as (select coalesce(lang, 'und') lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz') t from documents),
+p as (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) p from d),
+w as materialized (select lang, regexp_extract_all(p, '[^\x20\x09]+') w from p),
+g as (select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) phrase
+      from w, range(1, 5) s(k) where len(w) >= k),
+f as materialized (select lang, phrase, k, count(*) a from g group by all),
+n as (select lang, sum(a)::bigint n from f where k = 1 group by lang),
+c as materialized (select lang, phrase, k, a, string_split(phrase, ' ') w from f where k > 1 and a >= 30),
+cuts as (select c.lang, c.phrase, c.a, s.h, l.a l, r.a r, ((2000000::hugeint * c.a) // (l.a + r.a))::bigint score
+         from c join range(1, 4) s(h) on s.h < c.k
+         join f l on l.lang = c.lang and l.phrase = array_to_string(c.w[1 : s.h], ' ')
+         join f r on r.lang = c.lang and r.phrase = array_to_string(c.w[s.h + 1 : c.k], ' ')),
+best as (select * from (select *, row_number() over (partition by lang, phrase order by score, h) o from cuts) where o = 1),
+parts as (select c.lang, array_to_string(c.w[i : i + z - 1], ' ') phrase, max(c.a) longer
+          from c, range(2, 4) zs(z), range(1, 4) s(i) where z < c.k and i + z - 1 <= c.k group by 1, 2),
+kept as (select best.* from best left join parts using (lang, phrase)
+         where longer is null or 100 * longer::hugeint < 80 * a::hugeint),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked join n using (lang) where rank <= 2000"""
+
+
 def op13_negatives(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "embeddings").withColumn("label", F.when(
         F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
@@ -179,7 +206,8 @@ select anchor_id, positive_id, rank::int rank, negative_id, positive_score, nega
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_topk, op2_reshard, op3_secrets, op4_toxicity, op5_decontaminate,
                             op6_simhash, op7_mix, op8_langid, op9_chat, op10_licenses,
-                            op13_negatives)}
+                            op12_phrases, op13_negatives)}
 ORACLES: dict[str, str] = {
     "op1_topk": OP1_SQL, "op5_decontaminate": OP5_SQL, "op7_mix": OP7_SQL, "op9_chat": OP9_SQL,
-    "op10_licenses": licenses.oracle(), "op13_negatives": OP13_SQL}
+    "op10_licenses": licenses.oracle(), "op12_phrases": OP12_SQL,
+    "op13_negatives": OP13_SQL}

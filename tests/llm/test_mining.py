@@ -2,11 +2,13 @@
 
 import math
 import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from shroud.llm import negatives
+from shroud.llm import negatives, phrases
 
 
 def negatives_brute(rows, positives=5, n=5, low=80):
@@ -75,3 +77,94 @@ def test_walks_stop_early():
         want = sorted((-whole[x, i], x) for x in ok)[:5]
         assert [(-int(a), int(b)) for a, b in zip(s[m == i], r[m == i])] == [(int(a), int(b)) for a, b in want]
     assert sum(read) < 0.3 * 2 * 8192
+
+
+# ------------------------------------------------------------------ phrases
+
+def phrases_brute(docs, least=30, longest=4, within=80, first=2000):
+    """(lang, rank, phrase, a, l, r, n, score) of (lang, text) rows."""
+    f, n = Counter(), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        text = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+        for piece in re.split("[.,;:!?\n-\r]", text):
+            w = re.findall("[^ \t]+", piece)
+            n[lang] += len(w)
+            for k in range(1, longest + 1):
+                f.update((lang, tuple(w[i:i + k])) for i in range(len(w) - k + 1))
+    found = {p: a for p, a in f.items() if len(p[1]) > 1 and a >= least}
+    covered = Counter()
+    for (lang, w), a in found.items():
+        for z in range(2, len(w)):
+            for i in range(len(w) - z + 1):
+                covered[lang, w[i:i + z]] = max(covered[lang, w[i:i + z]], a)
+    by_lang = {}
+    for (lang, w), a in found.items():
+        if 100 * covered[lang, w] >= within * a:
+            continue
+        score, k, l, r = min((2000000 * a // (f[lang, w[:k]] + f[lang, w[k:]]), k, f[lang, w[:k]], f[lang, w[k:]])
+                             for k in range(1, len(w)))
+        by_lang.setdefault(lang, []).append((-score, -a, " ".join(w).encode(), l, r))
+    return sorted((lang, i + 1, p.decode(), -a, l, r, n[lang], -s) for lang, rows in by_lang.items()
+                  for i, (s, a, p, l, r) in enumerate(sorted(rows)[:first]))
+
+
+def phrase_docs(seed, n=120):
+    rng = random.Random(seed)
+    vocab = ["a", "B", "c", "d", "Über", "\u00a0x", "e-f", "(g", "h'", "\x1ci"]
+    fixed = ["new york city hall", "a b c d", "x y z", "a a a a a a"]
+    docs = []
+    for i in range(n):
+        parts = [rng.choice([*vocab, *vocab, *fixed, "rare%d" % rng.randrange(400)]) for _ in range(rng.choice([0, 3, 40, 200]))]
+        text = "".join(p + rng.choice([" ", " ", "  ", "\t", ". ", ", ", "\n", "\x0b", "?"]) for p in parts)
+        docs.append((rng.choice(["en", "en", "en", "de", None, "und"]), text))
+    docs += [("en", "same words here again " * 40)] * 30 + [("en", None), (None, ""), ("fr", " .,; "), ("xx", "once")]
+    docs += [("en", "long " * 5000), ("en", "one, two; three. " * 3000)]
+    return docs
+
+
+@pytest.mark.parametrize("seed,least,shards,limit", [(1, 30, 4, 8 << 20), (2, 5, 3, 100), (3, 30, 1, 1000)])
+def test_phrases(spark, seed, least, shards, limit):
+    docs = phrase_docs(seed)
+    df = spark.createDataFrame(docs, "lang string, text string").withColumns(
+        {"phrase": F.lit("x"), "shard": F.lit(9), "k": F.lit(2), "n": F.lit(3)}).repartition(5)
+    # few slots: most phrases share one with others
+    got = phrases.mine_collocations(spark, df, least=least, shards=shards, slots=32768, limit=limit, first=40)
+    assert sorted(map(tuple, got.collect())) == phrases_brute(docs, least, first=40)
+
+
+def test_shared_slots_change_no_count(spark, monkeypatch):
+    docs = phrase_docs(4, 40)
+    df = spark.createDataFrame(docs, "lang string, text string").repartition(3)
+    monkeypatch.setattr(phrases, "_mix", lambda a, b: a)  # every phrase in the slot of its first word
+    got = phrases.mine_collocations(spark, df, least=3, slots=32768)
+    assert sorted(map(tuple, got.collect())) == phrases_brute(docs, 3)
+
+
+def test_phrases_are_activated_late():
+    """A phrase is counted only after both its parts have reached the threshold."""
+    import numpy as np
+    reached = np.full(32768, phrases.UNSET, np.uint8)
+    texts = [b"a b c"]
+    assert [k for k, *_ in phrases.count_stretch("en", texts, reached, 0, 4, 4)] == [0, 1]
+    assert not any(len(n) for *_, n in phrases.count_stretch("en", texts, reached, 5, 4, 4))
+    reached[:] = 0
+    assert [k for k, *_ in phrases.count_stretch("en", texts, reached, 1, 4, 4)] == [0, 1, 2, 3]
+    assert [k for k, *_ in phrases.count_stretch("en", texts, reached, 4, 4, 4)] == [2, 3]
+    assert not any(len(n) for *_, n in phrases.count_stretch("en", texts, reached, 5, 4, 4))
+
+
+def test_small_phrase_tables(spark):
+    for docs in ([], [("en", None)], [(None, "a b " * 40)]):
+        df = spark.createDataFrame(docs, "lang string, text string")
+        got = phrases.mine_collocations(spark, df)
+        assert sorted(map(tuple, got.collect())) == phrases_brute(docs)
+
+
+def test_scores_beyond_64_bits(spark):
+    big = 10 ** 15
+    counts = spark.createDataFrame([("en", None, 0, 9 * big), ("en", "a", 1, 5 * big), ("en", "b", 1, 3 * big),
+                                    ("en", "a b", 2, 2 * big + 1)], "lang string, phrase string, k int, n long")
+    row = phrases.collocations(spark, counts).collect()
+    assert [tuple(r) for r in row] == [("en", 1, "a b", 2 * big + 1, 5 * big, 3 * big, 9 * big,
+                                        2000000 * (2 * big + 1) // (8 * big))]
