@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from . import (chat, decontaminate, langid, licenses, mixing, negatives, phrases, secrets, sharding, simhash,
-               topk, toxicity)
+               topk, toxicity, warc)
 from .common import table
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -152,6 +153,30 @@ def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf: str) -> DataFrame:
+    pages, root = table(spark, sf, "pages"), scratch_path(spark, "warc")
+    index = warc.build_index(spark, warc.write_archives(spark, pages, root), root)
+    found = warc.lookup(spark, root, index, pages)
+    return warc.read_records(spark, root, found, with_payload=False).select(
+        F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("type").alias("record_type"), F.col("refers_to").cast("long").alias("refers_to"))
+
+
+OP11_SQL = """
+with p as (select page_id, encode(coalesce(html, '')) b, sha1(coalesce(html, '')) h from pages),
+f as (select h, max(page_id) top from p group by h),
+bits as (select p.*, array_to_string(list_transform(range(1, 41), lambda i:
+           ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011',
+            '1100', '1101', '1110', '1111'][strpos('0123456789abcdef', substr(h, i, 1))]), '') s from p)
+select page_id, octet_length(b)::bigint payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (1 + 16 * substr(s, 5 * j + 1, 1)::int + 8 * substr(s, 5 * j + 2, 1)::int + 4 * substr(s, 5 * j + 3, 1)::int
+     + 2 * substr(s, 5 * j + 4, 1)::int + substr(s, 5 * j + 5, 1)::int)::int, 1)), '') payload_digest,
+  case when page_id = top then 'response' else 'revisit' end record_type,
+  case when page_id <> top then top end refers_to
+from bits join f using (h)"""
+
+
 def op12_phrases(spark: SparkSession, sf: str) -> DataFrame:
     return phrases.mine_collocations(spark, table(spark, sf, "documents"))
 
@@ -206,8 +231,8 @@ select anchor_id, positive_id, rank::int rank, negative_id, positive_score, nega
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_topk, op2_reshard, op3_secrets, op4_toxicity, op5_decontaminate,
                             op6_simhash, op7_mix, op8_langid, op9_chat, op10_licenses,
-                            op12_phrases, op13_negatives)}
+                            op11_warc, op12_phrases, op13_negatives)}
 ORACLES: dict[str, str] = {
     "op1_topk": OP1_SQL, "op5_decontaminate": OP5_SQL, "op7_mix": OP7_SQL, "op9_chat": OP9_SQL,
-    "op10_licenses": licenses.oracle(), "op12_phrases": OP12_SQL,
+    "op10_licenses": licenses.oracle(), "op11_warc": OP11_SQL, "op12_phrases": OP12_SQL,
     "op13_negatives": OP13_SQL}

@@ -1,6 +1,10 @@
 """Hard negatives, phrases and archives against brute force."""
 
+import base64
+import gzip
+import hashlib
 import math
+import os
 import random
 import re
 from collections import Counter
@@ -8,7 +12,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from shroud.llm import negatives, phrases
+from shroud.llm import negatives, phrases, warc
 
 
 def negatives_brute(rows, positives=5, n=5, low=80):
@@ -168,3 +172,101 @@ def test_scores_beyond_64_bits(spark):
     row = phrases.collocations(spark, counts).collect()
     assert [tuple(r) for r in row] == [("en", 1, "a b", 2 * big + 1, 5 * big, 3 * big, 9 * big,
                                         2000000 * (2 * big + 1) // (8 * big))]
+
+
+# ------------------------------------------------------------------ archives
+
+PAGES = "page_id long, url string, html string"
+
+
+def pages(seed):
+    rng = random.Random(seed)
+    hosts = ["http://a.example.com", "https://B.Example.com:443", "http://a.example.com:8080", "ftp://x.org"]
+    rows = [(i, f"{rng.choice(hosts)}/p{rng.randrange(40)}", "body %d \u00e9" % rng.randrange(60)) for i in range(300)]
+    rows += [(1000 + i, "http://hot.example.com/", "same") for i in range(200)]    # a hot URL and payload
+    rows += [(2000, None, "no url"), (2001, None, None), (2002, "http://e.org", ""), (None, "http://n.org/", "nobody"),
+             (None, "http://m.org/", "nobody"), (2003, "http://l.org/?q=a b#f", "x" * 3_000_000),
+             (2004, "not a url", "\r\n\r\nWARC/1.1\r\n\r\n"), (None, None, "same")]
+    return rows
+
+
+def records_brute(rows):
+    out = []
+    for i, u, h in rows:
+        b = (h or "").encode()
+        top = max(((x is not None, x or 0), x) for x, _, y in rows if (y or "") == (h or ""))[1]
+        first = min(((v is not None, v or ""), v) for x, v, y in rows if x == top and (y or "") == (h or ""))[1]
+        again = (i, u) != (top, first)
+        out.append((i, u, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(),
+                    "revisit" if again else "response", top if again else None))
+    return sorted(out, key=repr)
+
+
+def test_archives(spark, scratch):
+    rows, root = pages(1), scratch("warc")
+    df = spark.createDataFrame(rows, PAGES).withColumns(
+        {"key": F.lit("x"), "file": F.lit(1), "again": F.lit(2), "m": F.lit(3), "id": F.lit(4)}).repartition(5)
+    captures = warc.write_archives(spark, df, root, most=4000)  # several files a task
+    index = warc.build_index(spark, captures, root, files=3, block=7)
+    found = warc.lookup(spark, root, index, df)
+    got = warc.read_records(spark, root, found)
+    said = [(int(r.id) if r.id else None, r.url, r.payload_bytes, r.payload_digest, r.type,
+             int(r.refers_to) if r.refers_to else None) for r in got.collect()]
+    assert sorted(said, key=repr) == records_brute(rows)
+    by_id = {(i, u): (h or "").encode() for i, u, h in rows}
+    for r in got.where("type = 'response'").collect():
+        assert bytes(r.payload) == by_id[int(r.id) if r.id else None, r.url]
+    # some URLs, a URL that is not there, one that has the key of another
+    asked = spark.createDataFrame([("http://a.example.com/p1",), ("http://hot.example.com/",), ("http://no.org/",),
+                                   ("http://A.example.com:80/p1#x",)] * 2, "url string")
+    want = [u for _, u, _ in rows if u in ("http://a.example.com/p1", "http://hot.example.com/")]
+    assert sorted(r.url for r in warc.lookup(spark, root, index, asked).collect()) == sorted(want)
+    by_key = warc.lookup(spark, root, index, asked, by_key=True)
+    assert sorted(r.url for r in by_key.collect()) == sorted(want)
+
+
+def test_archive_files_are_plain_warc(spark, tmp_path):
+    """Every file is a chain of gzip members, one a record; what lost tasks left is removed."""
+    rows, root = pages(2)[:50], str(tmp_path)
+    os.makedirs(f"{root}/data")
+    open(f"{root}/data/part-lost.warc.gz", "wb").write(b"half a rec")
+    captures = warc.write_archives(spark, spark.createDataFrame(rows, PAGES), root)
+    names = {r.file for r in captures.collect()}
+    assert set(os.listdir(f"{root}/data")) == names
+    whole = b"".join(gzip.decompress(open(f"{root}/data/{n}", "rb").read()) for n in names)
+    assert whole.count(b"WARC/1.1\r\nWARC-Type: ") == len(rows)
+
+
+def test_index_reads_few_blocks(tmp_path, spark):
+    root = str(tmp_path)
+    rows = [(f"k{i:05}", str(i), f"u{i}", "d", "response", "x", "f", i, 1) for i in range(5000)]
+    index = warc.build_index(spark, spark.createDataFrame(rows, warc.CAPTURE), root, files=1, block=100).collect()
+    assert [(r["first"], r["last"], r["rows"], r["blocks"]) for r in index] == [("k00000", "k04999", 5000, 50)]
+    from pyarrow import fs
+    f = warc._IndexFile(fs.LocalFileSystem(), f"{root}/index/{index[0].file}")
+    for i in (0, 99, 100, 101, 4999):
+        f.reads = 0
+        assert [r[2] for r in f.find(f"k{i:05}")] == [f"u{i}"] and f.reads <= 2
+    assert list(f.find("k")) == [] and list(f.find("z")) == []
+
+
+def test_damaged_records_are_refused():
+    raw = warc.record("1", "http://a.org/", b"payload", "1970-01-01T00:00:00Z")
+    assert warc.parse(raw)["payload"] == b"payload"
+    with pytest.raises(ValueError, match="damaged"):
+        warc.parse(raw.replace(b"payload\r\n", b"paYload\r\n"))
+
+
+@pytest.mark.parametrize("url,key", [
+    ("http://www.Example.com:80/a?b=C#d", "com,example,www)/a?b=C"), ("https://u:p@x.org", "org,x)/"),
+    ("http://x.org:8080/", "org,x:8080)/"), ("http://[::1]:80/x", "[::1])/x"), ("mailto:a@b", "mailto:a@b"), (None, "")])
+def test_url_keys(url, key):
+    assert warc.url_key(url) == key
+
+
+def test_empty_archive(spark, scratch):
+    root = scratch("warc")
+    df = spark.createDataFrame([], PAGES)
+    index = warc.build_index(spark, warc.write_archives(spark, df, root), root)
+    found = warc.lookup(spark, root, index, df)
+    assert warc.read_records(spark, root, found).collect() == []
