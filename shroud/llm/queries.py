@@ -186,18 +186,21 @@ with d as (select coalesce(lang, 'und') lang, translate(coalesce(text, ''), 'ABC
              'abcdefghijklmnopqrstuvwxyz') t from documents),
 p as (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) p from d),
 w as materialized (select lang, regexp_extract_all(p, '[^\x20\x09]+') w from p),
+wk as (select lang, w, unnest([1, 2, 3, 4]) k from w),
 g as (select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) phrase
-      from w, range(1, 5) s(k) where len(w) >= k),
+      from wk where len(w) >= k),
 f as materialized (select lang, phrase, k, count(*) a from g group by all),
 n as (select lang, sum(a)::bigint n from f where k = 1 group by lang),
 c as materialized (select lang, phrase, k, a, string_split(phrase, ' ') w from f where k > 1 and a >= 30),
-cuts as (select c.lang, c.phrase, c.a, s.h, l.a l, r.a r, ((2000000::hugeint * c.a) // (l.a + r.a))::bigint score
-         from c join range(1, 4) s(h) on s.h < c.k
-         join f l on l.lang = c.lang and l.phrase = array_to_string(c.w[1 : s.h], ' ')
-         join f r on r.lang = c.lang and r.phrase = array_to_string(c.w[s.h + 1 : c.k], ' ')),
+halves as materialized (select lang, phrase, a, h, array_to_string(w[1 : h], ' ') first_part, array_to_string(w[h + 1 : k], ' ') rest
+         from (select *, unnest(range(1, k)) h from c)),
+lefts as materialized (select halves.*, f.a l from halves join f on f.lang = halves.lang and f.phrase = first_part),
+cuts as (select lefts.*, f.a r, ((2000000::hugeint * lefts.a) // (l + f.a))::bigint score
+         from lefts join f on f.lang = lefts.lang and f.phrase = rest),
 best as (select * from (select *, row_number() over (partition by lang, phrase order by score, h) o from cuts) where o = 1),
-parts as (select c.lang, array_to_string(c.w[i : i + z - 1], ' ') phrase, max(c.a) longer
-          from c, range(2, 4) zs(z), range(1, 4) s(i) where z < c.k and i + z - 1 <= c.k group by 1, 2),
+cz as (select *, unnest(range(2, k)) z from c),
+parts as (select lang, array_to_string(w[i : i + z - 1], ' ') phrase, max(a) longer
+          from (select *, unnest(range(1, k - z + 2)) i from cz) group by 1, 2),
 kept as (select best.* from best left join parts using (lang, phrase)
          where longer is null or 100 * longer::hugeint < 80 * a::hugeint),
 ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank from kept)
