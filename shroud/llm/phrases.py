@@ -43,9 +43,9 @@ from pyspark.sql.window import Window
 from ..session import remove_path, scratch_path
 from .common import as_bytes
 
-LEAST, LONGEST, SHARDS, SLOTS, WITHIN, FIRST = 30, 4, 4, 1 << 24, 80, 2000
+LEAST, LONGEST, SHARDS, SLOTS, WITHIN, FIRST = 30, 4, 2, 1 << 24, 80, 2000
 SLICE, BATCH, UNSET = 8 << 20, 1 << 16, 255
-SCHEMA = "lang string, phrase string, k int, slot int, act int, n long"
+SCHEMA = "lang string, phrase string, slot int, act int, n long"
 
 _END = b"\xff"  # ends a piece; no byte of UTF-8
 _table = bytearray(range(256))
@@ -105,26 +105,27 @@ def count_stretch(lang: str, texts: list[bytes], reached: np.ndarray, step: int,
         yield 0, pa.nulls(1, pa.binary()), np.zeros(1), np.zeros(1), np.array([of_word.sum()])
         at = np.flatnonzero(of_word)
         yield 1, vocabulary.take(pa.array(at)), word[at] & mask, np.zeros(len(at)), of_word[at]
-    # per phrase of the length before: its words, hash and step; per place: its number or -1
-    made, hashes = np.arange(size)[:, None], word
-    when = reached[word & mask].astype(np.int64)
-    place = np.where(x == 0, -1, x)
+    # of the phrase of the length before that begins at each place: its hash and the step it reached
+    hashes, when = word[x], np.where(x == 0, UNSET, reached[word & mask][x]).astype(np.int64)
     for k in range(2, longest + 1):
-        ok = (place >= 0) & (np.r_[when, UNSET][place] < step)
-        at = np.flatnonzero(ok[:-1] & ok[1:])
+        at = np.flatnonzero((when[:-1] < step) & (when[1:] < step))
         if not len(at):
             return
-        both, inverse, n = np.unique(place[at] * len(made) + place[at + 1], return_inverse=True, return_counts=True)
-        first, last = both // len(made), both % len(made)
-        act = np.maximum(when[first], when[last]) + 1
-        made, tail = np.column_stack([made[first], made[last][:, -1]]), word[made[last][:, -1]]
-        hashes = _mix(hashes[first], tail)
+        act = np.maximum(when[at], when[at + 1]) + 1
+        tail = x[at + k - 1]
+        mixed = _mix(hashes[at], word[tail])
         now = np.flatnonzero(step < act + shards)
-        words = [vocabulary.take(pa.array(made[now, j])) for j in range(k)]
-        yield k, pc.binary_join_element_wise(*words, b" "), hashes[now] & mask, act[now], n[now]
-        when = reached[hashes & mask].astype(np.int64)
-        place = np.full(len(place) - 1, -1, np.int64)
-        place[at] = inverse
+        if len(now):
+            own = at[now]
+            key = x[own]
+            for j in range(1, k):  # equal words, told by their numbers; renumbered so that they fit 64 bits
+                key = (np.unique(key, return_inverse=True)[1] if j > 1 else key) * size + x[own + j]
+            _, one, n = np.unique(key, return_index=True, return_counts=True)
+            words = [vocabulary.take(pa.array(x[own[one] + j])) for j in range(k)]
+            yield k, pc.binary_join_element_wise(*words, b" "), mixed[now[one]] & mask, act[now[one]], n
+        hashes = np.zeros(len(hashes) - 1, np.uint64)
+        when = np.full(len(hashes), UNSET, np.int64)
+        hashes[at], when[at] = mixed, reached[mixed & mask]
 
 
 def _scan(step: int, shards: int, longest: int, packed: bytes, limit: int):
@@ -141,9 +142,8 @@ def _scan(step: int, shards: int, longest: int, packed: bytes, limit: int):
                 for k, phrase, slot, act, n in count_stretch(lang, some, reached, step, shards, longest):
                     out = pa.RecordBatch.from_arrays(
                         [pa.array([lang] * len(n), pa.string()), phrase.cast(pa.string()),
-                         pa.array(np.full(len(n), k, np.int32)), pa.array(slot.astype(np.int32)),
-                         pa.array(act.astype(np.int32)), pa.array(n.astype(np.int64))],
-                        names=["lang", "phrase", "k", "slot", "act", "n"])
+                         pa.array(slot.astype(np.int32)), pa.array(act.astype(np.int32)),
+                         pa.array(n.astype(np.int64))], names=["lang", "phrase", "slot", "act", "n"])
                     for at in range(0, out.num_rows, BATCH):
                         yield out.slice(at, BATCH)
 
@@ -174,28 +174,27 @@ def count_phrases(spark: SparkSession, docs: DataFrame, *, text_col: str = "text
                  F.pmod(F.monotonically_increasing_id(), F.lit(shards)).alias("shard"))
      .where("text is not null").write.partitionBy("shard").parquet(corpus))
     texts = spark.read.schema("lang string, text string, shard int").parquet(corpus)
+    length = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1
     reached = np.full(slots, UNSET, np.uint8)
     step, last, waiting, done, before = 0, -1, None, [], None
     while step <= max(shards - 1, last + shards):
         counted = texts.where(F.col("shard") == step % shards).select("lang", "text").mapInArrow(
             _scan(step, shards, longest, zlib.compress(reached.tobytes(), 1), limit), SCHEMA)
-        counted = counted.withColumn("known", F.lit(False))
         if waiting is not None:
             counted = counted.unionByName(waiting)
         at = scratch_path(spark, "phrases-step")
         ended = F.col("act") + shards - 1 <= step
         (counted.groupBy("lang", "phrase").agg(
-            F.min("k").alias("k"), F.min("slot").alias("slot"), F.min("act").alias("act"), F.sum("n").alias("n"),
-            F.max("known").alias("known"))
-         .where(~ended | (F.col("n") >= least) | (F.col("k") == 0))
+            F.min("slot").alias("slot"), F.min("act").alias("act"), F.sum("n").alias("n"))
+         .where(~ended | (F.col("n") >= least) | F.col("phrase").isNull())
          .withColumn("ended", ended).write.partitionBy("ended").parquet(at))
-        rows = spark.read.schema(f"{SCHEMA}, known boolean, ended boolean").parquet(at)
-        big = (F.col("n") >= least) & F.col("k").between(1, longest - 1)
-        fresh = _new_slots(rows.where(big & ~F.col("known")), slots) & (reached == UNSET)
+        rows = spark.read.schema(f"{SCHEMA}, ended boolean").parquet(at)
+        grows = (F.col("n") >= least) & (length < longest)  # null: the row of all words
+        fresh = _new_slots(rows.where(grows), slots) & (reached == UNSET)
         if fresh.any():
             reached[fresh], last = step, step
-        waiting = rows.where("not ended").withColumn("known", big | F.col("known")).drop("ended")
-        done.append(rows.where("ended").select("lang", "phrase", "k", "n"))
+        waiting = rows.where("not ended").drop("ended")
+        done.append(rows.where("ended").select("lang", "phrase", F.coalesce(length, F.lit(0)).alias("k"), "n"))
         if before is not None:  # its rows have been carried over
             remove_path(spark, f"{before}/ended=false")
         before, step = at, step + 1
