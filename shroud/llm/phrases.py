@@ -7,13 +7,15 @@ counted from the next scan on for exactly one full cycle of shards, so phrases o
 counted in the same scans and every count is exact.  The work ends when nothing was activated for
 a full cycle.  Phrases that end their cycle below the threshold are dropped.
 
-A scan must know which subphrases have reached the threshold.  It is told by a table of ``slots``
-bytes, the step at which a phrase of this hash first reached it; nothing else goes to the tasks or
-the driver, and its size is fixed.  Two phrases in one slot only start some counting early: the
-start follows from the table, the same in every scan, so what is counted still gets one full cycle,
-and a phrase below the threshold is dropped at its end like any other.  Slots beyond use therefore
-cost work, never rows.  Counts travel as (language, phrase, count), summed in each slice of texts,
-then by Spark; a language or word that holds most rows is pre-aggregated like any other.
+Scans count 64-bit hashes of phrases, so a count is the phrase's own or, where two share a hash, more;
+none is lost.  A scan must know which subphrases have reached the threshold.  It is told by a table of
+``slots`` bytes, the step at which a hash of this slot first reached it.  Phrases that share a slot only
+start some counting early: the start follows from the table, the same in every scan, so what is counted
+still gets one full cycle.  A last cycle counts by text, exactly, what the hashes have left: the phrases
+whose slot, and whose parts' slots, hold a hash that ended at the threshold or above.  Those two tables
+are all that goes to the tasks or the driver, of fixed size; slots beyond use cost work, never rows.
+Counts are summed in each slice of texts, then by Spark before and after the shuffle, so a language or
+word that holds most rows is no hot key.
 
 Text: A-Z become lower case, pieces end at ``[.,;:!?\\x0A-\\x0D]``, words are ``[^\\x20\\x09]+`` of a piece.
 Everything is per language (null: ``und``, together with a language of that name).  A candidate has
@@ -45,7 +47,7 @@ from .common import as_bytes
 
 LEAST, LONGEST, SHARDS, SLOTS, WITHIN, FIRST = 30, 4, 2, 1 << 24, 80, 2000
 SLICE, BATCH, UNSET = 8 << 20, 1 << 16, 255
-SCHEMA = "lang string, phrase string, slot int, act int, n long"
+SCHEMA = "h long, mark int, n long"  # mark: first step * 8 + number of words
 
 _END = b"\xff"  # ends a piece; no byte of UTF-8
 _table = bytearray(range(256))
@@ -89,61 +91,113 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def count_stretch(lang: str, texts: list[bytes], reached: np.ndarray, step: int, shards: int,
-                  longest: int) -> Iterator[tuple]:
-    """(k, phrases, slots, first steps, counts) of the active phrases of each length; k = 0: all words."""
-    tokens = _END.join(texts).replace(_END, b" \xff ").split()
-    coded = pa.array([_END, *tokens], pa.binary()).dictionary_encode()
-    x = coded.indices.to_numpy()[1:].astype(np.int64)  # 0 ends a piece
-    vocabulary, size = coded.dictionary, len(coded.dictionary)
-    mask = np.uint64(len(reached) - 1)
-    seed = xxhash.xxh64_intdigest(lang.encode())
-    word = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in vocabulary.to_pylist()), np.uint64, size)
-    of_word = np.bincount(x, minlength=size)
-    of_word[0] = 0
-    if step < shards:
-        yield 0, pa.nulls(1, pa.binary()), np.zeros(1), np.zeros(1), np.array([of_word.sum()])
-        at = np.flatnonzero(of_word)
-        yield 1, vocabulary.take(pa.array(at)), word[at] & mask, np.zeros(len(at)), of_word[at]
-    # of the phrase of the length before that begins at each place: its hash and the step it reached
-    hashes, when = word[x], np.where(x == 0, UNSET, reached[word & mask][x]).astype(np.int64)
-    for k in range(2, longest + 1):
-        at = np.flatnonzero((when[:-1] < step) & (when[1:] < step))
-        if not len(at):
-            return
-        act = np.maximum(when[at], when[at + 1]) + 1
-        tail = x[at + k - 1]
-        mixed = _mix(hashes[at], word[tail])
-        now = np.flatnonzero(step < act + shards)
-        if len(now):
-            own = at[now]
-            key = x[own]
+class Stretch:
+    """Texts of one language as word numbers (0 ends a piece) and word hashes."""
+
+    def __init__(self, lang: str, texts: list[bytes]):
+        tokens = _END.join(texts).replace(_END, b" \xff ").split()
+        coded = pa.array([_END, *tokens], pa.binary()).dictionary_encode()
+        self.x = coded.indices.to_numpy()[1:].astype(np.int64)
+        self.vocabulary = coded.dictionary
+        seed = xxhash.xxh64_intdigest(lang.encode())
+        self.hash = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.vocabulary.to_pylist()),
+                                np.uint64, len(self.vocabulary))
+        self.count = np.bincount(self.x, minlength=len(self.vocabulary))
+        self.count[0] = 0
+
+    def active(self, reached: np.ndarray, step: int, shards: int, longest: int) -> Iterator[tuple]:
+        """(k, hashes, first step of each, counts) of the active phrases of each length."""
+        x, mask = self.x, np.uint64(len(reached) - 1)
+        if step < shards:
+            at = np.flatnonzero(self.count)
+            yield 1, self.hash[at], np.zeros(len(at), np.int64), self.count[at]
+        # of the phrase of the length before that begins at each place: its hash and the step it reached
+        hashes, when = self.hash[x], reached[self.hash & mask]
+        when[0] = UNSET
+        when = when[x]
+        for k in range(2, longest + 1):
+            at = np.flatnonzero((when[:-1] < step) & (when[1:] < step))
+            if not len(at):
+                return
+            act = np.maximum(when[at], when[at + 1]).astype(np.int64) + 1
+            mixed = _mix(hashes[at], self.hash[x[at + k - 1]])
+            now = step < act + shards
+            if now.any():
+                yield k, *_grouped(mixed[now], act[now])
+            hashes, when = np.zeros(len(hashes) - 1, np.uint64), np.full(len(hashes) - 1, UNSET, np.uint8)
+            hashes[at], when[at] = mixed, reached[mixed & mask]
+
+    def phrases(self, wanted: np.ndarray, longest: int) -> Iterator[tuple]:
+        """(k, phrases, counts) of all phrases whose slot, and whose parts' slots, are wanted."""
+        x, mask, size = self.x, np.uint64(len(wanted) - 1), len(self.vocabulary)
+        large = wanted[self.hash & mask]
+        large[0] = False
+        at = np.flatnonzero(large & (self.count > 0))
+        yield 1, self.vocabulary.take(pa.array(at)), self.count[at]
+        hashes, large = self.hash[x], large[x]
+        for k in range(2, longest + 1):
+            at = np.flatnonzero(large[:-1] & large[1:])
+            if not len(at):
+                return
+            mixed = _mix(hashes[at], self.hash[x[at + k - 1]])
+            ok = wanted[mixed & mask]
+            at, mixed = at[ok], mixed[ok]
+            key = x[at]
             for j in range(1, k):  # equal words, told by their numbers; renumbered so that they fit 64 bits
-                key = (np.unique(key, return_inverse=True)[1] if j > 1 else key) * size + x[own + j]
+                key = (np.unique(key, return_inverse=True)[1] if j > 1 else key) * size + x[at + j]
             _, one, n = np.unique(key, return_index=True, return_counts=True)
-            words = [vocabulary.take(pa.array(x[own[one] + j])) for j in range(k)]
-            yield k, pc.binary_join_element_wise(*words, b" "), mixed[now[one]] & mask, act[now[one]], n
-        hashes = np.zeros(len(hashes) - 1, np.uint64)
-        when = np.full(len(hashes), UNSET, np.int64)
-        hashes[at], when[at] = mixed, reached[mixed & mask]
+            words = [self.vocabulary.take(pa.array(x[at[one] + j])) for j in range(k)]
+            yield k, pc.binary_join_element_wise(*words, b" "), n
+            hashes, large = np.zeros(len(hashes) - 1, np.uint64), np.zeros(len(hashes) - 1, bool)
+            hashes[at], large[at] = mixed, True
+
+
+def _grouped(hashes: np.ndarray, act: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, act, count) of the distinct (hash, act)."""
+    coded = pa.array(hashes).dictionary_encode()
+    own, kinds = coded.indices.to_numpy(), len(coded.dictionary)
+    first = np.zeros(kinds, np.int64)
+    first[own] = act
+    if (first[own] != act).any():  # two phrases of one hash that begin at different steps
+        pairs, n = np.unique(np.rec.fromarrays([hashes, act]), return_counts=True)
+        return pairs.f0, pairs.f1, n
+    return coded.dictionary.to_numpy(), first, np.bincount(own, minlength=kinds)
+
+
+def _texts(batches) -> Iterator[tuple[str, bytes]]:
+    for b in batches:
+        yield from zip(b.column(0).to_pylist(), as_bytes(b.column(1)).to_pylist())
 
 
 def _scan(step: int, shards: int, longest: int, packed: bytes, limit: int):
     """Task function: (lang, text) rows to the counts of what is active in this step."""
     def run(batches):
         reached = np.frombuffer(zlib.decompress(packed), np.uint8)
+        for held in _stretches(_texts(batches), limit):
+            for lang, some in held.items():
+                for k, h, act, n in Stretch(lang, some).active(reached, step, shards, longest):
+                    out = pa.RecordBatch.from_arrays(
+                        [pa.array(h.view(np.int64)), pa.array((act * 8 + k).astype(np.int32)), pa.array(n)],
+                        names=["h", "mark", "n"])
+                    for at in range(0, out.num_rows, BATCH):
+                        yield out.slice(at, BATCH)
+
+    return run
 
-        def texts():
-            for b in batches:
-                yield from zip(b.column(0).to_pylist(), as_bytes(b.column(1)).to_pylist())
 
-        for held in _stretches(texts(), limit):
+def _recount(longest: int, packed: bytes, limit: int):
+    """Task function: (lang, text) rows to the counts of the wanted phrases; k = 0: of all words."""
+    def run(batches):
+        wanted = np.unpackbits(np.frombuffer(zlib.decompress(packed), np.uint8)).astype(bool)
+        for held in _stretches(_texts(batches), limit):
             for lang, some in held.items():
-                for k, phrase, slot, act, n in count_stretch(lang, some, reached, step, shards, longest):
+                own = Stretch(lang, some)
+                total = (0, pa.nulls(1, pa.binary()), np.array([own.count.sum()]))
+                for k, phrase, n in (total, *own.phrases(wanted, longest)):
                     out = pa.RecordBatch.from_arrays(
                         [pa.array([lang] * len(n), pa.string()), phrase.cast(pa.string()),
-                         pa.array(slot.astype(np.int32)), pa.array(act.astype(np.int32)),
-                         pa.array(n.astype(np.int64))], names=["lang", "phrase", "slot", "act", "n"])
+                         pa.array(np.full(len(n), k, np.int32)), pa.array(n.astype(np.int64))],
+                        names=["lang", "phrase", "k", "n"])
                     for at in range(0, out.num_rows, BATCH):
                         yield out.slice(at, BATCH)
 
@@ -152,8 +206,9 @@ def _scan(step: int, shards: int, longest: int, packed: bytes, limit: int):
 
 def _new_slots(rows: DataFrame, slots: int) -> np.ndarray:
     """Which slots the rows take, as a bitmap that Spark puts together (slots / 8 bytes)."""
-    parts = (rows.groupBy(F.shiftright("slot", 15).alias("b"))
-             .agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(32767).cast("long")).alias("bits")))
+    slot = F.col("h").bitwiseAND(slots - 1)
+    parts = (rows.groupBy(F.shiftright(slot, 15).alias("b"))
+             .agg(F.bitmap_construct_agg(slot.bitwiseAND(32767)).alias("bits")))
     found = np.zeros(slots, bool)
     for r in parts.collect():  # 4 KiB for 32,768 slots
         found[r.b << 15:(r.b + 1) << 15] = np.unpackbits(np.frombuffer(bytes(r.bits), np.uint8), bitorder="little")
@@ -165,8 +220,8 @@ def count_phrases(spark: SparkSession, docs: DataFrame, *, text_col: str = "text
                   limit: int = SLICE) -> DataFrame:
     """lang, phrase, k, n: every phrase of 1 to ``longest`` words with ``least`` or more occurrences,
     and per language a row of k = 0 with the number of all words."""
-    if slots & (slots - 1) or slots < 32768 or not 0 < shards * longest < UNSET:
-        raise ValueError("slots: a power of 2, 32768 at least; shards * longest: below 255")
+    if slots & (slots - 1) or slots < 32768 or not 0 < shards * longest < UNSET or longest > 7:
+        raise ValueError("slots: a power of 2, 32768 at least; longest: at most 7; shards * longest: below 255")
     corpus = scratch_path(spark, "phrases-shards")
     (docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                  F.col(text_col).cast("string").alias("text"),
@@ -174,42 +229,41 @@ def count_phrases(spark: SparkSession, docs: DataFrame, *, text_col: str = "text
                  F.pmod(F.monotonically_increasing_id(), F.lit(shards)).alias("shard"))
      .where("text is not null").write.partitionBy("shard").parquet(corpus))
     texts = spark.read.schema("lang string, text string, shard int").parquet(corpus)
-    length = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1
-    reached = np.full(slots, UNSET, np.uint8)
-    step, last, waiting, done, before = 0, -1, None, [], None
+    reached, wanted = np.full(slots, UNSET, np.uint8), np.zeros(slots, bool)
+    words, act = F.col("mark").bitwiseAND(7), F.shiftright("mark", 3)
+    step, last, waiting, before = 0, -1, None, None
     while step <= max(shards - 1, last + shards):
         counted = texts.where(F.col("shard") == step % shards).select("lang", "text").mapInArrow(
             _scan(step, shards, longest, zlib.compress(reached.tobytes(), 1), limit), SCHEMA)
         if waiting is not None:
             counted = counted.unionByName(waiting)
         at = scratch_path(spark, "phrases-step")
-        ended = F.col("act") + shards - 1 <= step
-        (counted.groupBy("lang", "phrase").agg(
-            F.min("slot").alias("slot"), F.min("act").alias("act"), F.sum("n").alias("n"))
-         .where(~ended | (F.col("n") >= least) | F.col("phrase").isNull())
+        ended = act + shards - 1 <= step
+        (counted.groupBy("h", "mark").agg(F.sum("n").alias("n")).where(~ended | (F.col("n") >= least))
          .withColumn("ended", ended).write.partitionBy("ended").parquet(at))
         rows = spark.read.schema(f"{SCHEMA}, ended boolean").parquet(at)
-        grows = (F.col("n") >= least) & (length < longest)  # null: the row of all words
-        fresh = _new_slots(rows.where(grows), slots) & (reached == UNSET)
+        large = rows.where(F.col("n") >= least)
+        fresh = _new_slots(large.where(words < longest), slots) & (reached == UNSET)
         if fresh.any():
             reached[fresh], last = step, step
-        waiting = rows.where("not ended").drop("ended")
-        done.append(rows.where("ended").select("lang", "phrase", F.coalesce(length, F.lit(0)).alias("k"), "n"))
-        if before is not None:  # its rows have been carried over
-            remove_path(spark, f"{before}/ended=false")
-        before, step = at, step + 1
-    remove_path(spark, corpus)
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
+        wanted |= _new_slots(large.where("ended"), slots)
+        if before is not None:
+            remove_path(spark, before)  # what waited has been carried over, what ended is in the table
+        waiting, before, step = rows.where("not ended").drop("ended"), at, step + 1
+    counts = (texts.select("lang", "text")
+              .mapInArrow(_recount(longest, zlib.compress(np.packbits(wanted).tobytes(), 1), limit),
+                          "lang string, phrase string, k int, n long")
+              .groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"))
+              .where((F.col("n") >= least) | (F.col("k") == 0)))
+    at = scratch_path(spark, "phrases")
+    counts.write.parquet(at)
+    for path in (before, corpus):
+        remove_path(spark, path)
+    return spark.read.parquet(at)
 
 
 def collocations(spark: SparkSession, counts: DataFrame, *, within: int = WITHIN, first: int = FIRST) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of the ``first`` collocations of each language."""
-    path = scratch_path(spark, "phrases")
-    counts.write.parquet(path)
-    counts = spark.read.parquet(path)
     known = counts.where("k > 0").select(F.col("lang").alias("pl"), F.col("phrase").alias("part"), F.col("n").alias("m"))
     found = counts.where("k > 1").select("lang", "phrase", "k", F.col("n").alias("a"), F.split("phrase", " ").alias("w"))
 

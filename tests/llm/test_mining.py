@@ -146,16 +146,22 @@ def test_shared_slots_change_no_count(spark, monkeypatch):
 
 
 def test_phrases_are_activated_late():
-    """A phrase is counted only after both its parts have reached the threshold."""
+    """A phrase is counted only after both its parts have reached the threshold, for one cycle."""
     import numpy as np
     reached = np.full(32768, phrases.UNSET, np.uint8)
-    texts = [b"a b c"]
-    assert [k for k, *_ in phrases.count_stretch("en", texts, reached, 0, 4, 4)] == [0, 1]
-    assert not any(len(n) for *_, n in phrases.count_stretch("en", texts, reached, 5, 4, 4))
+    own = phrases.Stretch("en", [b"a b c"])
+    assert [k for k, *_ in own.active(reached, 0, 4, 4)] == [1]
+    assert list(own.active(reached, 5, 4, 4)) == []
     reached[:] = 0
-    assert [k for k, *_ in phrases.count_stretch("en", texts, reached, 1, 4, 4)] == [0, 1, 2, 3]
-    assert [k for k, *_ in phrases.count_stretch("en", texts, reached, 4, 4, 4)] == [2, 3]
-    assert not any(len(n) for *_, n in phrases.count_stretch("en", texts, reached, 5, 4, 4))
+    assert [k for k, *_ in own.active(reached, 1, 4, 4)] == [1, 2, 3]
+    assert [k for k, *_ in own.active(reached, 4, 4, 4)] == [2, 3]
+    assert list(own.active(reached, 5, 4, 4)) == []
+
+
+def test_equal_hashes_that_begin_at_different_steps():
+    import numpy as np
+    h, act, n = phrases._grouped(np.array([7, 7, 9, 7], np.uint64), np.array([1, 2, 1, 2]))
+    assert sorted(zip(h.tolist(), act.tolist(), n.tolist())) == [(7, 1, 1), (7, 2, 2), (9, 1, 1)]
 
 
 def test_small_phrase_tables(spark):
