@@ -95,10 +95,20 @@ class Stretch:
     """Texts of one language as word numbers (0 ends a piece) and word hashes."""
 
     def __init__(self, lang: str, texts: list[bytes]):
-        tokens = _END.join(texts).replace(_END, b" \xff ").split()
-        coded = pa.array([_END, *tokens], pa.binary()).dictionary_encode()
-        self.x = coded.indices.to_numpy()[1:].astype(np.int64)
-        self.vocabulary = coded.dictionary
+        raw = np.frombuffer(_END.join(texts), np.uint8)
+        letter = (raw != 32) & (raw != 9) & (raw != 255)
+        begins = letter.copy()
+        begins[1:] &= ~letter[:-1]
+        # the words one after the other, without what stands between them
+        at = np.flatnonzero(begins)
+        ends = np.r_[np.flatnonzero(begins[letter]), letter.sum()].astype(np.int32)
+        words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(raw[letter])])
+        coded = words.dictionary_encode()
+        piece = np.searchsorted(np.flatnonzero(raw == 255), at)
+        place = np.arange(len(at)) + np.r_[0, np.cumsum(piece[1:] != piece[:-1])][:len(at)]
+        self.x = np.zeros(int(place[-1]) + 1 if len(at) else 0, np.int64)
+        self.x[place] = coded.indices.to_numpy().astype(np.int64) + 1
+        self.vocabulary = pa.concat_arrays([pa.array([_END], pa.binary()), coded.dictionary])
         seed = xxhash.xxh64_intdigest(lang.encode())
         self.hash = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.vocabulary.to_pylist()),
                                 np.uint64, len(self.vocabulary))
