@@ -96,8 +96,11 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--layout", default="files", choices=["files", "keyed"])
     st.add_argument("--strict", action="store_true")
     st.add_argument("--root-key", default=None)
+    for x in (d, x, a):
+        x.add_argument("--purge-log", default=None,
+                       help="folder of the purge's log; the same folder resumes a purge that was cut off")
     for x in (a, st):
-        x.add_argument("--out-layout", default="keyed", choices=["files", "keyed"],
+        x.add_argument("--out-layout", default="files", choices=["files", "keyed"],
                        help="files: each object at its exact key, put by the executors")
     a.add_argument("--refuse-hidden", action="store_true",
                    help="stop where names begin with _ or . instead of reading such objects")
@@ -162,7 +165,8 @@ def main(argv: list[str] | None = None) -> None:
     if res.manifest is not None and "relative_path" in res.manifest.columns:
         manifest.manifest_folders(res.manifest, 2).show(truncate=False)
         if args.apply_purge:
-            print(f"purged files: {manifest.apply_purge(spark, res.manifest)}")
+            for status, n in manifest.purge(spark, res.manifest, args.purge_log).items():
+                print(f"{status} files: {n}")
     spark.stop()
 
 

@@ -21,15 +21,21 @@ from pyspark.sql.functions import pandas_udf
 BATCH_CHARS = 16 << 20
 
 
-def _gunzip(b) -> str | None:
-    if b is None:
-        return None
+def gunzip_bytes(b: bytes) -> bytes | None:
+    """The decompressed bytes, None where they are not gzip or not UTF-8."""
     try:
-        return gzip.decompress(bytes(b)).decode("utf-8")
+        out = gzip.decompress(b)
+        out.decode("utf-8")
+        return out
     except (OSError, EOFError, zlib.error, UnicodeDecodeError):
         return None
 
 
+def _gunzip(b) -> str | None:
+    out = None if b is None else gunzip_bytes(bytes(b))
+    return None if out is None else out.decode("utf-8")
+
+
 def _gunzip_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Texts in batches of about ``BATCH_CHARS``, whatever an input batch inflates to."""
     for content in batches:

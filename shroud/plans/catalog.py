@@ -420,10 +420,34 @@ def q_json_all(spark, sf):
 # ------------------------------------------------------------ object I/O
 
 
+
+# Half of the objects have names that Spark's file sources pass over: odd ids get a folder with _
+# and a name with a dot.
+_ODD = r"^(chat/|noguest/chat/|click/)(conv|user)=([0-9]*[13579])/batch="
+
+
+def _odd_names(df: DataFrame) -> DataFrame:
+    return df.withColumn("object_key", F.regexp_replace("object_key", _ODD, "$1_$2=$3/.batch="))
+
+
+def _odd_sql(kind: str) -> str:
+    return f"regexp_replace({fx.ORACLE_DOC_KEYS[kind]}, '{_ODD}', '\\1_\\2=\\3/.batch=')"
+
+
 @register("scan_json_objects", f"""
-select {fx.ORACLE_DOC_KEYS['chat']} object_key, conv_id, turn, text body from conversations""")
+select {_odd_sql('chat')} object_key, conv_id, turn, text body from conversations""")
 def q_scan_objects(spark, sf):
     root = scratch_path(spark, "objects-in")
+    KO.put_objects(_odd_names(fx.chat_docs(spark, sf)), root, gzip=True)
+    docs = SO.scan_objects(spark, root, gzip_any_name=True)
+    return FL.chat_rows(docs, "payload", ["object_key"]).select("object_key", "conv_id", "turn",
+                                                                "body")
+
+
+@register("scan_json_objects_keyed", f"""
+select {fx.ORACLE_DOC_KEYS['chat']} object_key, conv_id, turn, text body from conversations""")
+def q_scan_keyed(spark, sf):
+    root = scratch_path(spark, "objects-keyed")
     KO.write_objects(fx.chat_docs(spark, sf), root, gzip=True)
     docs = SO.scan_objects(spark, root, layout="keyed")
     return FL.chat_rows(docs, "payload", ["object_key"]).select("object_key", "conv_id", "turn",
@@ -431,14 +455,14 @@ def q_scan_objects(spark, sf):
 
 
 @register("json_emit_keys", f"""
-select concat('anonymized/', {fx.ORACLE_DOC_KEYS['chat']}) object_key, conv_id, turn,
+select concat('anonymized/', {_odd_sql('chat')}) object_key, conv_id, turn,
        {_mask_sql('text')} body from conversations""")
 def q_emit_keys(spark, sf):
     base = scratch_path(spark, "emit")
-    KO.write_objects(fx.chat_docs(spark, sf), f"{base}/in", gzip=True)
+    KO.put_objects(_odd_names(fx.chat_docs(spark, sf)), f"{base}/in", gzip=True)
     J.json_anonymize_job(spark, f"{base}/in", f"{base}/out", f"{base}/quarantine", "source2",
-                         CHAT_KEYS, layout="keyed")
-    docs = SO.scan_objects(spark, f"{base}/out", layout="keyed")
+                         CHAT_KEYS)
+    docs = SO.scan_objects(spark, f"{base}/out", gzip_any_name=True)
     return FL.chat_rows(docs, "payload", ["object_key"]).select("object_key", "conv_id", "turn",
                                                                 "body")
 
@@ -446,29 +470,56 @@ def q_emit_keys(spark, sf):
 @register("stream_redact_clickstream", _CLICK_ORACLE)
 def q_stream(spark, sf):
     base = scratch_path(spark, "stream")
-    KO.write_objects(fx.clickstream_docs(spark, sf), f"{base}/in")
+    KO.put_objects(_odd_names(fx.clickstream_docs(spark, sf)), f"{base}/in")
     q = RS.start_redact_stream(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint",
-                               "source1", CLICK_KEYS, layout="keyed")
+                               "source1", CLICK_KEYS)
     q.awaitTermination()
     out = spark.read.parquet(f"{base}/out").where(F.col("status") == "redacted")
     return FL.clickstream_rows(out, "redacted", [])
 
 
 @register("stream_emit_objects", f"""
-select concat('anonymized/', {fx.ORACLE_DOC_KEYS['chat']}) object_key, conv_id, turn,
+select concat('anonymized/', {_odd_sql('chat')}) object_key, conv_id, turn,
        {_mask_sql('text')} body from conversations""")
 def q_stream_objects(spark, sf):
     base = scratch_path(spark, "stream-objects")
-    KO.write_objects(fx.chat_docs(spark, sf), f"{base}/in", gzip=True)
+    KO.put_objects(_odd_names(fx.chat_docs(spark, sf)), f"{base}/in", gzip=True)
     q = RS.start_redact_stream_to_objects(spark, f"{base}/in", f"{base}/out", f"{base}/quarantine",
-                                          f"{base}/checkpoint", "source2", CHAT_KEYS,
-                                          layout="keyed")
+                                          f"{base}/checkpoint", "source2", CHAT_KEYS)
     q.awaitTermination()
-    docs = SO.scan_objects(spark, f"{base}/out", layout="keyed")
+    docs = SO.scan_objects(spark, f"{base}/out", gzip_any_name=True)
     return FL.chat_rows(docs, "payload", ["object_key"]).select("object_key", "conv_id", "turn",
                                                                 "body")
 
 
+# Of listed objects, those of one nation go before the purge, and those of suppliers in debt are
+# put again with another content: they are not what was listed and stay.
+@register("purge_run", """
+select concat('staging/supplier=', s_suppkey) object_key,
+       case when s_nationkey = 1 then 'gone' when s_acctbal < 0 then 'replaced' else 'deleted' end status,
+       s_nationkey <> 1 and s_acctbal < 0 still_there
+from supplier""")
+def q_purge_run(spark, sf):
+    root = scratch_path(spark, "purge-run")
+    s = fx.table(spark, sf, "supplier").select(
+        F.concat(F.lit("staging/supplier="), "s_suppkey").alias("object_key"),
+        F.col("s_name").alias("payload"), "s_nationkey", "s_acctbal")
+    KO.put_objects(s, root)
+    listed = scratch_path(spark, "purge-run-manifest")
+    MF.purge_manifest(spark, root, ["staging"]).write.parquet(listed)
+    listed = spark.read.parquet(listed)
+    first = listed.join(s.where("s_nationkey = 1"), F.col("relative_path") == F.col("object_key"), "left_semi")
+    MF.purge(spark, first)
+    newer = s.where("s_nationkey <> 1 and s_acctbal < 0").withColumn("payload", F.concat("payload", F.lit(" (new)")))
+    KO.put_objects(newer, root)
+    log = scratch_path(spark, "purge-run-log")
+    MF.purge(spark, listed, log)
+    left = SO.list_objects(spark, root).select("object_key", F.lit(True).alias("there"))
+    key = SO.relative_path(F.col("path"), root)
+    return (MF.purge_status(spark, log).select(key.alias("object_key"), "status").join(left, "object_key", "left")
+            .select("object_key", "status", F.coalesce("there", F.lit(False)).alias("still_there")))
+
+
 # ------------------------------------------------------ table round trips
 @register("scan_customers_csv", fx.with_ctes("select * from src"))
 def q_scan_csv(spark, sf):
@@ -749,11 +800,22 @@ select 'json_anonymize' job, metric, value, format('{{:,}}', value) value_text f
   union all select 'quarantined_objects', ({_N_CHAT})
   union all select 'written_objects', ({_N_CHAT}))""")
 def q_json_run(spark, sf):
+    return _json_run(spark, sf).metrics
+
+
+def _json_run(spark, sf):
     base = scratch_path(spark, "json-run")
     docs = fx.chat_docs(spark, sf).select("object_key", "payload").unionByName(
         _with_key_prefix(fx.chat_docs(spark, sf, with_guest=False), "noguest/")
         .select("object_key", "payload"))
-    KO.write_objects(docs, f"{base}/in", gzip=True)
-    res = J.json_anonymize_job(spark, f"{base}/in", f"{base}/out", f"{base}/quarantine",
-                               "source2", CHAT_KEYS, layout="keyed")
-    return res.metrics
+    KO.put_objects(_odd_names(docs), f"{base}/in", gzip=True)
+    return J.json_anonymize_job(spark, f"{base}/in", f"{base}/out", f"{base}/quarantine",
+                                "source2", CHAT_KEYS)
+
+
+# The objects that the job leaves behind, at their exact keys.
+@register("json_anonymize_objects", ORACLES["json_emit_keys"])
+def q_json_objects(spark, sf):
+    docs = SO.scan_objects(spark, _json_run(spark, sf).outputs["objects"], gzip_any_name=True)
+    return FL.chat_rows(docs, "payload", ["object_key"]).select("object_key", "conv_id", "turn",
+                                                                "body")

@@ -29,6 +29,7 @@ from ..session import path_exists, remove_path, scratch_path
 from ..sinks import files, manifest, objects
 from ..sources import objects as obj_src
 from ..sources import tables
+from ..sources.object_store import found as found_objects
 
 
 # Fixed value: folder-name prefix of a deletion run's new version.
@@ -239,7 +240,7 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
                        quarantine_root: str, source_type: str, pii_keys, *,
                        layout: str = "files", strict: bool = False,
                        run_id: str | None = None, root_key: str | None = None,
-                       out_layout: str = "keyed", refuse_hidden: bool = False) -> JobResult:
+                       out_layout: str = "files", refuse_hidden: bool = False) -> JobResult:
     """Redact every object under ``in_root``; write redacted objects under
     ``out_root`` with key ``anonymized/<key>``, quarantine the rest with a
     reason, reconcile ``listed = redacted + quarantined`` and only then list
@@ -249,75 +250,81 @@ def json_anonymize_job(spark: SparkSession, in_root: str, out_root: str,
     (objects of earlier runs stay) and writes its quarantine rows to
     ``quarantine_root/run=<run_id>``.
 
-    ``out_layout``: ``files`` puts each object at its exact key from the
-    executors, ``keyed`` publishes through Spark's writer (a folder an object).
-    Objects whose names Spark's file sources pass over are listed and read by
-    the executors themselves; with ``refuse_hidden``, in the keyed layout or
-    where the file system has no Arrow client, such names stop the job before
-    anything is processed."""
+    Objects are read in the ``files`` layout by the executors, whatever their
+    names, and the manifest holds length and time of what was read.  With
+    ``refuse_hidden``, in the keyed layout or where the file system has no Arrow
+    client, names that Spark's file sources pass over stop the job before anything
+    is processed.  ``out_layout``: ``files`` puts each object at its exact key from
+    the executors, ``keyed`` publishes through Spark's writer (a folder an object)."""
     run_id = run_id or uuid.uuid4().hex
     if out_layout not in ("files", "keyed"):
         raise ValueError(f"unknown object layout {out_layout!r}")
-    aside = None
-    if refuse_hidden or layout != "files" or not obj_src.reachable(in_root):
+    whole = layout == "files" and obj_src.reachable(in_root)  # every object, as it was read
+    if refuse_hidden or not whole:
         obj_src.require_visible_names(spark, in_root)
-    else:
-        aside = obj_src.hidden_objects(spark, in_root)
-        # the key ends the folder name there, and Spark would not see the copy
-        if out_layout == "keyed" and aside.where(F.col("object_key").endswith("._COPYING_")).head(1):
-            raise obj_src.HiddenNamesError("keys ending in ._COPYING_ need out_layout='files'")
     preset = redact.PRESETS[redact.route(source_type)]
     # gzip sources compress every object, whatever its name; objects in the
     # keyed layout were written by Spark, which always names them *.gz
     scanned = obj_src.scan_objects(spark, in_root, layout,
                                    gzip_any_name=preset.gzip and layout == "files")
-    listing = obj_src.list_objects(spark, in_root, layout)
-    if aside is not None:
-        scanned = scanned.unionByName(obj_src.scan_hidden(spark, in_root, aside,
-                                                          gzip_any_name=preset.gzip))
-        listing = listing.unionByName(aside)
     red = redact.redact(scanned, preset.name, pii_keys, strict=strict, root_key=root_key)
+    if whole:
+        red = red.withColumn("reason", F.when(F.col("payload").isNull(), "unreadable_object")
+                             .otherwise(F.col("reason")))
     red = red.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # what was read is what may be purged: an object that comes meanwhile is in neither
+        listing = red if whole else obj_src.list_objects(spark, in_root, layout)
+        listing = listing.select("object_key", "path", "length", "modificationTime")
         ok = redact.redacted_only(red).withColumn("target_key", objects.target_key())
+        # such a key ends the folder name there, and Spark would not see the copy
+        if out_layout == "keyed" and ok.where(F.col("object_key").endswith("._COPYING_")).head(1):
+            raise obj_src.HiddenNamesError("keys ending in ._COPYING_ need out_layout='files'")
         ok_obs = Observation("redacted")
         put = None
         if out_layout == "files":
-            put = objects.put_objects(ok, out_root, key_col="target_key", body_col="redacted",
-                                      gzip=preset.gzip)
+            put = objects.put_totals(ok, out_root, key_col="target_key", body_col="redacted",
+                                     gzip=preset.gzip)
         else:
             objects.write_objects(ok, out_root, key_col="target_key", body_col="redacted",
                                   gzip=preset.gzip, written=ok_obs, dynamic=True)
         run_keys = ok.select(F.col("target_key").alias("object_key"))
-        bad = (redact.quarantined_only(red)
-               .select("object_key", "path", F.length("payload").cast("long").alias("length"),
-                       "reason", "payload")
-               # reconcile against the persisted rows: the objects are not read twice
-               .unionByName(obj_src.unread_objects(listing, red)
-                            .withColumn("payload", F.lit(None).cast("string"))))
+        size = F.col("length") if whole else F.length("payload").cast("long")
+        bad = redact.quarantined_only(red).select("object_key", "path", size.alias("length"), "reason", "payload")
+        if not whole:
+            # reconcile against the persisted rows: the objects are not read twice
+            bad = bad.unionByName(obj_src.unread_objects(listing, red)
+                                  .withColumn("payload", F.lit(None).cast("string")))
         bad, bad_obs = counted(bad, "quarantined")
         bad.write.mode("overwrite").parquet(f"{quarantine_root}/run={run_id}")
         values = {"listed_objects": count_rows({"n": listing})["n"],
-                  "redacted_objects": observed(ok_obs, "rows", ok) if put is None else put,
+                  "redacted_objects": observed(ok_obs, "rows", ok) if put is None else put["objects"],
                   "quarantined_objects": observed(bad_obs, "quarantined", bad)}
-        # this run's objects on storage (earlier runs' objects are not counted);
-        # one listing of out_root serves this count and the manifest below
-        out_listing = obj_src.list_objects(spark, out_root, out_layout)
+        # this run's objects on storage (earlier runs' objects are not counted)
         if out_layout == "files":
-            out_listing = out_listing.unionByName(obj_src.hidden_objects(spark, out_root))
-        on_storage = out_listing.join(run_keys, "object_key", "left_semi")
-        written = count_rows({"n": on_storage})["n"]
+            stored = found_objects(run_keys, out_root)
+        else:
+            stored = (obj_src.list_objects(spark, out_root, out_layout)
+                      .join(run_keys, "object_key", "left_semi"))
+        at = scratch_path(spark, "stored-objects")
+        stored.select("object_key", "length").write.parquet(at)
+        stored = spark.read.parquet(at)
+        # a key and what became of its object, kept for the manifest
+        kept = scratch_path(spark, "read-objects")
+        listing.write.parquet(kept)
+        listing = spark.read.parquet(kept)
     finally:
         red.unpersist()
-    values["written_objects"] = written
-    _check(written == values["redacted_objects"], f"emitted objects: {values}")
-    _check(values["listed_objects"] == written + values["quarantined_objects"],
+    on_storage = stored.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).head()
+    values["written_objects"] = on_storage.n
+    _check(on_storage.n == values["redacted_objects"], f"emitted objects: {values}")
+    _check(put is None or on_storage.bytes == put["bytes"], f"emitted bytes: {on_storage.bytes} of {put}")
+    _check(values["listed_objects"] == on_storage.n + values["quarantined_objects"],
            f"objects do not reconcile: {values}")
     # Only objects whose redacted copy is on storage may be purged; quarantined
-    # ones stay (an unreadable object has no other copy).  Both sides are
-    # metadata listings.
+    # ones stay (an unreadable object has no other copy).
     prefix_len = len(objects.TARGET_PREFIX)
-    done = out_listing.select(
+    done = stored.select(
         F.expr(f"substring(object_key, {prefix_len + 1})").alias("object_key"))
     # A key quarantined in this run is never purged, even if an earlier run left
     # a redacted copy of an older version under out_root.

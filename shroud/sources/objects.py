@@ -1,5 +1,8 @@
 """Whole-object scans under a prefix (one JSON document per stored object).
 
+Where tasks can reach the store, ``object_store`` lists and reads objects of any name in key
+ranges.  Else, and for the keyed layout, Spark's own file sources do:
+
 ``scan_objects`` reads every file below ``root`` as one row with the text
 file source (``wholetext``); ``.gz`` objects are decompressed by the source
 itself, and for gzip sources objects named without ``.gz`` are gunzipped
@@ -19,16 +22,13 @@ Two key layouts are understood:
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
-import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import gunzip_text
-from ..functions.store import file_system, reachable
-from ..session import scratch_path
+from ..functions.store import reachable
+from .object_store import reader_of
 
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*:)?/*"
 # File names with the gzip suffix, and every other file name (Hadoop glob).
@@ -95,87 +95,10 @@ def require_visible_names(spark: SparkSession, root: str) -> None:
             f"rename or move these objects first: {', '.join(found)}")
 
 
-_ENTRY = "path string, folder boolean, hidden boolean, length long, modificationTime timestamp"
-
-
-def _is_hidden(name: str) -> bool:
-    return name.startswith(("_", ".")) or name.endswith("._COPYING_")
-
-
-def _lister(root: str):
-    """Task function: (path, hidden) rows of folders to the entries in them."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        client, base = file_system(root)
-        for batch in batches:
-            for folder, hidden in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                at = f"{base}/{folder}".rstrip("/")
-                found = client.get_file_info(pafs.FileSelector(at, allow_not_found=True))
-                # checksum files belong to the local file system, which hides them itself
-                found = [i for i in found if not (client.type_name == "local" and i.is_file
-                                                  and re.fullmatch(r"\..*\.crc", i.base_name))]
-                for n in range(0, len(found), 10_000):
-                    some = found[n:n + 10_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([i.path[len(base):].lstrip("/") for i in some], pa.string()),
-                         pa.array([i.type == pafs.FileType.Directory for i in some]),
-                         pa.array([hidden or _is_hidden(i.base_name) for i in some]),
-                         pa.array([i.size or 0 for i in some], pa.int64()),
-                         pa.array([i.mtime for i in some], pa.timestamp("us", "UTC"))],
-                        names=["path", "folder", "hidden", "length", "modificationTime"])
-
-    return run
-
-
 def hidden_objects(spark: SparkSession, root: str) -> DataFrame:
     """(object_key, path, length, modificationTime) of the non-empty objects below
-    ``root`` that Spark's file sources pass over because of a name.
-
-    The executors list folder by folder, one round for each level; the entries
-    are kept in the shared scratch folder and only their number comes back."""
-    found = None
-    level = spark.createDataFrame([("", False)], "path string, hidden boolean")
-    while True:
-        at = scratch_path(spark, "hidden")
-        level.mapInArrow(_lister(root), _ENTRY).write.parquet(at)
-        entries = spark.read.schema(_ENTRY).parquet(at)
-        some = entries.where(~F.col("folder") & F.col("hidden") & (F.col("length") > 0))
-        found = some if found is None else found.unionByName(some)
-        folders = entries.where("folder").select("path", "hidden")
-        n = folders.count()
-        if not n:
-            break
-        # a folder a row: dealt evenly, as a listing costs per folder
-        level = folders.repartition(max(1, min(n, spark.sparkContext.defaultParallelism * 4)))
-    return found.select(F.col("path").alias("object_key"),
-                        F.concat(F.lit(root.rstrip("/") + "/"), "path").alias("path"),
-                        "length", "modificationTime")
-
-
-def _reader(root: str):
-    """Task function: object keys to (object_key, content), one object a batch."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        client, base = file_system(root)
-        for batch in batches:
-            for key in batch.column(0).to_pylist():
-                with client.open_input_stream(f"{base}/{key}", compression=None) as f:
-                    body = f.read()
-                yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([body], pa.binary())],
-                                                 names=["object_key", "content"])
-
-    return run
-
-
-def scan_hidden(spark: SparkSession, root: str, hidden: DataFrame,
-                gzip_any_name: bool = False) -> DataFrame:
-    """(object_key, path, payload) of the objects that ``hidden_objects`` lists.
-
-    The payload is NULL where gzip content cannot be decoded."""
-    rows = hidden.select("object_key").repartition("object_key").mapInArrow(
-        _reader(root), "object_key string, content binary")
-    zipped = F.lit(True) if gzip_any_name else F.col("object_key").endswith(".gz")
-    return rows.select("object_key", F.concat(F.lit(root.rstrip("/") + "/"), "object_key").alias("path"),
-                       F.when(zipped, gunzip_text("content"))
-                       .otherwise(F.col("content").cast("string")).alias("payload"))
+    ``root`` that Spark's file sources pass over because of a name."""
+    return reader_of(spark, root, content=False, names="hidden").load().drop("content")
 
 
 def scan_objects(spark: SparkSession, root: str, layout: str = "files",
@@ -187,7 +110,16 @@ def scan_objects(spark: SparkSession, root: str, layout: str = "files",
     names (disjoint glob, so nothing is read twice) are read as bytes and
     gunzipped.  Their payload is NULL when the bytes are not gzip, so the
     object is quarantined rather than dropped.
+
+    In the ``files`` layout, where tasks can reach the store, objects of every name are read
+    (``object_store``), with ``length`` and ``modificationTime`` of what was read; there the payload of
+    any object that cannot be decoded is NULL.  Else Spark's file sources read, which pass over
+    hidden names.
     """
+    if layout == "files" and reachable(root):
+        stored = reader_of(spark, root, decode="gzip" if gzip_any_name else "suffix").load()
+        return stored.select("object_key", "path", F.col("content").cast("string").alias("payload"),
+                             "length", "modificationTime")
     reader = (spark.read.format("text")
               .option("wholetext", True)
               .option("recursiveFileLookup", True)
@@ -211,7 +143,11 @@ def scan_objects(spark: SparkSession, root: str, layout: str = "files",
 
 
 def list_objects(spark: SparkSession, root: str, layout: str = "files") -> DataFrame:
-    """(object_key, path, length, modificationTime) of every object; content is not read."""
+    """(object_key, path, length, modificationTime) of every non-empty object; content is not read.
+
+    Of every name in the ``files`` layout where tasks reach the store, else of visible ones."""
+    if layout == "files" and reachable(root):
+        return reader_of(spark, root, content=False).load().drop("content")
     files = (spark.read.format("binaryFile")
              .option("recursiveFileLookup", True)
              .load(root)

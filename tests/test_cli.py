@@ -38,7 +38,7 @@ def test_cli_stream_once(spark, scratch, monkeypatch, capsys):
               "--quarantine", f"{base}/q", "--checkpoint", f"{base}/ck",
               "--source-type", "source2", "--pii-keys", "name,email", "--layout", "keyed"])
     n_in = SO.list_objects(spark, f"{base}/in", "keyed").count()
-    assert SO.list_objects(spark, f"{base}/out", "keyed").count() == n_in > 0
+    assert SO.list_objects(spark, f"{base}/out").count() == n_in > 0
     assert "unaccounted objects (unreadable, skipped): 0" in capsys.readouterr().out
 
 

@@ -72,7 +72,7 @@ def test_json_job_files_layout(spark, scratch):
                                "email,phone")
     assert res.values == {"listed_objects": 2, "redacted_objects": 1, "quarantined_objects": 1,
                           "written_objects": 1}
-    out = SO.scan_objects(spark, f"{root}/out", layout="keyed").collect()
+    out = SO.scan_objects(spark, f"{root}/out").collect()
     assert [r["object_key"] for r in out] == ["anonymized/day=1/a.json"]
     assert '"email":""' in out[0]["payload"] and '"phone":""' in out[0]["payload"]
 
@@ -189,7 +189,7 @@ def test_json_runs_accumulate_and_never_purge_quarantined(spark, scratch):
     r2 = J.json_anonymize_job(spark, f"{root}/in2", f"{root}/out", f"{root}/q", "source1", ["email"])
     assert r2.values == {"listed_objects": 2, "redacted_objects": 1, "quarantined_objects": 1,
                          "written_objects": 1}
-    keys = sorted(r["object_key"] for r in SO.list_objects(spark, f"{root}/out", "keyed").collect())
+    keys = sorted(r["object_key"] for r in SO.list_objects(spark, f"{root}/out").collect())
     assert keys == ["anonymized/a.json", "anonymized/b.json", "anonymized/k.json"]  # run 1 kept
     assert [r["object_key"] for r in r2.manifest.collect()] == ["b.json"]       # k.json held
     q = spark.read.parquet(f"{root}/q").collect()
