@@ -6,8 +6,8 @@ that Spark's file sources pass over (``_x``, ``.x``, ``x._COPYING_``) are object
 *Scan.*  The partitions are key ranges: a folder and a range of the names in it, with all that lies
 below them.  They are found by splitting: the root is one range; a range of several names is cut into
 ranges of about equally many names, one that holds a single folder is replaced by that folder's names, in
-rounds, until there are ``splits`` ranges; then only those of over ``WIDE`` names are cut, until ``PROBES`` folders
-were looked at.  The driver's planning process holds one folder's names at a time and the ranges, never
+rounds, until there are ``splits`` ranges; then only those of over ``WIDE`` names, and up to twice ``splits``
+those of a few folders, are cut, until ``PROBES`` folders were looked at.  The driver's planning process holds one folder's names at a time and the ranges, never
 a list of the objects; the tasks list their own ranges.  So one deep, or one wide, folder is dealt to many
 tasks.  A wide folder beyond the first ``PROBES`` is read by one task.
 
@@ -103,10 +103,11 @@ def split_keys(client: pafs.FileSystem, base: str, splits: int = SPLITS, probes:
         enough = len(done) + len(todo) + 1 >= splits
         if len(names) == 1 and names[0].type == pafs.FileType.Directory:
             todo.append(KeyRange(f"{r.folder}/{names[0].base_name}".lstrip("/")))
-        elif len(names) < 2 or enough and len(names) <= wide:
+        elif len(names) < 2 or enough and len(names) <= wide and (
+                len(names) > 8 or len(done) + len(todo) > 2 * splits or all(i.is_file for i in names)):
             done.append(r)
         else:
-            parts = max(2, -(-len(names) // wide), (splits - len(done) - len(todo)) // (len(todo) + 1))
+            parts = max(len(names) if len(names) <= 8 else 2, -(-len(names) // wide), (splits - len(done) - len(todo)) // (len(todo) + 1))
             cuts = sorted({len(names) * i // min(parts, len(names)) for i in range(min(parts, len(names)))})
             edges = [r.low, *(names[c].base_name for c in cuts[1:]), r.high]
             # ranges of files alone are as small as a listing makes them
