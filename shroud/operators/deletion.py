@@ -55,3 +55,9 @@ def apply_deletions(customers: DataFrame, requests: DataFrame, strict: bool = Fa
     key = normalize_email("email") if strict else F.trim("email")
     return keyed_join(left, request_keys(requests, strict), key, REQ, "left_anti",
                       CUSTOMER_COLUMNS)
+
+
+def requested(customers: DataFrame, requests: DataFrame, strict: bool = False) -> DataFrame:
+    """The rows of ``customers`` (any columns with ``email``) that ``apply_deletions`` would drop."""
+    key = normalize_email("email") if strict else F.trim("email")
+    return keyed_join(customers, request_keys(requests, strict), key, REQ, "left_semi", customers.columns)

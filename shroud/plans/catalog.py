@@ -735,6 +735,17 @@ def q_deletion_kept(spark, sf):
     return K.read_by_format(spark, _deletion_run(spark, sf).outputs["kept"], "gzip", SC.CUSTOMERS)
 
 
+@register("deletion_by_file_kept", ORACLES["delete_requested"])
+def q_deletion_by_file(spark, sf):
+    base = scratch_path(spark, "deletion-by-file")
+    first = f"{base}/lake/orc/{J.VERSION_PREFIX}2020-01-01"
+    # files by e-mail, so that a request hits few of them
+    K.write_orc(fx.customers(spark, sf).distinct().repartitionByRange(16, "email"), first)
+    res = J.deletion_by_file_job(spark, first, fx.deletion_requests(spark, sf), out_root=f"{base}/lake",
+                                 fmt="orc", as_of=fx.AS_OF)
+    return J.read_version(spark, res.outputs["kept"], "orc")
+
+
 @register("deletion_run", _metric_sql("deletion", [
     ("source_rows", "select count(*) from src"),
     ("request_rows", "select count(*) from (select distinct email from dels where email is not null)"),

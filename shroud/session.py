@@ -99,3 +99,44 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(conf).delete(p, True))
+
+
+def _store(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names directly in a folder that is known to hold few; none where there is no folder."""
+    p, fs = _store(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    p, fs = _store(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_small(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file and put it in place of ``path`` by one rename, so that a reader finds the old
+    content or the new."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    p, fs = _store(spark, path)
+    fs.mkdirs(p.getParent())
+    new = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(new)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    over = gateway.new_array(rename, 1)
+    over[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(
+        fs.makeQualified(new), fs.makeQualified(p), over)

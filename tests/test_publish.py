@@ -1,0 +1,155 @@
+"""Two-phase audit refresh, content checks, deletion by file."""
+
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from shroud import fixtures as fx
+from shroud import schemas
+from shroud.operators import audit as AU
+from shroud.operators import deletion
+from shroud.operators import metrics as M
+from shroud.plans import jobs as J
+from shroud.sinks import files as K
+from shroud.sinks import manifest as MF
+
+SF = "/root/testdata/sf0.001"
+
+
+def _audit(spark, source, ids):
+    return spark.createDataFrame([(source, f"{source}-{i}", "e", "c", "d") for i in ids], schemas.AUDIT)
+
+
+def _ids(spark, root):
+    return sorted(r.source_id for r in AU.read_audit(spark, root).collect())
+
+
+def test_a_refresh_that_fails_leaves_the_old_audit(spark, scratch, monkeypatch):
+    root = scratch("audit")
+    AU.refresh_audit(_audit(spark, "a", [1, 2]), root, "a")
+    AU.refresh_audit(_audit(spark, "b/c d", [7]), root, "b/c d")
+    before = _ids(spark, root)
+    assert before == ["a-1", "a-2", "b/c d-7"]
+
+    def lost(*args):
+        raise RuntimeError("lost between the phases")
+
+    monkeypatch.setattr(AU, "_swap", lost)
+    with pytest.raises(RuntimeError):
+        AU.refresh_audit(_audit(spark, "a", [3]), root, "a")
+    assert _ids(spark, root) == before
+    monkeypatch.undo()
+    remove = AU.remove_path
+    monkeypatch.setattr(AU, "remove_path", lost)   # after the swap: the new rows are there
+    with pytest.raises(RuntimeError):
+        AU.refresh_audit(_audit(spark, "a", [4]), root, "a")
+    assert _ids(spark, root) == ["a-4", "b/c d-7"]
+    monkeypatch.setattr(AU, "remove_path", remove)
+    AU.refresh_audit(_audit(spark, "a", []), root, "a")
+    assert _ids(spark, root) == ["b/c d-7"]
+    assert len(os.listdir(f"{root.replace('file:', '')}/data/a")) == 1  # nothing of the failed runs is left
+
+
+def test_a_reader_that_began_before_a_swap_is_whole(spark, scratch):
+    root = scratch("audit-read")
+    AU.refresh_audit(_audit(spark, "a", range(5)), root, "a")
+    AU.refresh_audit(_audit(spark, "a", range(5, 9)), root, "a")
+    assert _ids(spark, root) == [f"a-{i}" for i in range(5, 9)]
+
+
+def test_tables_of_the_former_layout(spark, scratch):
+    root = scratch("audit-old")
+    for s, ids in (("a", [1]), ("b", [2])):
+        _audit(spark, s, ids).drop("source").write.parquet(f"{root}/source={s}")
+    assert _ids(spark, root) == ["a-1", "b-2"]
+    AU.refresh_audit(_audit(spark, "a", [3]), root, "a")
+    assert _ids(spark, root) == ["a-3", "b-2"]
+
+
+def test_content_tells_swapped_rows(spark):
+    a = spark.createDataFrame([("1", None), (None, "1"), ("x", "y"), ("x", "y")], "a string, b string")
+    same = a.repartition(3)
+    assert M.content(a) == M.content(same)
+    for rows in ([("1", None), ("1", None), ("x", "y"), ("x", "y")],       # one lost, one doubled
+                 [(None, "1"), (None, "1"), ("x", "y"), ("x", "y")],
+                 [("1", None), (None, "1"), ("x", "y"), ("xy", "")],
+                 [("1", ""), (None, "1"), ("x", "y"), ("x", "y")]):
+        assert M.content(spark.createDataFrame(rows, a.schema)) != M.content(a)
+    blank = spark.createDataFrame([("1", ""), ("", "1"), ("x", "y"), ("x", "y")], a.schema)
+    assert M.content(blank, blank_is_null=True) == M.content(a, blank_is_null=True)
+    assert M.content(a.limit(0))[0] == 0
+
+
+@pytest.mark.parametrize("fmt", ["orc", "gzip"])
+def test_one_swapped_row_fails_the_job(spark, scratch, monkeypatch, fmt):
+    base = scratch("swap")
+    write = K.write_by_format
+
+    def swapping(df, path, fmt, **kw):
+        rows = df.collect()   # the last row is lost, the first written twice; counts agree
+        write(df, path, fmt, **kw)
+        spark.createDataFrame([*rows[:-1], rows[0]], df.schema).write.format("noop").mode("append").save()
+        write(spark.createDataFrame([*rows[:-1], rows[0]], df.schema), path, fmt, **kw)
+
+    customers, requests = fx.customers(spark, SF), fx.deletion_requests(spark, SF)
+    whole = J.deletion_job(spark, customers, requests, out_root=f"{base}/a", fmt=fmt, as_of="2024-01-01")
+    monkeypatch.setattr(K, "write_by_format", swapping)
+    with pytest.raises(J.VerificationError, match="new version"):
+        J.deletion_job(spark, customers, requests, out_root=f"{base}/b", fmt=fmt, as_of="2024-01-01")
+    assert whole.values["kept_rows"] > 2
+
+
+def _version(spark, base, fmt, files=8):
+    first = f"{base}/lake/{fmt}/{J.VERSION_PREFIX}2020-01-01"
+    rows = fx.customers(spark, SF).where("email is not null").distinct()
+    rows = rows.unionByName(rows.limit(1).withColumns({"id": F.lit("n"), "email": F.lit(None).cast("string")}))
+    K.write_by_format(rows.repartitionByRange(files, "email"), first, fmt)
+    return first, rows
+
+
+def _bytes(folder):
+    return sum(os.path.getsize(f) for f in glob.glob(f"{folder.replace('file:', '')}/part-*"))
+
+
+@pytest.mark.parametrize("fmt", ["orc", "gzip"])
+def test_deletion_rewrites_only_files_that_were_hit(spark, scratch, fmt):
+    base = scratch("by file")  # a blank in the path
+    first, rows = _version(spark, base, fmt)
+    some = sorted(r.email for r in rows.where("email is not null").select("email").collect())[:2]
+    requests = spark.createDataFrame([(e.upper(),) for e in some] + [(None,), ("no@where",)], "email string")
+    res = J.deletion_by_file_job(spark, first, requests, out_root=f"{base}/lake", fmt=fmt, as_of="2021-01-01",
+                                 strict=True)
+    back = J.read_version(spark, res.outputs["kept"], fmt)
+    written = K.read_by_format(spark, first, fmt, schemas.CUSTOMERS)
+    want = M.content(deletion.apply_deletions(written, requests, strict=True), blank_is_null=True)
+    assert M.content(back, blank_is_null=True) == want
+    v = res.values
+    assert (v["files"], v["rewritten_files"], v["carried_files"], v["deleted_rows"]) == (8, 1, 7, 2)
+    assert _bytes(res.outputs["kept"]) < 0.3 * _bytes(first)
+    # the purge spares what is carried, and the new version is whole after it
+    assert MF.purge(spark, res.manifest)["deleted"] >= 1
+    again = J.read_version(spark, res.outputs["kept"], fmt)
+    assert M.content(again, blank_is_null=True) == want
+    # a second deletion reads the files of both versions
+    last = sorted(r.email for r in again.where("email is not null").select("email").collect())[-1]
+    two = J.deletion_by_file_job(spark, res.outputs["kept"], spark.createDataFrame([(last,)], "email string"),
+                                 out_root=f"{base}/lake", fmt=fmt, as_of="2022-01-01", strict=True)
+    assert two.values["rewritten_files"] == 1 and two.values["deleted_rows"] == 1
+    left = J.read_version(spark, two.outputs["kept"], fmt)
+    assert left.count() == want[0] - 1 and left.where(F.col("email") == last).count() == 0
+
+
+def test_deletion_by_file_edges(spark, scratch):
+    base = scratch("by-file-edges")
+    first, rows = _version(spark, base, "orc")
+    none = spark.createDataFrame([], schemas.DELETIONS)
+    res = J.deletion_by_file_job(spark, first, none, out_root=f"{base}/lake", fmt="orc", as_of="2021-01-01")
+    assert res.values["rewritten_files"] == 0 and J.read_version(spark, res.outputs["kept"], "orc").count() == rows.count()
+    everyone = rows.select("email")
+    two = J.deletion_by_file_job(spark, res.outputs["kept"], everyone, out_root=f"{base}/lake", fmt="orc",
+                                 as_of="2022-01-01", strict=True)
+    assert [r.id for r in J.read_version(spark, two.outputs["kept"], "orc").collect()] == ["n"]
+    with pytest.raises(ValueError):
+        J.deletion_by_file_job(spark, first, none, out_root=f"{base}/lake", fmt="orc", as_of="2020-01-01")
