@@ -296,16 +296,30 @@ def cut_spans(docs: DataFrame, items: DataFrame, *, text_col: str = "text",
             last = edges[e - 1][1]
         return "".join([*out, text[last:]])
 
-    def cut(phrases: Phrases):
+    # the spans of all blocks are found in the uncut text, merged and cut once
+    spans_col = unused(docs, "spans")
+    rows = docs.withColumn(spans_col, F.array().cast(SPANS))
+    schema = rows.schema
+
+    def add(phrases: Phrases):
         def run(batches):
             for batch in batches:
                 for part in slices(batch, at):
-                    texts = part.column(at).to_pylist()
-                    _, spans, _ = search(as_bytes(part.column(at)).to_pylist(), phrases)
-                    new = [keep(t, s) if s else t for t, s in zip(texts, spans)]
-                    yield part.set_column(at, part.schema.field(at), pa.array(new, part.schema.field(at).type))
+                    _, found, _ = search(as_bytes(part.column(at)).to_pylist(), phrases)
+                    held = part.column(part.num_columns - 1).to_pylist()
+                    spans = pa.array([merge_spans(a, b) if a else b for a, b in zip(held, found)],
+                                     pa.list_(pa.list_(pa.int64())))
+                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], spans], names=schema.names)
         return run
 
+    def cut(batches):
+        for batch in batches:
+            for part in slices(batch, at):
+                new = [keep(t, s) if s else t
+                       for t, s in zip(part.column(at).to_pylist(), part.column(part.num_columns - 1).to_pylist())]
+                out = part.set_column(at, part.schema.field(at), pa.array(new, part.schema.field(at).type))
+                yield pa.RecordBatch.from_arrays(out.columns[:-1], names=docs.columns)
+
     for phrases in phrase_blocks(items, item_col, item_text, width):
-        docs = docs.mapInArrow(cut(phrases), docs.schema)
-    return docs
+        rows = rows.mapInArrow(add(phrases), schema)
+    return rows.mapInArrow(cut, docs.schema)

@@ -3,11 +3,13 @@
 Text becomes a normalised TF-IDF vector of hashed letter bigrams and trigrams (runs of other
 characters are one boundary).  Each language has several centroids, clustered by spherical
 k-means, as one language holds several styles.  A text gets the language of the centroid of
-highest cosine, and is rejected if that cosine is less than half of the lowest that training
-texts of its length reach.
+highest cosine, and is rejected if that cosine is less than half of what all but one in a hundred
+training texts of its length reach.
 
-The centroids are fit on a bounded sample of labelled rows: at most ``PER_LANG`` a language and
-``MOST`` in all, chosen by a seeded hash among texts of at most ``LONGEST`` bytes.  Document
+The centroids are fit on a bounded sample of labelled rows: about ``PER_LANG`` a language and
+``MOST`` at most in all, chosen by a seeded hash of the text among texts of every length.  Their n-grams are
+counted in the tasks, whole texts, and only the counts (``DIMS`` a text at most) reach the driver.  The
+first words of the sampled texts tell how near short texts come, for the rejection of such.  Document
 frequencies are counted over all rows that may be learnt from, whole texts, in one pass.  The
 model is the only thing that is sent to the tasks and its size is fixed by ``DIMS`` and the number
 of centroids.  Prediction reads whole texts, in one pass without a shuffle.
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import slices
 
-DIMS, PER_LANG, MOST, LONGEST, CENTROIDS, SEED = 8192, 1000, 8000, 16384, 4, 8
+DIMS, PER_LANG, MOST, CENTROIDS, SEED = 8192, 1000, 8000, 4, 8
 
 
 @cache
@@ -91,34 +93,38 @@ def _clusters(x: np.ndarray, k: int, rng: np.random.RandomState) -> np.ndarray:
     return c
 
 
-def fit(samples: list[tuple[str, str]], frequency: tuple[int, np.ndarray],
+def fit(samples: list[tuple], frequency: tuple[int, np.ndarray], pieces: list[tuple] = (),
         centroids: int = CENTROIDS, seed: int = SEED) -> Model:
-    """A model of (language, text) samples; ``frequency``: texts, and texts with each n-gram."""
-    found = []  # language, buckets, weights, number of n-grams: sparse, a row is mostly zeros
+    """A model of (language, n-gram buckets, counts) samples; ``frequency``: texts, and texts with each n-gram;
+    ``pieces``: samples that only tell how near short texts come."""
     total, seen = frequency
     dims = len(seen)
-    for lang, t in sorted(samples):
-        counts = gram_counts(t, dims)
-        if counts is not None:
-            at = np.flatnonzero(counts)
-            found.append((lang, at.astype(np.int32), (1 + np.log(counts[at])).astype(np.float32), int(counts.sum())))
     idf = np.log((1 + total) / (1 + seen)) + 1
+
+    def rows(some: list) -> np.ndarray:
+        x = np.zeros((len(some), dims), np.float32)
+        for i, (_, at, n) in enumerate(some):
+            x[i, at] = (1 + np.log(n)) * idf[at]
+        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+
     rng, made, names, reach = np.random.RandomState(seed), [], [], {}
-    for lang in sorted({r[0] for r in found}):
-        own = [r for r in found if r[0] == lang]
-        x = np.zeros((len(own), dims), np.float32)
-        for i, (_, at, tf, _) in enumerate(own):
-            x[i, at] = tf * idf[at]
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for lang in sorted({r[0] for r in samples}):
+        own = [r for r in samples if r[0] == lang]
+        x = rows(own)
         c = _clusters(x, centroids, rng)
         made.append(c)
         names += [lang] * len(c)
-        for (*_, n), near in zip(own, (x @ c.T).max(axis=1)):
-            reach.setdefault(n.bit_length(), []).append(float(near))
-    floor, least = np.zeros(65), 0.0
-    for size in range(65):  # longer texts have higher cosines; sizes with few samples take the one below
-        if len(reach.get(size, [])) >= 10:
-            least = min(reach[size]) / 2
+        short = [r for r in pieces if r[0] == lang]
+        near = np.concatenate([(x @ c.T).max(axis=1), (rows(short) @ c.T).max(axis=1) if short else np.zeros(0)])
+        for (*_, n), cosine in zip(own + short, near):
+            reach.setdefault(int(n.sum()).bit_length(), []).append(float(cosine))
+    # longer texts have higher cosines; sizes with few samples take the size below, the smallest the first
+    filled = [size for size in range(65) if len(reach.get(size, [])) >= 10]
+    # a few odd texts of a size do not set its floor
+    low = {size: float(np.quantile(reach[size], 0.01)) / 2 for size in filled}
+    floor, least = np.zeros(65), low[filled[0]] if filled else 0.0
+    for size in range(65):
+        least = low.get(size, least)
         floor[size] = least
     return Model(idf, np.vstack(made).T.astype(np.float64) if made else np.zeros((dims, 0)), names, floor)
 
@@ -150,27 +156,59 @@ def document_frequency(docs: DataFrame, learn: Column, *, text_col: str = "text"
     return n, seen
 
 
-def sample(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text",
-           lang_col: str = "lang", per_lang: int = PER_LANG, most: int = MOST,
-           longest: int = LONGEST, seed: int = SEED) -> list[tuple[str, str]]:
-    """The bounded training sample."""
-    rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")
-                      & (F.octet_length(text_col) <= longest))
-    counts = rows.groupBy(F.col(lang_col).alias("lang")).count().collect()
+def _first_words(text: str) -> list[str]:
+    """Its first 1, 2, 4 and 8 words, where there are more."""
+    words = text.split(None, 9)
+    return [" ".join(words[:n]) for n in (1, 2, 4, 8) if n < len(words)]
+
+
+def sample(docs: DataFrame, learn: Column, *, text_col: str = "text", lang_col: str = "lang",
+           per_lang: int = PER_LANG, most: int = MOST, seed: int = SEED, dims: int = DIMS
+           ) -> tuple[list[tuple], list[tuple]]:
+    """The bounded training sample, and pieces of its texts: (language, n-gram buckets, counts).
+
+    Texts of any length are counted whole, where they lie; a sample is at most ``dims`` numbers.  Equal
+    texts of a language are drawn, and taken, once."""
+    # whoever has the same text has the same draw, so copies do not thin out a language
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col(text_col)), F.lit(1 << 30)) / (1 << 30)
+    rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), draw.alias("draw"))
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n")).collect()
     if not counts:
-        return []
+        return [], []
     quota = min(per_lang, max(1, most // len(counts)))
-    share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(1.0, quota / r["count"]))))
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)), F.lit(1 << 30)) / (1 << 30)
-    picked = rows.where(draw < share[F.col(lang_col)])
-    return [(r[0], r[1]) for r in picked.select(lang_col, text_col).limit(2 * most).collect()]
+    # a margin, as the number of texts is an estimate; the order below holds the bound
+    share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(1.0, 1.2 * quota / max(1, r["n"])))))
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, 1):
+                out = []
+                for lang, text, at in zip(*(c.to_pylist() for c in part.columns)):
+                    for nth, piece in enumerate([text, *_first_words(text)]):
+                        n = gram_counts(piece, dims)
+                        if n is not None:
+                            out.append((lang, at, nth, np.flatnonzero(n), n[n > 0]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 5, (
+                        pa.string(), pa.float64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64())))],
+                    names=["lang", "draw", "nth", "at", "n"])
+
+    picked = (rows.where(F.col("draw") < share[F.col("lang")])
+              .mapInArrow(run, "lang string, draw double, nth int, at array<int>, n array<long>")
+              .dropDuplicates(["lang", "draw", "nth"]))
+    kept = []
+    for whole, limit in ((F.col("nth") == 0, most), (F.col("nth") > 0, most)):
+        found = picked.where(whole).orderBy("draw", "lang", "nth").limit(limit).collect()
+        kept.append([(r.lang, np.array(r.at, np.int32), np.array(r.n, np.int64)) for r in found])
+    return kept[0], kept[1]
 
 
-def train(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang") -> Model:
+def train(docs: DataFrame, learn: Column, *, text_col: str = "text", lang_col: str = "lang") -> Model:
     """The model of the rows that ``learn`` holds for."""
     frequency = document_frequency(docs, learn, text_col=text_col, lang_col=lang_col)
-    return fit(sample(docs, learn, id_col=id_col, text_col=text_col, lang_col=lang_col), frequency)
+    found, pieces = sample(docs, learn, text_col=text_col, lang_col=lang_col)
+    return fit(found, frequency, pieces)
 
 
 def identify(docs: DataFrame, model: Model, keep: list, text_col: str = "text") -> DataFrame:

@@ -330,6 +330,78 @@ def test_language_cases(spark, odd):
     assert whole.sum() == 2 * (2 << 20) + 2 - 1  # bigrams and trigrams of the padded line
 
 
+def _prose(rng, words, n):
+    return " ".join(rng.choice(words) for _ in range(n))
+
+
+def test_languages_of_long_texts_are_learnt(spark):
+    """Texts over any length teach, and clean documents of such a language stay."""
+    rng = random.Random(1)
+    de = ["der", "Wald", "und", "nicht", "Straße", "über", "schön", "Mädchen", "gehen", "wir", "heute", "zurück"]
+    en = ["the", "wood", "and", "not", "street", "over", "nice", "girl", "walk", "we", "today", "back"]
+    rows = [(i, _prose(rng, de, 3500), "de") for i in range(20)] + [(100 + i, _prose(rng, en, 40), "en") for i in range(20)]
+    assert all(len(t.encode()) > 16384 for _, t, y in rows if y == "de")
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(df, F.lit(True))
+    assert langid.drop_rejected(df, model).count() == 40
+    got = langid.identify(df, model, ["doc_id", "lang"]).collect()
+    assert all(r.lang == r.lang_pred and not r.rejected for r in got)
+    assert model.predict("wir gehen heute über die Straße")[0] == "de"
+    assert not model.predict("wir gehen")[2] and not model.predict("the street")[2]
+
+
+def test_unlearnt_scripts_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.train(docs, F.lit(True))
+    for text in ("Это", "你好", "ไทย", "Это простой русский текст о погоде и природе", "你好世界今天天气很好我们去公园散步吧" * 3,
+                 "ภาษาไทยเป็นภาษาที่มีวรรณยุกต์", "Это " * 5000):
+        assert model.predict(text)[2], text[:20]
+    clean = docs.where("lang is not null")
+    rejected = langid.identify(clean, model, ["doc_id"]).where("rejected and lang_pred <> 'und'").count()
+    assert rejected <= 0.002 * clean.count()
+
+
+def test_one_repeated_row_does_not_crowd_out_a_language(spark):
+    rng = random.Random(2)
+    rows = [(1, "same old words again", "en")] * 3000
+    rows += [(10 + i, _prose(rng, ["the", "wood", "street", "girl", "today"], 30), "en") for i in range(15)]
+    rows += [(50 + i, _prose(rng, ["der", "Wald", "Straße", "heute", "zurück"], 30), "de") for i in range(3)]
+    found, pieces = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4),
+                                  F.lit(True), per_lang=20)
+    langs = [lang for lang, *_ in found]
+    assert langs.count("en") == 16 and langs.count("de") == 3 and len(pieces) > 19
+
+
+def test_predictions_like_brute_force(spark, odd):
+    """Centroids are means of normalised TF-IDF rows; the language is that of the highest cosine."""
+    import numpy as np
+    docs = odd.where("lang is not null")
+    model = langid.fit(langid.sample(docs, F.lit(True))[0], langid.document_frequency(docs, F.lit(True)), centroids=1)
+    texts = {}
+    for r in docs.collect():
+        if langid.gram_counts(r.text) is not None:
+            texts.setdefault(r.lang, set()).add(r.text)
+    n, seen = langid.document_frequency(docs, F.lit(True))
+    idf = np.log((1 + n) / (1 + seen)) + 1
+
+    def vector(t):
+        c = langid.gram_counts(t)
+        v = np.where(c > 0, (1 + np.log(np.maximum(c, 1))) * idf, 0)
+        return v / np.linalg.norm(v)
+
+    centre = {}
+    for lang, some in texts.items():
+        c = sum(vector(t) for t in some)
+        centre[lang] = c / np.linalg.norm(c)
+    for r in odd.collect():
+        if langid.gram_counts(r.text) is None:
+            assert model.predict(r.text)[0] == "und"
+        else:
+            cosine = {lang: float(vector(r.text) @ c) for lang, c in centre.items()}
+            lang, score, _ = model.predict(r.text)
+            assert abs(score - max(cosine.values())) < 1e-5 and cosine[lang] > max(cosine.values()) - 1e-5
+
+
 def toxic_rows(n=600):
     rng = random.Random(13)
     bad = ["vile", "rotten", "nasty"]

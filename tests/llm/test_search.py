@@ -137,6 +137,23 @@ def test_leaks_on_tables(spark):
     assert decontaminate.drop_leaks(df, bench.limit(0)).count() == df.count()
 
 
+@pytest.mark.parametrize("block", [1, 60, 4 << 20])
+def test_cut_spans_of_overlapping_items(spark, block):
+    """Items of different blocks that share words: everything that any of them hits goes."""
+    words_ = [f"w{i}" for i in range(16)]
+    items = spark.createDataFrame([(1, " ".join(words_[:10])), (2, " ".join(words_[6:])), (3, "x y")],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a " + " ".join(words_) + " b", 7), (2, "X, y z", 8), (3, None, 9)],
+                                 "doc_id long, text string, spans long")
+    decontaminate.phrase_blocks.__defaults__ = (block,)
+    try:
+        got = decontaminate.cut_spans(docs, items)
+        assert got.schema == docs.schema
+        assert sorted(map(tuple, got.collect())) == [(1, "a  b", 7), (2, " z", 8), (3, None, 9)]
+    finally:
+        decontaminate.phrase_blocks.__defaults__ = (decontaminate.BLOCK,)
+
+
 # ------------------------------------------------------------------ SimHash
 
 def fingerprint_brute(text, n=4):
