@@ -153,11 +153,11 @@ def service(doc: Column, keys: list[str], strict: bool = False,
         return ~present | _all(V.as_array(em), lambda e: V.as_object(e).isNotNull())
 
     def item_ok(y: Column) -> Column:
-        shaped = is_text(y) | (V.as_object(y).isNotNull()
-                               & (~has_data(y) | attributes(y).isNotNull()))
+        shaped = ~has_data(y) | attributes(y).isNotNull()
         if EMAILS in keys:
-            shaped = shaped & (is_text(y) | ~has_data(y) | emails_ok(y))
-        return shaped
+            shaped = shaped & (~has_data(y) | emails_ok(y))
+        # only what is no object is asked for its type, which spells out a whole schema
+        return F.when(V.as_object(y).isNotNull(), shaped).otherwise(is_text(y))
 
     checks: list[Check] = [("missing_root_array", items.isNotNull())]
     if not keys:
@@ -181,7 +181,8 @@ def service(doc: Column, keys: list[str], strict: bool = False,
         d = data(y)
         new_attrs = F.transform_values(attributes(y), new_value)
         rewritten = V.pack(V.put(yo, DATA, V.pack(V.put(d, ATTRIBUTES, V.pack(new_attrs)))))
-        return F.when(is_text(y) | ~has_data(y), y).otherwise(rewritten)
+        # a text has no ``data`` either
+        return F.when(has_data(y), rewritten).otherwise(y)
 
     return V.pack(V.put(root, root_key, V.pack(F.transform(items, fix)))), checks
 
@@ -254,6 +255,10 @@ PRESETS: dict[str, Preset] = {
 }
 
 
+#: Bytes of a document beyond which Spark has no VARIANT of it (fixed value of Spark 4.1).
+LARGEST = 128 << 20
+
+
 def redact(df: DataFrame, preset: str, pii_keys: list[str] | str,
            payload_col: str = "payload", strict: bool = False,
            root_key: str | None = None) -> DataFrame:
@@ -273,7 +278,8 @@ def redact(df: DataFrame, preset: str, pii_keys: list[str] | str,
         out_doc, checks = p.compile(doc, keys, strict, root_key=root_key)
     else:
         out_doc, checks = p.compile(doc, keys, strict)
-    reason = F.when(doc.isNull(), F.lit("unparseable_json"))
+    reason = F.when(doc.isNull() & (F.octet_length(payload_col) > LARGEST), F.lit("document_too_large"))
+    reason = reason.when(doc.isNull(), F.lit("unparseable_json"))
     for name, ok in checks:
         reason = reason.when(~ok, F.lit(name))
     reason = reason.otherwise(F.lit(None).cast("string"))

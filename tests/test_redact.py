@@ -136,3 +136,27 @@ def test_root_key_override(spark):
     out = json.loads(r["redacted"])
     conv = out["chats"][0]["payload"]["conversations"][0]
     assert conv["guest"]["name"] == TOKEN and conv["messages"][0]["body"] == "(Anonymized PII)"
+
+
+def test_a_document_over_the_limit_has_its_own_reason(spark, monkeypatch):
+    from shroud.operators import redact as R
+
+    monkeypatch.setattr(R, "LARGEST", 20)
+    df = spark.createDataFrame([("{x" + "y" * 30,), ("{x",), ('{"results": []}' + " " * 30,)], "payload string")
+    assert [r.reason for r in R.redact(df, "clickstream", ["email"]).collect()] == [
+        "document_too_large", "unparseable_json", None]
+
+
+def test_service_elements_are_typed_only_where_they_are_no_object(spark):
+    """Texts stay, other scalars, arrays and nulls are refused, objects are never spelled out."""
+    import json
+
+    from shroud.operators import redact as R
+
+    rows = [([{"data": {"attributes": {"name": "n", "deep": {"a": [1]}}}}, "text"], None), (["a"], None),
+            ([1], "bad_item"), ([None], "bad_item"), ([[1]], "bad_item"), ([True], "bad_item"),
+            ([{"data": 1}], "bad_item"), ([{"other": 1}], None), ([], None)]
+    df = spark.createDataFrame([(json.dumps({R.SERVICE_ROOT: items}), i) for i, (items, _) in enumerate(rows)],
+                               "payload string, n int")
+    got = {r.n: r.reason for r in R.redact(df, "service", ["name"]).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(rows)}
