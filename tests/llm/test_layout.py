@@ -301,6 +301,17 @@ def test_secrets_by_their_looks(spark):
     assert not set(secrets.SHAPE) & {"name_near", "assigned", "dummy_near", "quoted"}
 
 
+def test_many_beginnings_of_web_tokens_take_linear_time(spark):
+    import time
+    took = []
+    for n in (100_000, 400_000):
+        df = spark.createDataFrame([(1, "eyJ" * n, "s"), (2, "eyJa" * n + ".", "s")], "doc_id long, text string, source string")
+        start = time.time()
+        assert len(secrets.candidates(df).collect()) == 2
+        took.append(time.time() - start)
+    assert took[1] < 60 and took[1] < 8 * took[0] + 5
+
+
 # ------------------------------------------------------------------ models
 
 def test_language_accuracy_on_held_out(spark):
