@@ -101,7 +101,7 @@ def fit(samples: list[tuple], frequency: tuple[int, np.ndarray], pieces: list[tu
     dims = len(seen)
     idf = np.log((1 + total) / (1 + seen)) + 1
 
-    def rows(some: list) -> np.ndarray:
+    def rows(some: list) -> np.ndarray:  # of one language, so a bounded part of the sample
         x = np.zeros((len(some), dims), np.float32)
         for i, (_, at, n) in enumerate(some):
             x[i, at] = (1 + np.log(n)) * idf[at]
@@ -188,19 +188,20 @@ def sample(docs: DataFrame, learn: Column, *, text_col: str = "text", lang_col:
                     for nth, piece in enumerate([text, *_first_words(text)]):
                         n = gram_counts(piece, dims)
                         if n is not None:
-                            out.append((lang, at, nth, np.flatnonzero(n), n[n > 0]))
+                            out.append((lang, at, nth, np.flatnonzero(n).astype(np.int32).tobytes(),
+                                        np.minimum(n[n > 0], 2 ** 31 - 1).astype(np.int32).tobytes()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 5, (
-                        pa.string(), pa.float64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64())))],
+                        pa.string(), pa.float64(), pa.int32(), pa.binary(), pa.binary()))],
                     names=["lang", "draw", "nth", "at", "n"])
 
     picked = (rows.where(F.col("draw") < share[F.col("lang")])
-              .mapInArrow(run, "lang string, draw double, nth int, at array<int>, n array<long>")
+              .mapInArrow(run, "lang string, draw double, nth int, at binary, n binary")
               .dropDuplicates(["lang", "draw", "nth"]))
     kept = []
     for whole, limit in ((F.col("nth") == 0, most), (F.col("nth") > 0, most)):
         found = picked.where(whole).orderBy("draw", "lang", "nth").limit(limit).collect()
-        kept.append([(r.lang, np.array(r.at, np.int32), np.array(r.n, np.int64)) for r in found])
+        kept.append([(r.lang, np.frombuffer(bytes(r.at), np.int32), np.frombuffer(bytes(r.n), np.int32)) for r in found])
     return kept[0], kept[1]
 
 
