@@ -21,6 +21,7 @@ columns make no difference.
 
 from __future__ import annotations
 
+import zlib
 from functools import cache
 
 import numpy as np
@@ -105,7 +106,8 @@ def fit(samples: list[tuple], frequency: tuple[int, np.ndarray], pieces: list[tu
         x = np.zeros((len(some), dims), np.float32)
         for i, (_, at, n) in enumerate(some):
             x[i, at] = (1 + np.log(n)) * idf[at]
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+            x[i] /= max(np.linalg.norm(x[i]), 1e-12)
+        return x
 
     rng, made, names, reach = np.random.RandomState(seed), [], [], {}
     for lang in sorted({r[0] for r in samples}):
@@ -114,8 +116,10 @@ def fit(samples: list[tuple], frequency: tuple[int, np.ndarray], pieces: list[tu
         c = _clusters(x, centroids, rng)
         made.append(c)
         names += [lang] * len(c)
+        near = [(x @ c.T).max(axis=1)]
+        del x
         short = [r for r in pieces if r[0] == lang]
-        near = np.concatenate([(x @ c.T).max(axis=1), (rows(short) @ c.T).max(axis=1) if short else np.zeros(0)])
+        near = np.concatenate(near + [(rows(short[i:i + 128]) @ c.T).max(axis=1) for i in range(0, len(short), 128)])
         for (*_, n), cosine in zip(own + short, near):
             reach.setdefault(int(n.sum()).bit_length(), []).append(float(cosine))
     # longer texts have higher cosines; sizes with few samples take the size below, the smallest the first
@@ -177,8 +181,7 @@ def sample(docs: DataFrame, learn: Column, *, text_col: str = "text", lang_col:
     if not counts:
         return [], []
     quota = min(per_lang, max(1, most // len(counts)))
-    # a margin, as the number of texts is an estimate; the order below holds the bound
-    share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(1.0, 1.2 * quota / max(1, r["n"])))))
+    share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(1.0, quota / max(1, r["n"])))))
 
     def run(batches):
         for batch in batches:
@@ -188,20 +191,20 @@ def sample(docs: DataFrame, learn: Column, *, text_col: str = "text", lang_col:
                     for nth, piece in enumerate([text, *_first_words(text)]):
                         n = gram_counts(piece, dims)
                         if n is not None:
-                            out.append((lang, at, nth, np.flatnonzero(n).astype(np.int32).tobytes(),
-                                        np.minimum(n[n > 0], 2 ** 31 - 1).astype(np.int32).tobytes()))
+                            found = np.stack([np.flatnonzero(n), np.minimum(n[n > 0], 2 ** 31 - 1)])
+                            out.append((lang, at, nth, zlib.compress(found.astype(np.int32).tobytes(), 1)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 5, (
-                        pa.string(), pa.float64(), pa.int32(), pa.binary(), pa.binary()))],
-                    names=["lang", "draw", "nth", "at", "n"])
+                    [pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 4, (
+                        pa.string(), pa.float64(), pa.int32(), pa.binary()))],
+                    names=["lang", "draw", "nth", "grams"])
 
     picked = (rows.where(F.col("draw") < share[F.col("lang")])
-              .mapInArrow(run, "lang string, draw double, nth int, at binary, n binary")
+              .mapInArrow(run, "lang string, draw double, nth int, grams binary")
               .dropDuplicates(["lang", "draw", "nth"]))
     kept = []
-    for whole, limit in ((F.col("nth") == 0, most), (F.col("nth") > 0, most)):
+    for whole, limit in ((F.col("nth") == 0, most), (F.col("nth") > 0, most // 4)):
         found = picked.where(whole).orderBy("draw", "lang", "nth").limit(limit).collect()
-        kept.append([(r.lang, np.frombuffer(bytes(r.at), np.int32), np.frombuffer(bytes(r.n), np.int32)) for r in found])
+        kept.append([(r.lang, *np.frombuffer(zlib.decompress(r.grams), np.int32).reshape(2, -1)) for r in found])
     return kept[0], kept[1]
 
 
