@@ -299,7 +299,7 @@ def cut_spans(docs: DataFrame, items: DataFrame, *, text_col: str = "text",
     # the spans of all blocks are found in the uncut text, merged and cut once
     spans_col = unused(docs, "spans")
     rows = docs.withColumn(spans_col, F.array().cast(SPANS))
-    schema = rows.schema
+    schema, names = rows.schema, docs.columns
 
     def add(phrases: Phrases):
         def run(batches):
@@ -318,7 +318,7 @@ def cut_spans(docs: DataFrame, items: DataFrame, *, text_col: str = "text",
                 new = [keep(t, s) if s else t
                        for t, s in zip(part.column(at).to_pylist(), part.column(part.num_columns - 1).to_pylist())]
                 out = part.set_column(at, part.schema.field(at), pa.array(new, part.schema.field(at).type))
-                yield pa.RecordBatch.from_arrays(out.columns[:-1], names=docs.columns)
+                yield pa.RecordBatch.from_arrays(out.columns[:-1], names=names)
 
     for phrases in phrase_blocks(items, item_col, item_text, width):
         rows = rows.mapInArrow(add(phrases), schema)
