@@ -50,13 +50,12 @@ def content_columns(columns: list[str], blank_is_null: bool = False) -> list[Col
     """rows, and the sums of two independent 64-bit hashes of each row: an order-free checksum of a
     multiset of rows.  A lost row and a doubled one do not cancel.
 
-    ``blank_is_null``: for formats that read '' back as NULL.  Numbers and NULLs count by their text."""
+    ``blank_is_null``: for formats that read '' back as NULL."""
     marks = []
     for c in columns:
-        text = F.col(c).cast("string")
-        text = F.nullif(text, F.lit("")) if blank_is_null else text
-        # a NULL would leave the hash as it is, so that values could change places
-        marks.append(F.coalesce(F.concat(F.lit("1"), text), F.lit("0")))
+        value = F.nullif(F.col(c), F.lit("")) if blank_is_null else F.col(c)
+        # a NULL leaves the hash as it is, so that values could change places
+        marks += [value, value.isNull()]
     sums = [F.coalesce(F.sum(F.xxhash64(F.lit(seed), *marks).cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)"))
             .cast("string").alias(f"sum{seed}") for seed in (1, 2)]
     return [F.count(F.lit(1)).alias("rows"), *sums]
