@@ -9,11 +9,13 @@ Sampling: a source repeats whole ``floor(target / size)`` times, and the remaini
 seeded sample: the source's documents in the order of a hash of seed, id and text, up to
 the document whose middle still lies within the fraction (exact, by ``order.cuts``).  So a
 source's taken words differ from its target by half a document at most, and reruns agree.
+Repeated rows (same id and text) stand one behind the other and may be parted by the cut; only
+the rows that share a cut's key are numbered.
 
 Size: number of words ``[^\\x20\\x09-\\x0D]+`` (null: 0).  Weights go by the rank of the source by
 code point, null last, through the list ``weights`` again and again.  Budget: ``share`` of all
 sizes.  Defined cases: documents without words are never taken; a source without words has
-target 0; rows of one id and text are taken or left together.  Empty table: no row.  If all
+target 0.  Empty table: no row.  If all
 sources hit their cap, the targets are the caps.  Other columns do not matter.
 """
 
@@ -25,7 +27,7 @@ from pyspark.sql.window import Window
 
 from ..session import scratch_path
 from .common import digits_for, hash_key, unused
-from .order import cuts
+from .order import cuts, numbered
 
 SEED, WEIGHTS, SHARE, EPOCHS = 7, (5, 2, 1), 1.5, 2
 
@@ -81,7 +83,8 @@ def targets(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int
 def _repetitions(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int,
                  weights, share: float, epochs: int) -> tuple[DataFrame, DataFrame]:
     """The rows (doc_id, g, size, key) and, a row a source, how its documents repeat: __g,
-    __source_size, __target, __whole, __cut (the last key that is taken once more)."""
+    __source_size, __target, __whole, __cut (the last key that is taken once more), __copies (so
+    many of the rows that have it)."""
     spark = docs.sparkSession
     path = scratch_path(spark, "mixing")
     docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("g"),
@@ -91,25 +94,34 @@ def _repetitions(docs: DataFrame, id_col: str, text_col: str, source_col: str, s
     filled = targets(rows.select("g", "size"), weights, share, epochs)
     total = filled.agg(F.sum("docs")).head()[0] or 0
     goals = filled.select("g", F.lit(0).alias("j"), "goal")
-    cut = cuts(rows, goals, digits_for(total)).select(F.col("g").alias("cg"), "cut")
+    cut = cuts(rows, goals, digits_for(total)).select(F.col("g").alias("cg"), "cut", "copies")
     out = (filled.join(cut, F.col("g").eqNullSafe(F.col("cg")))
            .select(F.col("g").alias("__g"), F.col("size").alias("__source_size"),
                    F.col("target").alias("__target"), F.col("whole").alias("__whole"),
-                   F.col("cut").alias("__cut")))
+                   F.col("cut").alias("__cut"), F.col("copies").alias("__copies")))
     path = scratch_path(spark, "mixing-plan")
     out.write.parquet(path)
     return rows, spark.read.parquet(path)  # its size is now known: broadcast only if small
 
 
+def _with_repeats(rows: DataFrame, plan: DataFrame, g: str, key: str, name: str) -> DataFrame:
+    """``rows`` with the columns of ``plan`` and the number of times each is taken, as ``name``."""
+    planned = rows.join(plan, F.col(g).eqNullSafe(F.col("__g")))
+    clear = planned.where(F.col(key) != F.col("__cut")).withColumn(
+        name, F.col("__whole") + (F.col(key) < F.col("__cut")).cast("int"))
+    copies = numbered(planned.where(F.col(key) == F.col("__cut")),
+                      scratch_path(rows.sparkSession, "mixing-copies"), [g], name)
+    return clear.unionByName(copies.withColumn(
+        name, F.col("__whole") + (F.col(name) <= F.col("__copies")).cast("int")))
+
+
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", seed: int = SEED, weights=WEIGHTS, share: float = SHARE,
         epochs: int = EPOCHS) -> DataFrame:
     """doc_id, size, source_size, target, repeats, taken of every row."""
     rows, plan = _repetitions(docs, id_col, text_col, source_col, seed, weights, share, epochs)
-    repeats = F.when(F.col("size") == 0, 0).otherwise(
-        F.col("__whole") + (F.col("key") <= F.col("__cut")).cast("int"))
-    return (rows.join(plan, F.col("g").eqNullSafe(F.col("__g")))
-            .withColumn("repeats", repeats)
+    return (_with_repeats(rows, plan, "g", "key", "times")
+            .withColumn("repeats", F.when(F.col("size") == 0, 0).otherwise(F.col("times")))
             .select("doc_id", "size", F.col("__source_size").alias("source_size"),
                     F.col("__target").alias("target"), "repeats",
                     (F.col("size") * F.col("repeats")).cast("long").alias("taken")))
@@ -121,10 +133,8 @@ def mixed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """The mix itself: the columns of ``docs``, each row as often as it is taken."""
     _, plan = _repetitions(docs, id_col, text_col, source_col, seed, weights, share, epochs)
     key, times = unused(docs, "key"), unused(docs, "times")
-    taken = F.col("__whole") + (F.col(key) <= F.col("__cut")).cast("int")
-    return (docs.where(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
-            .withColumn(key, sample_key(id_col, text_col, seed))
-            .join(plan, F.col(source_col).eqNullSafe(F.col("__g")))
-            .withColumn(times, taken).where(F.col(times) > 0)
+    rows = (docs.where(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
+            .withColumn(key, sample_key(id_col, text_col, seed)))
+    return (_with_repeats(rows, plan, source_col, key, times).where(F.col(times) > 0)
             .withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
             .select(*docs.columns))

@@ -100,7 +100,7 @@ def op7_mix(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-# Sources by cap / weight: the clamped ones come first, so the level follows from running sums.
+# Repeated rows are alike, so any order of them gives the same rows.  Sources by cap / weight: the clamped ones come first, so the level follows from running sums.
 OP7_SQL = r"""
 with d as materialized (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint size,
   md5(concat('7|', coalesce(doc_id::varchar, 'null'), '|', coalesce(md5(text), 'null'))) k from documents),
@@ -113,8 +113,8 @@ l as (select coalesce(max((1.5 * total - coalesce(caps, 0)) / ws) filter (where
              max(2 * s / w) top from o),
 t as (select source, s, case when v = 0 then 2.0 * s else least(2.0 * s, w * v) end target from s, l),
 c as (select d.*, s, target, case when s > 0 then floor(target / s) else 0 end whole,
-             sum(size) over (partition by d.source order by k range between unbounded preceding and current row) upto,
-             sum(size) over (partition by d.source, k) own
+             sum(size) over (partition by d.source order by k rows between unbounded preceding and current row) upto,
+             size own
       from d join t on d.source is not distinct from t.source)
 select doc_id, size, s source_size, target::double target,
   (size * (whole + case when size > 0 and 2 * upto - own <= 2 * (target - whole * s) then 1 else 0 end))::bigint taken

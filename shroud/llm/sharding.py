@@ -5,15 +5,16 @@
    ``cost(old, new)``, by default 0 where it stays and 1 where it moves.
 3. Documents of an old shard lie in hash order, so the flow's arcs are consecutive blocks of
    them.  Their ends are found exactly (``order.cuts``), and a document goes where its middle
-   byte falls: a block is off its arc by half a document at most.
-4. The documents, with shard and slot, are dealt by (shard, hash bucket) in one shuffle and
-   written under ``shard=<n>``; shards that lose and gain nothing are not rewritten.
+   byte falls: a block is off its arc by half a document at most.  An end may fall between
+   repeated rows (same id and text); those of an end's key are numbered, no others.
+4. The documents are dealt by (shard, hash bucket, input partition) in one shuffle and written
+   under ``shard=<n>``; shards that lose and gain nothing are not rewritten.  A row's slot is its
+   place in its shard: the rows of the files before its own, and its place in that file.
 
 Sizes: UTF-8 bytes of the text (null: none) plus 1.  Law ``bytes``: equal capacities.
 
 Defined cases: old shards may be named by any value, null included; a new shard is the successor
-of the old one with its number as name.  Repeated rows (same id and text) stay together.  Empty
-table: no row, no flow.  Input columns named like the output's are replaced; others stay.
+of the old one with its number as name.  Empty table: no row, no flow.  Input columns named like the output's are replaced; others stay.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql.window import Window
 
 from ..session import scratch_path
 from .common import digits_for, hash_key, unused
-from .order import cuts
+from .order import cuts, numbered
 
 SEED = 20
 
@@ -82,7 +83,7 @@ class Resharding:
     old: list
     capacity: list[int]
     flow: list[list[int]]
-    cut_keys: DataFrame  # g, j, cut
+    cut_keys: DataFrame  # g, j, cut, copies
     digits: int
 
     def stays(self, i: int, j: int) -> bool:
@@ -144,29 +145,32 @@ def plan_reshard(docs: DataFrame, old: Column, shards: int, *, id_col: str = "do
 
 def assign(docs: DataFrame, plan: Resharding, old: Column, *, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
-    """``docs`` with size, shard and slot; one shuffle of the documents."""
+    """``docs`` with size and shard, dealt for writing; one shuffle of the documents."""
     spark = docs.sparkSession
     ends: dict = {}
     for r in plan.cut_keys.collect():  # at most one row an arc
-        ends.setdefault(r.g, {})[r.j] = r.cut
-    table = [(name, [ends.get(name, {}).get(j, "") for j in range(len(_arcs(plan, i)) - 1)],
+        ends.setdefault(r.g, {})[r.j] = (r.cut, r.copies)
+    table = [(name, [ends.get(name, {}).get(j, ("", 0)) for j in range(len(_arcs(plan, i)) - 1)],
               [a[0] for a in _arcs(plan, i)]) for i, name in enumerate(plan.old)]
-    g, key, bucket, e, new, before = (unused(docs, x) for x in ("g", "key", "bucket", "ends", "new", "before"))
+    g, key, copy, bucket, part, e, new = (
+        unused(docs, x) for x in ("g", "key", "copy", "bucket", "part", "ends", "new"))
     arcs = F.broadcast(spark.createDataFrame(  # a row for each old shard
-        table, "oldg string, arc_ends array<string>, arc_new array<int>")
+        table, "oldg string, arc_ends array<struct<cut: string, copies: long>>, arc_new array<int>")
         .select(F.col("oldg").alias("__g"), F.col("arc_ends").alias(e), F.col("arc_new").alias(new)))
-    out = (docs.withColumns({g: old.cast("string"), key: hash_key(SEED, F.col(id_col), F.md5(F.col(text_col))),
+    same = F.col(g).eqNullSafe(F.col("__g"))
+    at_end = F.exists(e, lambda c: c["cut"] == F.col(key))
+    rows = docs.withColumns({g: old.cast("string"), key: hash_key(SEED, F.col(id_col), F.md5(F.col(text_col))),
                              "size": size_of(F.col(text_col))})
-           .join(arcs, F.col(g).eqNullSafe(F.col("__g")))
-           .withColumn("shard", F.expr(f"`{new}`[size(filter(`{e}`, c -> `{key}` > c))]"))
-           .withColumn(bucket, F.substring(key, 1, plan.digits)).drop("__g", g, e, new))
-    counts = out.groupBy(F.col("shard").alias("__s"), F.col(bucket).alias("__b")).agg(F.count("*").alias("n"))
-    upto = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__s", "__b", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias(before))
-    order = Window.partitionBy("shard", bucket).orderBy(key)
-    return (out.join(offsets, (F.col("shard") == F.col("__s")) & (F.col(bucket) == F.col("__b")))
-            .withColumn("slot", F.col(before) + F.row_number().over(order) - 1)
-            .drop("__s", "__b", bucket, key, before))
+    planned = rows.join(arcs, same)
+    copies = numbered(planned.where(at_end).select(*rows.columns), scratch_path(spark, "reshard-copies"),
+                      [g, key], copy)
+    out = (planned.where(~at_end).withColumn(copy, F.lit(0).cast("long"))
+           .unionByName(copies.join(arcs, same)))
+    beyond = f"`{key}` > c.cut or (`{key}` = c.cut and `{copy}` > c.copies)"
+    return (out.withColumns({"shard": F.expr(f"`{new}`[size(filter(`{e}`, c -> {beyond}))]"),
+                             bucket: F.substring(key, 1, plan.digits), part: F.spark_partition_id()})
+            .repartition("shard", bucket, part).sortWithinPartitions("shard", key)
+            .drop("__g", g, key, copy, bucket, part, e, new))
 
 
 def rewrite(assigned: DataFrame, path: str, only: set[int] | None = None) -> None:
@@ -175,6 +179,18 @@ def rewrite(assigned: DataFrame, path: str, only: set[int] | None = None) -> Non
     rows.write.partitionBy("shard").parquet(path)
 
 
+def with_slots(shards: DataFrame) -> DataFrame:
+    """Rows read from shard files with their slot, their place in the shard."""
+    file, place, before = (unused(shards, x) for x in ("file", "place", "before"))
+    rows = shards.withColumns({file: F.col("_metadata.file_name"), place: F.col("_metadata.row_index")})
+    upto = Window.partitionBy("shard").orderBy(file).rowsBetween(Window.unboundedPreceding, -1)
+    files = (rows.groupBy("shard", file).agg(F.count("*").alias("__n"))
+             .select(F.col("shard").alias("__s"), F.col(file).alias("__f"),
+                     F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias(before)))
+    return (rows.join(files, (F.col("shard") == F.col("__s")) & (F.col(file) == F.col("__f")))
+            .withColumn("slot", F.col(before) + F.col(place)).drop("__s", "__f", file, place, before))
+
+
 def reshard(spark: SparkSession, docs: DataFrame, old: Column, shards: int = 8, *,
             id_col: str = "doc_id", text_col: str = "text", path: str | None = None
             ) -> tuple[DataFrame, Resharding]:
@@ -183,7 +199,7 @@ def reshard(spark: SparkSession, docs: DataFrame, old: Column, shards: int = 8,
     path = path or scratch_path(spark, "shards")
     out = assign(docs, plan, old, id_col=id_col, text_col=text_col)
     rewrite(out, path)
-    return spark.read.schema(out.schema).parquet(path), plan
+    return with_slots(spark.read.schema(out.schema).parquet(path)), plan
 
 
 def reshard_files(spark: SparkSession, root: str, new_root: str, shards: int, **columns
@@ -196,5 +212,6 @@ def reshard_files(spark: SparkSession, root: str, new_root: str, shards: int, **
     plan = plan_reshard(docs, F.col("shard"), shards, **columns)
     old = unused(docs, "old")
     moved = docs.withColumnRenamed("shard", old)
-    rewrite(assign(moved, plan, F.col(old), **columns).drop(old), new_root, plan.affected)
+    out = assign(moved, plan, F.col(old), **columns).drop(old)
+    rewrite(out if "size" in docs.columns else out.drop("size"), new_root, plan.affected)
     return {j: f"{new_root if j in plan.affected else root}/shard={j}" for j in range(shards)}, plan
