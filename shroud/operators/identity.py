@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import run_stamp, source_id, source_key
 from ..schemas import CUSTOMER_COLUMNS, PII_COLUMNS
+from ..sources.identity_service import read_keys, write_identity_index
 from .joins import keyed_join
 
 KEY = "__idsvc_key"
@@ -119,6 +120,29 @@ def lookup_gids(keys: DataFrame, idsvc: DataFrame, key_col: str = "source_id") -
     return out.select(key_col, F.col("uuid").alias("gid"))
 
 
+def write_lookup_index(idsvc: DataFrame, path: str, **layout) -> None:
+    """The identity lookup as a table in key order with Bloom filters (see ``write_identity_index``)."""
+    write_identity_index(identity_lookup(idsvc), path, KEY, **layout)
+
+
+def lookup_gids_indexed(keys: DataFrame, index_path: str, key_col: str = "source_id",
+                        at_most: int = 2000) -> DataFrame:
+    """``lookup_gids`` on an indexed table; the same rows for a batch of any size.
+
+    Up to ``at_most`` distinct keys are read by predicates that prune row groups; the driver holds
+    no more of them.  A larger batch is joined with the whole table.
+    """
+    spark = keys.sparkSession
+    index = spark.read.parquet(index_path)
+    left = keys.select(key_col).distinct()
+    batch = [r[0] for r in left.select(F.trim(key_col).alias(KEY)).where(F.col(KEY).isNotNull())
+             .distinct().limit(at_most + 1).collect()]
+    if len(batch) <= at_most:
+        index = read_keys(index, KEY, sorted(batch))
+    out = keyed_join(left, index, F.trim(key_col), KEY, "left", [key_col])
+    return out.select(key_col, F.col("uuid").alias("gid"))
+
+
 def completeness(idsvc: DataFrame, expected_rows: int) -> DataFrame:
     """One-row reconciliation of a lookup snapshot against the row count the
     store reports; ``complete`` is true once every expected row was read."""

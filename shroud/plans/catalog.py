@@ -123,6 +123,14 @@ def q_lookup(spark, sf):
     return identity.lookup_gids(keys, fx.identity_service(spark, sf))
 
 
+@register("lookup_gid_indexed", ORACLES["lookup_gid"])
+def q_lookup_indexed(spark, sf):
+    path = scratch_path(spark, "idsvc-index")
+    identity.write_lookup_index(fx.identity_service(spark, sf), path)
+    keys = fx.customers(spark, sf).select(T.source_id("id", fx.SOURCE).alias("source_id"))
+    return identity.lookup_gids_indexed(keys, path)
+
+
 @register("id_service_count", fx.with_ctes("select count(*) as n_rows from idsvc"))
 def q_idsvc_count(spark, sf):
     return fx.identity_service(spark, sf).agg(F.count(F.lit(1)).alias("n_rows"))

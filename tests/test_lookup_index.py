@@ -1,0 +1,65 @@
+"""Batch lookups on the indexed identity table: same rows, few row groups read."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from shroud import schemas
+from shroud.operators import identity
+from shroud.sources.identity_service import read_keys
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """20,000 keys (every even number), one with several uuids, padded and null ones, and their index."""
+    rows = [(f"app-{i:07d}", f"g{i}") for i in range(0, 40_000, 2)]
+    rows += [(" app-0000002 ", "second"), ("app-0000002", "second"), (None, "lost")]
+    idsvc = spark.createDataFrame(rows, schemas.IDENTITY)
+    path = f"{tmp_path_factory.mktemp('index')}/idsvc"
+    identity.write_lookup_index(idsvc, path, row_group_bytes=16 << 10, keys_per_group=2000)
+    return idsvc, path
+
+
+def rows_scanned(df):
+    """(rows of the result, rows that left the scan)."""
+    found = len(df.collect())
+    plan = df._jdf.queryExecution().executedPlan()
+    scan = plan.collectLeaves().head()
+    return found, scan.metrics().get("numOutputRows").get().value()
+
+
+@pytest.mark.parametrize("at_most", [0, 4, 2000])
+def test_same_rows_as_the_plain_lookup(spark, stored, at_most):
+    idsvc, path = stored
+    keys = spark.createDataFrame([("app-0000002",), (" app-0000004",), ("app-0000003",), (None,), ("",),
+                                  ("app-0000002",), ("app-0039998",)], "source_id string")
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    got = rows(identity.lookup_gids_indexed(keys, path, at_most=at_most))
+    assert got == rows(identity.lookup_gids(keys, idsvc)) and len(got) == 7
+    none = identity.lookup_gids_indexed(keys.limit(0), path, at_most=at_most)
+    assert none.columns == ["source_id", "gid"] and none.count() == 0
+
+
+def test_empty_index(spark, scratch):
+    path = scratch("empty-index")
+    identity.write_lookup_index(spark.createDataFrame([], schemas.IDENTITY), path)
+    keys = spark.createDataFrame([("a",)], "source_id string")
+    assert [tuple(r) for r in identity.lookup_gids_indexed(keys, path).collect()] == [("a", None)]
+
+
+def test_row_groups_are_skipped(spark, stored):
+    index = spark.read.parquet(stored[1])
+    total = index.count()
+    assert total == 20_001
+    found, scanned = rows_scanned(read_keys(index, identity.KEY, ["app-0020000"]))
+    assert found == 1 and scanned <= total / 4
+    # many keys in one list would become a range that covers everything
+    spread = [f"app-{i:07d}" for i in (0, 20, 40, 60, 80, 100, 120, 140, 160, 180, 200, 39_990)]
+    found, scanned = rows_scanned(read_keys(index, identity.KEY, spread))
+    assert found == 12 and scanned <= total / 2
+
+
+def test_absent_keys_are_stopped_by_the_bloom_filter(spark, stored):
+    index = spark.read.parquet(stored[1])
+    absent = [f"app-{i:07d}" for i in range(10_001, 10_021, 2)]  # within the range of stored keys
+    with_filter = rows_scanned(read_keys(index, identity.KEY, absent))
+    assert with_filter == (0, 0)
