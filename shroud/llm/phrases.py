@@ -10,8 +10,8 @@ a full cycle.  Phrases that end their cycle below the threshold are dropped.
 Scans count 64-bit hashes of phrases, so a count is the phrase's own or, where two share a hash, more;
 none is lost.  A scan must know which subphrases have reached the threshold.  It is told by a table of
 ``slots`` bytes, the step at which a hash of this slot first reached it.  Phrases that share a slot only
-start some counting early: the start follows from the table, the same in every scan, so what is counted
-still gets one full cycle.  A last cycle counts by text, exactly, what the hashes have left: the phrases
+start some counting early, but none before its subphrases are counted: the start follows from the table,
+the same in every scan, so what is counted still gets one full cycle.  A last cycle counts by text, exactly, what the hashes have left: the phrases
 whose slot, and whose parts' slots, hold a hash that ended at the threshold or above.  Those two tables
 are all that goes to the tasks or the driver, of fixed size; slots beyond use cost work, never rows.
 Counts are summed in each slice of texts, then by Spark before and after the shuffle, so a language or
@@ -135,7 +135,8 @@ class Stretch:
             if now.any():
                 yield k, *_grouped(mixed[now], act[now])
             hashes, when = np.zeros(len(hashes) - 1, np.uint64), np.full(len(hashes) - 1, UNSET, np.uint8)
-            hashes[at], when[at] = mixed, reached[mixed & mask]
+            # a slot that another hash reached early says nothing of steps before the phrase itself was counted
+            hashes[at], when[at] = mixed, np.maximum(reached[mixed & mask], (act - 1).astype(np.uint8))
 
     def phrases(self, wanted: np.ndarray, longest: int) -> Iterator[tuple]:
         """(k, phrases, counts) of all phrases whose slot, and whose parts' slots, are wanted."""

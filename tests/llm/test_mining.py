@@ -158,6 +158,29 @@ def test_phrases_are_activated_late():
     assert list(own.active(reached, 5, 4, 4)) == []
 
 
+def test_phrase_whose_parts_share_early_slots_gets_a_whole_cycle():
+    """b reaches the threshold at step 1; the slots of "a b" and "b c" were reached at step 0 by other hashes."""
+    import numpy as np
+    reached = np.full(32768, phrases.UNSET, np.uint8)
+    own = phrases.Stretch("en", [b"a b c"])
+    slot = lambda h: int(h) & 32767
+    (a, b, c), (ab, bc) = own.hash[1:], phrases._mix(own.hash[1:3], own.hash[2:])
+    for h, step in ((a, 0), (b, 1), (c, 0), (ab, 0), (bc, 0)):
+        reached[slot(h)] = step
+    at = [s for s in range(8) if 3 in [k for k, *_ in own.active(np.where(reached < s, reached, phrases.UNSET), s, 2, 3)]]
+    assert at == [2, 3]
+
+
+def test_rare_phrases_among_many_shared_slots(spark):
+    rng = random.Random(6)
+    vocab = ["w%d" % i for i in range(6000)]
+    groups = [" ".join(rng.choices(vocab, k=4)) for _ in range(3000)]
+    docs = [("en", ". ".join(rng.choices(groups, k=24))) for _ in range(1000)]
+    df = spark.createDataFrame(docs, "lang string, text string").repartition(3)
+    got = phrases.mine_collocations(spark, df, least=6, slots=32768, first=5000)
+    assert sorted(map(tuple, got.collect())) == phrases_brute(docs, 6, first=5000)
+
+
 def test_equal_hashes_that_begin_at_different_steps():
     import numpy as np
     h, act, n = phrases._grouped(np.array([7, 7, 9, 7], np.uint64), np.array([1, 2, 1, 2]))
