@@ -14,9 +14,12 @@ The forest (Spark's own) is trained on labelled findings: rows of features with
 of which a bounded sample of ``SAMPLE`` a label is used, by a seeded hash.  Where no labelled table
 exists, ``weak_labels`` labels the clear cases only: 1 if assigned to a name like token, key or
 password, sent as a bearer, first line of a private key, or of an issued key's shape; 0 for plain
-words, numbers and UUIDs without a name.  The rest has no label.  The forest then sees only the
-``SHAPE`` features, none that a label is made from by context, and learns from drawn keys of usual
-forms as well (``drawn``), so that a bare key is found by its looks.  Clear 1s stay.
+words, numbers and UUIDs without a name, and for named placeholders.  The rest has no label.  The
+forest sees all ``FEATURES``, the path's and the neighbours' too, and scores every candidate, labelled
+or not.  So that it does not copy the rule, a clear case is learnt a second time with the context
+hidden or turned (``lessons``): a key without its name stays one, a plain word after a name is prose.
+It learns from drawn keys of usual forms as well (``drawn``), bare ones and assigned ones, on paths of
+the corpus, so that a bare key is found by its looks.
 
 Defined cases: null or empty text has no candidate.  Path null: empty.  Repeated rows repeat their
 findings.  If all labelled findings have one label, every candidate gets that label's score.
@@ -62,10 +65,9 @@ SHORT_IN = rf"""(?<={_ASSIGNED}[:=]{{1,2}}["']?){_VALUE}"""
 SHORT_AFTER = rf"""(?<=^["'`]{{0,2}})(?!(?<!["'`])[A-Za-z][a-z]*+[.!?:]*+$){_VALUE}"""
 NAMED_BEFORE = rf"""{_ASSIGNED} ?[:=]{{1,2}}$"""
 NEAR = 64
-FEATURES = ["length", "digits", "capitals", "vowels", "turns", "case_turns", "distinct_chars",
-            "dictionary", "path_dummy", "path_depth", "name_near", "assigned", "quoted", "dummy_near"]
-
-SHAPE = FEATURES[:8]
+#: The looks of the candidate itself; then its path and neighbours.
+SHAPE = ["length", "digits", "capitals", "vowels", "turns", "case_turns", "distinct_chars", "dictionary"]
+FEATURES = [*SHAPE, "path_dummy", "path_depth", "name_near", "assigned", "quoted", "dummy_near"]
 
 
 def candidates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -141,29 +143,66 @@ def features(found: DataFrame, known: list[str]) -> DataFrame:
         "quoted": yes(F.concat("lead", "tail").rlike("[\"']")), "dummy_near": yes(around.rlike(DUMMIES))})
 
 
+def _plain() -> Column:
+    """Whether the candidate looks like a word or a number."""
+    return ~F.col("candidate").rlike("[A-Za-z][0-9]|[0-9][A-Za-z]") & (F.col("case_turns") <= 0.12)
+
+
 def weak_labels(rows: DataFrame) -> DataFrame:
     """Labels of the clear cases by form and assignment (see the module); null for the rest."""
     c, lead = F.col("candidate"), F.col("lead")
-    plain = ~c.rlike("[A-Za-z][0-9]|[0-9][A-Za-z]") & (F.col("case_turns") <= 0.12)
+    plain = _plain()
     # a plain word after a name and a blank may be prose, one with dots code
     meant = ~plain | lead.rlike("""["']$""") | (lead.rlike("[=]$") & ~c.contains("."))
     named = (F.col("name_near") > 0) & (F.col("assigned") > 0) & (F.col("dummy_near") == 0) & meant
     clear = named | c.rlike(ISSUED) | F.col("before").rlike(PEM)
     none = (F.col("name_near") == 0) & (F.col("assigned") == 0) & (plain | c.rlike(UUID))
+    none = none | (F.col("name_near") > 0) & (F.col("assigned") > 0) & c.rlike(DUMMIES)
     return rows.withColumn("label", F.when(clear, 1.0).when(none, 0.0))
 
 
+def lessons(rows: DataFrame) -> DataFrame:
+    """The labelled rows; once more those of label 1 without their name, and plain words of label 0 after one."""
+    turned = ["name_near", "assigned", "quoted"]
+    seen = F.struct(*turned)
+    bare = F.struct(F.lit(0.0).alias("name_near"), F.lit(0.0).alias("assigned"), F.col("quoted"))
+    prose = F.struct(*(F.lit(v).alias(n) for n, v in zip(turned, (1.0, 1.0, 0.0))))
+    views = (F.when(F.col("label") == 1, F.array(seen, bare))
+             .when(_plain() & (F.col("dummy_near") == 0), F.array(seen, prose)).otherwise(F.array(seen)))
+    return (rows.where("label is not null").withColumn("view", F.explode(views.cast(
+        "array<struct<name_near:double,assigned:double,quoted:double>>"))).drop(*turned)
+            .select("*", "view.*").drop("view"))
+
+
 def drawn(spark, each: int = 200) -> DataFrame:
-    """Random keys of usual forms: hexadecimal, base64 and its web form, letters and digits; of 16 to 64 characters."""
+    """Random keys of usual forms: hexadecimal, base64 and its web form, letters and digits; bare ones of 16 to 64
+    characters and ones of 6 to 40 that are assigned to a name."""
     i = F.col("id").cast("string")
     much = F.concat(F.sha2(F.concat(F.lit("a"), i), 512), F.sha2(F.concat(F.lit("b"), i), 512))
     b64 = F.base64(F.unhex(much))
     forms = [F.substring(much, 1, 64), b64, F.translate(b64, "+/=", "-_A"), F.regexp_replace(b64, "[+/=]", ""),
              F.upper(much)]
-    size = F.element_at(F.array(*map(F.lit, (16, 20, 24, 32, 40, 48, 64))), (F.col("id") % 7 + 1).cast("int"))
-    none = [F.lit("").alias(n) for n in ("lead", "tail", "before", "after", "path")]
-    return (spark.range(each).select("id", F.explode(F.array(*forms)).alias("key"))
-            .select(F.left("key", size).alias("candidate"), *none))
+    one_of = lambda *v: F.element_at(F.array(*map(F.lit, v)), (F.col("id") % len(v) + 1).cast("int"))
+    none = [F.lit("").alias(n) for n in ("before", "after", "path")]
+    bare = F.struct(one_of(16, 20, 24, 32, 40, 48, 64).alias("size"), F.lit("").alias("lead"), F.lit("").alias("tail"))
+    named = F.struct(one_of(6, 7, 8, 9, 10, 12, 16, 24, 32, 40).alias("size"),
+                     one_of("password=", 'token="', '"secret":"').alias("lead"), one_of("", '"', '"').alias("tail"))
+    return (spark.range(each).select("id", F.explode(F.array(*forms)).alias("key"), F.array(bare, named)
+                                     .cast("array<struct<size:int,lead:string,tail:string>>").alias("as"))
+            .select("id", "key", F.explode("as").alias("as"))
+            .select("id", F.left("key", "as.size").alias("candidate"), "as.lead", "as.tail", *none))
+
+
+def _on_paths(taught: DataFrame, rows: DataFrame, most: int = 200) -> DataFrame:
+    """``taught`` with the path features of a bounded, seeded sample of the corpus."""
+    own = ["path_dummy", "path_depth"]
+    some = (rows.select(*own).orderBy(F.xxhash64(F.lit(SEED), "candidate", "before", "lead", "path")).limit(most).collect())
+    if not some:
+        return taught
+    at = F.element_at(F.array(*(F.struct(F.lit(r.path_dummy).alias(own[0]), F.lit(r.path_depth).alias(own[1]))
+                                for r in some)), (F.pmod(F.xxhash64("candidate"), F.lit(len(some))) + 1).cast("int"))
+    at = at.cast("struct<path_dummy:double,path_depth:double>")
+    return taught.withColumn("at", at).drop(*own).select("*", "at.*").drop("at")
 
 
 class Forest:
@@ -181,7 +220,7 @@ class Forest:
         rows = self._vector(labelled.where(draw < quota)).select("label", "features")
         path = scratch_path(labelled.sparkSession, "secrets-train")
         rows.write.parquet(path)  # the trees read it level by level
-        self.model = RandomForestClassifier(numTrees=20, maxDepth=6, seed=seed, cacheNodeIds=False).fit(
+        self.model = RandomForestClassifier(numTrees=40, maxDepth=10, seed=seed, cacheNodeIds=False).fit(
             labelled.sparkSession.read.parquet(path))
 
     def _vector(self, rows: DataFrame) -> DataFrame:
@@ -207,12 +246,11 @@ def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, *, id_col:
     rows = spark.read.parquet(path)
     if labelled is None:
         rows = weak_labels(rows)
-        taught = features(drawn(spark), known).withColumn("label", F.lit(1.0))
-        forest = Forest(rows.unionByName(taught, allowMissingColumns=True), columns=SHAPE)
-        scored = forest.score(rows).withColumn("score", F.when(F.col("label") == 1, 1.0).otherwise(F.col("score")))
+        taught = _on_paths(features(drawn(spark), known), rows).withColumn("label", F.lit(1.0))
+        forest = Forest(lessons(rows).unionByName(taught, allowMissingColumns=True))
     else:
         forest = Forest(features(labelled, known))
-        scored = forest.score(rows)
+    scored = forest.score(rows)
     c = F.col("candidate")
     return (scored.where(F.col("score") >= threshold)
             .select("doc_id", F.col("word_no").cast("long").alias("word_no"), "part",

@@ -343,6 +343,36 @@ def test_secrets_by_their_looks(spark):
     assert not set(secrets.SHAPE) & {"name_near", "assigned", "dummy_near", "quoted"}
 
 
+def test_forest_scores_every_finding_with_path_and_neighbours(spark, monkeypatch):
+    rng = random.Random(14)
+    key = lambda n, chars="0123456789abcdef": "".join(rng.choice(chars) for _ in range(n))
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    words = ["verantwortungsbewusstsein", "internationalisation", "some_long_identifier_name", "2024-01-15-2024-02-15"]
+    prose = lambda n: " ".join(rng.choice([*words, "the", "and"]) for _ in range(n))
+    rows, planted = [], set()
+    for i in range(200):
+        k = key(rng.choice([20, 32, 40]), rng.choice([letters, "0123456789abcdef"]))
+        form = ["{}", "token = {}", 'api_key="{}"', "Authorization: Bearer {}", "key: {}"][i % 5].format(k)
+        rows.append((i, f"{prose(6)} {form} {prose(6)}", "a/b/c.conf"))
+        planted.add((i, hashlib.sha256(k.encode()).hexdigest()))
+    for i in range(200, 400):  # look-alikes
+        x = key(32)
+        form = ["password=changeme{}", "{}", "the token: {}"][i % 3]
+        rows.append((i, f"{prose(6)} {form.format([i, f'{x[:8]}-{x[8:12]}-{x[12:16]}-{x[16:20]}-{x[20:]}', words[0]][i % 3])}", "a/b/c.conf"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    made, score = [], secrets.Forest.score
+    monkeypatch.setattr(secrets.Forest, "score", lambda self, r: made.append(self) or score(self, r))
+    found = {(r.doc_id, r.secret_sha256) for r in secrets.scan_secrets(docs).collect()}
+    assert len(found & planted) >= 0.95 * len(planted)
+    assert len([i for i, _ in found if i >= 200]) <= 10
+    assert made[0].columns == secrets.FEATURES
+    weight = dict(zip(secrets.FEATURES, made[0].model.featureImportances.toArray()))
+    assert weight["name_near"] + weight["assigned"] > 0 and weight["dummy_near"] > 0
+    # the forest can remove any finding, a clear one too
+    monkeypatch.setattr(secrets.Forest, "score", lambda self, r: r.withColumn("score", F.lit(0.0)))
+    assert secrets.scan_secrets(docs).count() == 0
+
+
 def test_many_beginnings_of_web_tokens_take_linear_time(spark):
     import time
     took = []
