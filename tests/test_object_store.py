@@ -53,6 +53,31 @@ def test_one_wide_and_one_deep_folder_are_split(tmp_path):
     assert sum(sizes) == 1000 and max(sizes) <= 1000 // 8
 
 
+class _Counting:
+    """A store that counts how often a folder is listed."""
+
+    def __init__(self, type_name):
+        self.type_name, self.inner, self.listed = type_name, fs.LocalFileSystem(), []
+
+    def get_file_info(self, what):
+        if isinstance(what, fs.FileSelector):
+            self.listed.append(what.base_dir)
+        return self.inner.get_file_info(what)
+
+
+def test_a_folder_is_listed_once_however_many_ranges_it_has(tmp_path):
+    base = str(tmp_path)
+    _put(base, [f"click/u={i:03}/b" for i in range(400)])
+    store = _Counting("remote")
+    ranges = O.split_keys(store, base, 32)
+    assert len(ranges) >= 32 and len(store.listed) == len(set(store.listed))
+    assert ranges == O.split_keys(fs.LocalFileSystem(), base, 32)
+    # a task looks at the files of its own names only
+    local = _Counting("local")
+    assert [k for k, _ in O.walk(local, base, ranges[0])] == [k for k, _ in O.walk(fs.LocalFileSystem(), base, ranges[0])]
+    assert f"{base}/click" not in local.listed
+
+
 def test_listing_and_scan_of_every_name(spark, scratch):
     root = scratch("store")
     names = _names(3)
