@@ -78,6 +78,56 @@ def test_a_folder_is_listed_once_however_many_ranges_it_has(tmp_path):
     assert f"{base}/click" not in local.listed
 
 
+def test_a_task_and_the_driver_hold_few_names_of_a_wide_folder(tmp_path, monkeypatch):
+    import time
+    import tracemalloc
+
+    base = str(tmp_path)
+    _put(base, [f"click/u={i:05}/b" for i in range(5000)])
+    client, until = fs.LocalFileSystem(), time.time_ns()
+    own = O.KeyRange("click", "u=02000", "u=02010")
+
+    def peak(f):
+        tracemalloc.start()
+        try:
+            return f(), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    found, most = peak(lambda: sorted(k for k, _ in O.walk(client, base, own)))
+    assert found == [f"click/u={i:05}/b" for i in range(2000, 2010)] and most < 200_000
+    monkeypatch.setattr(O, "KNOWN", 300)
+    stream = O._StreamReader({"root": base})
+    at, most = peak(lambda: stream._newest(until))
+    assert most < 300_000 and sum(1 + len(inside) for _, inside in stream.known.values()) <= 300
+    assert at == max((os.stat(f"{base}/{k}").st_mtime_ns, k) for k in (f"click/u={i:05}/b" for i in range(5000)))
+    # whatever is kept, the newest object is found, also in folders that were quiet
+    for name in ("click/u=00000/c", "click/u=04999/c", "click/v/_d"):
+        _put(base, [name])
+        assert stream._newest(time.time_ns()) == (os.stat(f"{base}/{name}").st_mtime_ns, name)
+        os.remove(f"{base}/{name}")
+
+
+@pytest.mark.parametrize("known", [0, 7, 10_000])
+def test_the_newest_object_is_found_whatever_is_kept(tmp_path, monkeypatch, known):
+    base, names, day = str(tmp_path), _names(5), 10**18
+    _put(base, names + [".x.crc", "deep/.y.crc", "deep/.crc", f"{O.ASIDE}1/z"])
+    for folder, _, files in os.walk(base):
+        for at in [folder, *(f"{folder}/{f}" for f in files)]:
+            os.utime(at, ns=(day, day))
+    every = [k for k, _ in O.walk(fs.LocalFileSystem(), base, O.KeyRange(""))]
+    assert sorted(every) == sorted(names + ["deep/.crc"])
+    monkeypatch.setattr(O, "KNOWN", known)
+    rng, stream = random.Random(known), O._StreamReader({"root": base})
+    assert stream._newest(2 * day) == (day, max(every))
+    for k in range(1, 12):  # an object is written again and its folder tells
+        stream.last, name = (day + k - 1, "~"), rng.choice(names)
+        for at in (name, os.path.dirname(name)):
+            os.utime(f"{base}/{at}", ns=(day + k, day + k))
+        assert stream._newest(2 * day) == (day + k, name)
+        assert stream._newest(day) == stream.last  # not yet
+
+
 def test_listing_and_scan_of_every_name(spark, scratch):
     root = scratch("store")
     names = _names(3)
