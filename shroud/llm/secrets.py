@@ -97,7 +97,8 @@ def candidates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
             .select("doc_id", "word_no", "path", F.right(near(-2), F.lit(NEAR)).alias("before2"),
                     F.right(near(-1), F.lit(NEAR)).alias("before1"),
                     F.left(near(1), F.lit(NEAR)).alias("after"), pieces.alias("pieces"))
-            .select("*", F.posexplode("pieces").alias("at", "candidate")).where("at % 2 = 1")
+            # outer: else Spark filters by the size of the pieces first, and cuts every word twice
+            .select("*", F.posexplode_outer("pieces").alias("at", "candidate")).where("at % 2 = 1")
             .select("doc_id", "word_no", ((F.col("at") - 1) / 2).cast("long").alias("part"), "path", "candidate",
                     F.right(F.concat(piece(-2), piece(-1)), F.lit(NEAR)).alias("lead"),
                     F.left(F.concat(piece(1), piece(2)), F.lit(NEAR)).alias("tail"),
